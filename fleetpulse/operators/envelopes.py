@@ -50,12 +50,10 @@ def classify_requests(requests, now_ms, skew_ms=schema.CLOCK_SKEW_MS,
     listed = listed.when(parsed_ok(many), F.coalesce(many["heartbeats"], F.array()))
     filled = docs.withColumn("events", F.explode(F.array(F.transform(listed, _filled)))).drop("docs")
 
-    first_bad = F.get(F.array_compact(F.transform("events", lambda event, at: F.when(
-        reject_reason(now_ms, skew_ms, event.__getitem__).isNotNull(),
-        F.struct(at.alias("at"), reject_reason(now_ms, skew_ms, event.__getitem__).alias("reason")))
-    )), 0)
-    n_events = F.coalesce(F.size("events"), F.lit(0))
-    n_events = F.when(F.col("events").isNull(), 0).otherwise(n_events)
+    reasons = F.transform("events", lambda event, at: F.struct(
+        at.alias("at"), reject_reason(now_ms, skew_ms, event.__getitem__).alias("reason")))
+    first_bad = F.get(F.filter(reasons, lambda found: found["reason"].isNotNull()), 0)
+    n_events = F.when(F.col("events").isNull(), 0).otherwise(F.size("events"))
     checked = (filled.withColumn("n_events", n_events)
                .withColumn("first_bad", F.when(n_events <= max_batch, first_bad)))
     outcome = (

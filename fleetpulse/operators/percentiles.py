@@ -1,17 +1,21 @@
 """Exact percentiles per group, without gathering a group in one task.
 
 Spark's own ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. Here the wanted ranks are located by counting instead:
-
-1. count rows per (group, value), combined before the shuffle and spread by value;
-2. count per (group, coarse cell), where a cell is the value rounded to its
-   leading bits, and keep only the cells in which a wanted rank falls;
-3. again with a finer cell inside those; then rank the few values left.
-
-A cell depends on the value alone, so a task that runs again after a loss puts
-every row where it was before. Rows seen by one task in steps 2 and 3 are
-bounded by the number format: at most 2**16 fine cells in a coarse one, and
-2**26 doubles in a fine one, whatever the group holds.
+aggregation buffer. Here the wanted ranks are located by counting instead. A
+cell is a value rounded to its leading bits, so cells keep the order of values:
+
+1. count rows per (group, cell), combined before the shuffle, so that only
+   counts travel; keep the cells in which a wanted rank falls and write them
+   to the shared scratch folder;
+2. while a kept cell holds more rows than one task should sort, count again
+   with finer cells inside the kept ones;
+3. fetch the rows of the kept cells, fold equal values and rank what is left.
+
+The kept cells are broadcast when their counted number is small. Otherwise
+equal values are folded first and both sides are shuffled by (group, cell).
+A cell depends on the value alone and the kept cells are a written table, so a
+task that runs again after a loss meets the same ones. The rows must read the
+same in every pass.
 """
 
 import math
@@ -19,13 +23,22 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-COARSE_BITS = 11
-FINE_BITS = 27
+from fleetpulse.session import scratch_path
+
 DOUBLE_BITS = 53
+# 64 cells per doubling of the value keep the first counts small; each later pass splits
+# a cell into at most 2**16 finer ones; at 53 bits a cell is one value.
+CELL_BITS = (7, 22, 37, DOUBLE_BITS)
+# Rows of one cell that one task may sort.
+CELL_ROWS = 4_000_000
+# Kept cells to broadcast: about 150 bytes each, so 75 MB at most.
+BROADCAST_CELLS = 500_000
 
 
 def leading_bits(value, bits):
     """Round a double to ``bits`` significant bits; order is kept."""
+    if bits >= DOUBLE_BITS:
+        return value
     factor = float(2 ** (DOUBLE_BITS - bits) + 1)
     safe = 2.0 ** (1023 - (DOUBLE_BITS - bits) - 1)
     scaled = value * F.lit(factor)
@@ -45,48 +58,72 @@ def _nearest_rank(total, p):
     return F.greatest(F.ceil(F.lit(float(p)) * total) - 1, F.lit(0)).cast("long")
 
 
-def _wanted(total, probabilities, method):
-    if method == "nearest":
-        return F.array(*[_nearest_rank(total, p) for p in probabilities])
-    ranks = [r for p in probabilities for r in _interpolated_ranks(total, p)[:2]]
-    return F.array(*ranks)
-
-
-def _running_before(weight, partition, order):
-    spread = Window.partitionBy(*partition).orderBy(order)
-    to_here = spread.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum(weight).over(to_here) - F.col(weight)
-
-
 def _holds_a_rank(probabilities, method):
-    ranks = _wanted(F.col("total"), probabilities, method)
-    return F.exists(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
-
-
-def _selected(tally, probabilities, method):
-    """(key, v, n, before, total) rows whose ranks include a wanted one."""
-    hit = _holds_a_rank(probabilities, method)
-    tally = tally.withColumn("coarse", leading_bits(F.col("v"), COARSE_BITS))
-    coarse = (
-        tally.groupBy("key", "coarse").agg(F.sum("n").alias("n"))
-        .select("key", "coarse", "n",
-                _running_before("n", ["key"], "coarse").alias("before"),
-                F.sum("n").over(Window.partitionBy("key")).alias("total"))
-        .where(hit).drop("n")
-    )
-    near = (tally.join(coarse, ["key", "coarse"])
-            .withColumn("fine", leading_bits(F.col("v"), FINE_BITS)))
-    fine = (
-        near.groupBy("key", "coarse", "fine", "total", "before").agg(F.sum("n").alias("n"))
-        .withColumn("before", F.col("before") + _running_before("n", ["key", "coarse"], "fine"))
-        .where(hit).drop("n")
-    )
-    return (
-        near.drop("total", "before").join(fine, ["key", "coarse", "fine"])
-        .withColumn("before", F.col("before")
-                    + _running_before("n", ["key", "coarse", "fine"], "v"))
-        .where(hit)
-    )
+    total, first = F.col("total"), F.col("before")
+    if method == "nearest":
+        ranks = [_nearest_rank(total, p) for p in probabilities]
+    else:
+        ranks = [r for p in probabilities for r in _interpolated_ranks(total, p)[:2]]
+    return F.exists(F.array(*ranks), lambda r: (r >= first) & (r < first + F.col("n")))
+
+
+def _running_before(partition, order):
+    to_here = (Window.partitionBy(*partition).orderBy(order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return F.sum("n").over(to_here) - F.col("n")
+
+
+def _first_cells(rows):
+    """Counts per leading-bits cell: no more rows per key than coarse cells exist."""
+    counts = (rows.groupBy("key", leading_bits(F.col("v"), CELL_BITS[0]).alias("cell"))
+              .agg(F.count("*").alias("n")))
+    return counts.select(
+        "key", "cell", "n", _running_before(["key"], "cell").alias("before"),
+        F.sum("n").over(Window.partitionBy("key")).alias("total"))
+
+
+def _in_cells(rows, bits, cells, small):
+    """(key, cell, before, total, v, n): the rows of the kept cells, equal values folded."""
+    celled = rows.withColumn("cell", leading_bits(F.col("v"), bits))
+    kept = cells.drop("n")
+    if small:
+        near = celled.join(F.broadcast(kept), ["key", "cell"])
+        return near.groupBy("key", "cell", "before", "total", "v").agg(F.count("*").alias("n"))
+    folded = celled.groupBy("key", "cell", "v").agg(F.count("*").alias("n"))
+    return folded.join(kept, ["key", "cell"])
+
+
+def _finer_cells(near, bits):
+    finer = (near.groupBy("key", F.col("cell").alias("wide"), "before", "total",
+                          leading_bits(F.col("v"), bits).alias("cell"))
+             .agg(F.sum("n").alias("n")))
+    return finer.withColumn(
+        "before", F.col("before") + _running_before(["key", "wide"], "cell")).drop("wide")
+
+
+def _kept(spark, cells, wanted):
+    """Write the cells that hold a wanted rank; give them with their number and largest size."""
+    path = scratch_path(spark, "rank-cells")
+    cells.where(wanted).write.parquet(path)
+    stored = spark.read.schema(cells.schema).parquet(path)
+    number, largest = stored.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
+    return stored, number <= BROADCAST_CELLS, largest
+
+
+def _ranked(rows, probabilities, method):
+    """(key, v, n, before, total) of the values at the wanted ranks."""
+    spark, wanted = rows.sparkSession, _holds_a_rank(probabilities, method)
+    bits = CELL_BITS[0]
+    cells, small, largest = _kept(spark, _first_cells(rows), wanted)
+    for finer in CELL_BITS[1:]:
+        if largest <= CELL_ROWS:
+            break
+        near = _in_cells(rows, bits, cells, small)
+        cells, small, largest = _kept(spark, _finer_cells(near, finer), wanted)
+        bits = finer
+    near = _in_cells(rows, bits, cells, small)
+    return near.withColumn(
+        "before", F.col("before") + _running_before(["key", "cell"], "v")).where(wanted)
 
 
 def percentiles_by_key(rows, value, probabilities, method="interpolated"):
@@ -99,10 +136,8 @@ def percentiles_by_key(rows, value, probabilities, method="interpolated"):
     if method not in ("interpolated", "nearest"):
         raise ValueError("method must be interpolated or nearest")
     v = F.col(value).cast("double")
-    tally = (rows.where(v.isNotNull())
-             .select("key", F.coalesce(v, F.lit(math.nan)).alias("v"))
-             .groupBy("key", "v").agg(F.count("*").alias("n")))
-    picked = _selected(tally, list(probabilities.values()), method)
+    present = rows.where(v.isNotNull()).select("key", F.coalesce(v, F.lit(math.nan)).alias("v"))
+    found = _ranked(present, list(probabilities.values()), method)
 
     def value_at(rank):
         here = (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
@@ -120,7 +155,7 @@ def percentiles_by_key(rows, value, probabilities, method="interpolated"):
         below, above, part = (F.col(f"{name}_{x}") for x in ("low", "high", "part"))
         columns.append(F.when(below == above, below)
                        .otherwise(below * (1 - part) + above * part).alias(name))
-    return picked.groupBy("key").agg(*drafts).select("key", *columns)
+    return found.groupBy("key").agg(*drafts).select("key", *columns)
 
 
 def grouped_percentiles(df, keys, value, probabilities, method="interpolated"):

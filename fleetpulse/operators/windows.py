@@ -31,9 +31,11 @@ def _windowed(heartbeats, seconds, dims):
     )
 
 
-def _flat(aggregated, dims):
+def _flat(aggregated, seconds, dims):
+    start = F.col("window.start")
     return aggregated.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        start.alias("window_start"),
+        (start + F.make_dt_interval(secs=F.lit(seconds))).alias("window_end"),
         *dims,
         F.col("count"), F.col("distinct_count"),
         (F.col("latency_sum") / F.col("count")).alias("avg_latency"),
@@ -93,8 +95,10 @@ def _streamed(windowed, keys, distinct):
 
 
 def _batched(windowed, dims, quantiles):
+    # one long of the window is enough to tell groups apart
+    start = F.struct(F.col("window.start").alias("start"))
     keyed = windowed.select(
-        F.struct("window", *dims).alias("key"), "device_id", "latency_ms")
+        F.struct(start.alias("window"), *dims).alias("key"), "device_id", "latency_ms")
     summary = _by_key(_per_device(keyed, ["key"]), ["key"])
     if quantiles == "exact":
         points = percentiles_by_key(keyed, "latency_ms", schema.PERCENTILES)
@@ -123,12 +127,12 @@ def window_aggregate(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIME
         raise ValueError("a stream keeps bounded percentile state: use quantiles='sketch'")
     windowed = _windowed(heartbeats, seconds, dims)
     if streaming:
-        return _flat(_streamed(windowed, ["window", *dims], distinct), dims)
+        return _flat(_streamed(windowed, ["window", *dims], distinct), seconds, dims)
     if distinct == "approx" and quantiles != "exact":
-        return _flat(_one_pass(windowed, ["window", *dims], quantiles), dims)
+        return _flat(_one_pass(windowed, ["window", *dims], quantiles), seconds, dims)
     if distinct == "approx":
         raise ValueError("approx distinct goes with approx or sketch quantiles")
-    return _flat(_batched(windowed, dims, quantiles), dims)
+    return _flat(_batched(windowed, dims, quantiles), seconds, dims)
 
 
 def sketch_windows(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIMENSIONS):

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.operators.decode import encode_heartbeats
-from fleetpulse.operators.tables import aggregate_rows, latest_version, lay_out_by_day, raw_rows
+from fleetpulse.operators.tables import (
+    aggregate_rows, latest_version, lay_out_by_day, lay_out_closed_windows, raw_rows,
+)
 from fleetpulse.session import hadoop_path
 
 # Rows per insert statement of the two tables.
@@ -45,6 +47,12 @@ def append_aggregates(windows, path, batch_id=0, ingested_at=None, key=schema.AG
     laid_out.write.mode("append").partitionBy("day").parquet(path)
 
 
+def append_closed_windows(windows, path, batch_id, key=schema.AGGREGATE_KEY):
+    """The same append from inside a micro-batch."""
+    laid_out = lay_out_closed_windows(aggregate_rows(windows, batch_id), key)
+    laid_out.write.mode("append").partitionBy("day").parquet(path)
+
+
 def append_jdbc(rows, url, table, driver, batch_rows):
     (rows.write.format("jdbc").mode("append")
      .options(url=url, dbtable=table, driver=driver, batchsize=batch_rows).save())
@@ -58,21 +66,34 @@ def append_aggregates_jdbc(windows, url, driver, table="heartbeat_aggregates"):
     append_jdbc(windows, url, table, driver, AGGREGATE_JDBC_BATCH)
 
 
+def _days(table, first_day, last_day):
+    if first_day:
+        table = table.where(F.col("day") >= first_day)
+    if last_day:
+        table = table.where(F.col("day") <= last_day)
+    return table
+
+
+def _replace_days(rows, target):
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(target))
+
+
 def compact_days(aggregates, target, first_day=None, last_day=None, key=schema.AGGREGATE_KEY):
     """Write the collapsed rows of whole days below ``target``, replacing those days there.
 
     ``target`` is another folder than the one ``aggregates`` reads, so a task
     that runs again still finds its input. Days outside the range stay as they are.
     """
-    days = aggregates
-    if first_day:
-        days = days.where(F.col("day") >= first_day)
-    if last_day:
-        days = days.where(F.col("day") <= last_day)
     # the day follows from the window start; as a key it keeps the filter on folders
-    collapsed = latest_version(days, ("day", *key))
-    (lay_out_by_day(collapsed, key).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target))
+    collapsed = latest_version(_days(aggregates, first_day, last_day), ("day", *key))
+    _replace_days(lay_out_by_day(collapsed, key), target)
+
+
+def sort_raw_days(raw, target, first_day=None, last_day=None):
+    """Merge the small unsorted files a stream leaves into sorted ones below ``target``."""
+    days = _days(raw, first_day, last_day)
+    _replace_days(lay_out_by_day(days, schema.RAW_ORDER), target)
 
 
 def drop_expired_days(spark, path, as_of_ms, keep_days):

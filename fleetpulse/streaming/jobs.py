@@ -9,7 +9,7 @@ from fleetpulse.operators.tables import raw_rows
 from fleetpulse.operators.validate import accepted
 from fleetpulse.operators.windows import window_aggregate, with_watermark
 from fleetpulse.session import use_stream_settings
-from fleetpulse.sinks.stores import append_aggregates
+from fleetpulse.sinks.stores import append_closed_windows
 
 
 @dataclass(frozen=True)
@@ -18,14 +18,14 @@ class StreamSettings:
     out_of_order_seconds: int = schema.OUT_OF_ORDER_SECONDS
     dims: tuple = schema.DIMENSIONS
     distinct: str = "exact"
-    # set to an epoch-ms check time to drop invalid rows; off, as events were checked at ingest
-    validate_as_of_ms: int | None = None
+    # an epoch-ms number or column to drop invalid rows by; off, as ingest has checked them
+    validate_now_ms: object = None
 
 
 def heartbeats_of(messages, settings):
     beats = decode_heartbeats(messages)
-    if settings.validate_as_of_ms is not None:
-        beats = accepted(beats, settings.validate_as_of_ms)
+    if settings.validate_now_ms is not None:
+        beats = accepted(beats, settings.validate_now_ms)
     return beats
 
 
@@ -55,7 +55,7 @@ def start_windows(messages, path, checkpoint, settings=StreamSettings(), live=Tr
     key = ("window_start", *settings.dims)
 
     def write(windows, batch_id):
-        append_aggregates(windows, path, batch_id, key=key)
+        append_closed_windows(windows, path, batch_id, key)
 
     writer = (closed_windows(messages, settings).writeStream.outputMode("append")
               .foreachBatch(write).option("checkpointLocation", checkpoint)
