@@ -1,0 +1,133 @@
+import pytest
+from pyspark.sql import functions as F
+
+from fleetpulse import schema
+from fleetpulse.operators import tables
+from fleetpulse.plans import reads
+from fleetpulse.plans.reads import ReadFilter
+from fleetpulse.session import scratch_path
+from tests.helpers import beat, beats, rows_of
+
+MINUTE_MS = 60_000
+T0 = 1_704_067_200_000
+
+
+def series_rows(spark, rows):
+    """(start_ms, region, status, count, distinct, avg, p50, p95, p99)"""
+    names = ("ms long, region string, status string, count long, distinct_count long, "
+             "avg_latency double, p50_latency double, p95_latency double, p99_latency double")
+    return spark.createDataFrame(rows, names).select(
+        F.timestamp_millis("ms").alias("window_start"),
+        F.timestamp_millis(F.col("ms") + MINUTE_MS).alias("window_end"),
+        *[c.strip().split()[0] for c in names.split(",")[1:]])
+
+
+def window(ms, region="us", status="ok", count=1, unique=1, avg=1.0, p50=1.0, p95=1.0, p99=1.0):
+    return (ms, region, status, count, unique, avg, p50, p95, p99)
+
+
+@pytest.mark.parametrize("arguments, cause", [
+    ({}, "required"),
+    ({"from_ms": 1}, "required"),
+    ({"from_ms": "abc", "to_ms": 2}, "invalid from"),
+    ({"from_ms": 1, "to_ms": "x"}, "invalid to"),
+    ({"from_ms": 200, "to_ms": 100}, "greater"),
+    ({"from_ms": 100, "to_ms": 100}, "greater"),
+    ({"from_ms": 0, "to_ms": 100}, "positive"),
+    ({"from_ms": 1, "to_ms": 1 + 8 * 86_400_000}, "7 days"),
+    ({"from_ms": 1, "to_ms": 10 ** 18}, "7 days"),
+    ({"from_ms": 1, "to_ms": 2, "status": "panic"}, "status"),
+    ({"from_ms": 1, "to_ms": 2, "limit": -5}, "limit"),
+    ({"from_ms": 1, "to_ms": 2, "limit": 0}, "limit"),
+    ({"from_ms": 1, "to_ms": 2, "limit": "many"}, "limit"),
+    ({"from_ms": 1, "to_ms": 2, "device_id": "d"}, "device_id"),
+])
+def test_arguments_are_checked(arguments, cause):
+    with pytest.raises(ValueError, match=cause):
+        ReadFilter.of(**arguments)
+
+
+def test_argument_defaults_and_caps():
+    assert ReadFilter.of(1, 2) == ReadFilter(1, 2, "", "", 2000)
+    assert ReadFilter.of("1", "2", region="us", limit="70000").limit == 10_000
+    assert ReadFilter.of(1, 1 + 7 * 86_400_000).to_ms == 1 + 7 * 86_400_000
+
+
+def test_range_is_half_open_and_filters_are_exact(spark):
+    df = series_rows(spark, [window(100), window(200, "eu"), window(300, "us", "warn"), window(400)])
+    found = reads.metrics_series(df, ReadFilter.of(100, 400, region="us"))
+    assert [r.window_start_ms for r in found.collect()] == [100, 300]
+    assert reads.metrics_series(df, ReadFilter.of(100, 400, region="US")).count() == 0
+    assert reads.metrics_series(df, ReadFilter.of(100, 400, limit=2)).count() == 2
+    assert reads.metrics_series(df, ReadFilter.of(1, 1000, region="eu")).count() == 1
+    assert reads.metrics_series(df, ReadFilter.of(1, 1000, status="warn")).count() == 1
+
+
+def test_roll_up(spark):
+    df = series_rows(spark, [window(1, count=10, avg=10.0, p95=50.0, p99=100.0),
+                             window(2, count=90, avg=20.0, p95=60.0, p99=120.0)])
+    raw = tables.raw_rows(beats(spark, [beat(f"d{i}", at=1) for i in range(7)]))
+    summary, series = reads.dashboard(df, raw, ReadFilter.of(1, 100))
+    row = summary.first()
+    assert (row.total_events, row.distinct_devices) == (100, 7)
+    assert (row.avg_latency_ms, row.p95_latency_ms_weighted, row.p99_latency_ms_weighted) == (19.0, 59.0, 118.0)
+    assert series.count() == 2
+
+
+def test_empty_roll_up_is_zero(spark):
+    raw = tables.raw_rows(beats(spark, []))
+    row = reads.dashboard(series_rows(spark, []), raw, ReadFilter.of(1, 100))[0].first()
+    assert tuple(row) == (0, 0.0, 0.0, 0.0, 0)
+
+
+def test_totals_follow_the_limit_and_distinct_the_range(spark):
+    df = series_rows(spark, [window(i, count=1) for i in range(1, 11)])
+    raw = tables.raw_rows(beats(spark, [beat(f"d{i}", at=i) for i in range(1, 11)]))
+    row = reads.dashboard(df, raw, ReadFilter.of(1, 100, limit=4))[0].first()
+    assert (row.total_events, row.distinct_devices) == (4, 10)
+
+
+def test_versions_collapse_on_read(spark):
+    one = series_rows(spark, [window(100, count=1)])
+    both = tables.aggregate_rows(one, 0, F.timestamp_millis(F.lit(1000))).unionByName(
+        tables.aggregate_rows(one.withColumn("count", F.lit(5).cast("long")), 1, F.timestamp_millis(F.lit(1000))))
+    assert reads.metrics_series(both, ReadFilter.of(1, 1000)).first()["count"] == 5
+    assert reads.metrics_series(both, ReadFilter.of(1, 1000), collapse=False).count() == 2
+    assert reads.stored_rows(both).first().stored_rows == 2
+
+
+def test_relative_time_is_strict(spark):
+    df = series_rows(spark, [window(T0), window(T0 + 1)])
+    assert reads.fleet_rollup(df, T0 + 30 * MINUTE_MS).first().events == 1
+
+
+def test_fleet_rollup_and_series(spark):
+    df = series_rows(spark, [
+        window(T0, "us", "ok", 10, 3, 10.0, 1.0, 20.0, 30.0), window(T0 + MINUTE_MS, "us", "ok", 20, 5, 20.1, 1.0, 40.0, 60.0),
+        window(T0, "us", "warn", 99, 7, 1.0, 1.0, 1.0, 1.0)])
+    found = reads.fleet_rollup(df, T0 + 2 * MINUTE_MS, 30).collect()
+    assert [tuple(r) for r in found] == [("us", "warn", 99, 7, 1.0, 1.0, 1.0),
+                                         ("us", "ok", 30, 5, 15.1, 30.0, 45.0)]
+    points = reads.region_series(df, T0 + 2 * MINUTE_MS, 60).collect()
+    assert [(r.region, r.c, r.p99) for r in points] == [("us", 109, 15.5), ("us", 20, 60.0)]
+
+
+def test_latest_windows(spark):
+    df = series_rows(spark, [window(T0 + i * MINUTE_MS, avg=i + 0.25) for i in range(30)])
+    found = reads.latest_windows(df, T0 + 30 * MINUTE_MS, 60).collect()
+    assert len(found) == 20 and (found[0].win, found[0].avg_ms) == ("00:29:00", 29.3)
+
+
+def test_device_history_and_windows(spark):
+    raw = tables.raw_rows(beats(spark, [beat("a", at=1), beat("a", at=5), beat("b", at=2), beat("a", at=10)]))
+    assert [r.device_id for r in reads.device_history(raw, "a", 1, 10).collect()] == ["a", "a"]
+    df = series_rows(spark, [window(1, unique=3), window(2, unique=3), window(3, "eu", unique=1)])
+    assert rows_of(reads.device_windows(df, 1, 3), "device_windows") == [(6,)]
+    assert rows_of(reads.device_windows(df, 1, 9, by=("region",)), "region", "device_windows") == [
+        ("eu", 1), ("us", 6)]
+    assert reads.device_windows(df, 100, 200).first()[0] == 0
+
+
+def test_scratch_folder_comes_from_the_session(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert schema.aggregate_table(("device_model",)).fieldNames()[2:5] == ["region", "status", "device_model"]
