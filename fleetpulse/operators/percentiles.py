@@ -1,8 +1,10 @@
-"""Exact percentiles per group, without gathering a group in one task.
+"""Exact percentiles per group, without gathering a large group in one task.
 
 Spark's own ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. Here the wanted ranks are located by counting instead. A
-cell is a value rounded to its leading bits, so cells keep the order of values:
+aggregation buffer. Here the largest group is counted first. When it has at
+most ``GROUP_ROWS`` rows, each group is gathered and sorted as an array of that
+bounded length. Otherwise the wanted ranks are located by counting. A cell is
+a value rounded to its leading bits, so cells keep the order of values:
 
 1. count rows per (group, cell), combined before the shuffle, so that only
    counts travel; keep the cells in which a wanted rank falls and write them
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from fleetpulse.session import scratch_path
 
 DOUBLE_BITS = 53
+# Rows of a group that may be gathered in one array: some 20 MB.
+GROUP_ROWS = 500_000
 # 64 cells per doubling of the value keep the first counts small; each later pass splits
 # a cell into at most 2**16 finer ones; at 53 bits a cell is one value.
 CELL_BITS = (7, 22, 37, DOUBLE_BITS)
@@ -126,6 +130,45 @@ def _ranked(rows, probabilities, method):
         "before", F.col("before") + _running_before(["key", "cell"], "v")).where(wanted)
 
 
+def _value_columns(probabilities, method, value_at):
+    """Result columns over ``total`` and a function from rank to value."""
+    total, columns = F.col("total"), []
+    for name, p in probabilities.items():
+        if method == "nearest":
+            columns.append(value_at(_nearest_rank(total, p)).alias(name))
+            continue
+        low, high, at = _interpolated_ranks(total, p)
+        below, above, part = value_at(low), value_at(high), at - low
+        columns.append(F.when(below == above, below)
+                       .otherwise(below * (1 - part) + above * part).alias(name))
+    return columns
+
+
+def _by_array(rows, probabilities, method):
+    """Groups of a checked size: one sorted array each."""
+    gathered = rows.groupBy("key").agg(F.sort_array(F.collect_list("v")).alias("values"))
+    sized = gathered.withColumn("total", F.size("values").cast("long"))
+    return sized.select("key", *_value_columns(
+        probabilities, method, lambda rank: F.get("values", rank.cast("int"))))
+
+
+def _by_cells(rows, probabilities, method):
+    """Groups of any size: the few values at the wanted ranks as one short list each."""
+    found = _ranked(rows, list(probabilities.values()), method)
+    spans = found.groupBy("key", "total").agg(
+        F.collect_list(F.struct("before", "n", "v")).alias("spans"))
+
+    def value_at(rank):
+        return F.filter("spans", lambda s: (rank >= s["before"]) & (rank < s["before"] + s["n"]))[0]["v"]
+
+    return spans.select("key", *_value_columns(probabilities, method, value_at))
+
+
+def _largest_group(rows):
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+    return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
 def percentiles_by_key(rows, value, probabilities, method="interpolated"):
     """``rows`` carry a struct column ``key``; gives one row per key, a column per probability.
 
@@ -137,25 +180,8 @@ def percentiles_by_key(rows, value, probabilities, method="interpolated"):
         raise ValueError("method must be interpolated or nearest")
     v = F.col(value).cast("double")
     present = rows.where(v.isNotNull()).select("key", F.coalesce(v, F.lit(math.nan)).alias("v"))
-    found = _ranked(present, list(probabilities.values()), method)
-
-    def value_at(rank):
-        here = (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
-        return F.max(F.when(here, F.col("v")))
-
-    total, columns, drafts = F.col("total"), [], []
-    for name, p in probabilities.items():
-        if method == "nearest":
-            drafts.append(value_at(_nearest_rank(total, p)).alias(name))
-            columns.append(F.col(name))
-            continue
-        low, high, at = _interpolated_ranks(total, p)
-        drafts += [value_at(low).alias(f"{name}_low"), value_at(high).alias(f"{name}_high"),
-                   F.max(at - low).alias(f"{name}_part")]
-        below, above, part = (F.col(f"{name}_{x}") for x in ("low", "high", "part"))
-        columns.append(F.when(below == above, below)
-                       .otherwise(below * (1 - part) + above * part).alias(name))
-    return found.groupBy("key").agg(*drafts).select("key", *columns)
+    way = _by_array if _largest_group(present) <= GROUP_ROWS else _by_cells
+    return way(present, probabilities, method)
 
 
 def grouped_percentiles(df, keys, value, probabilities, method="interpolated"):

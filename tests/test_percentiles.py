@@ -15,13 +15,20 @@ from fleetpulse.operators.percentiles import (
 POINTS = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
 
-@pytest.fixture(params=["one pass", "refined", "refined and shuffled"])
+# GROUP_ROWS, CELL_ROWS, BROADCAST_CELLS
+MODES = {
+    "arrays": (500_000, 4_000_000, 500_000),
+    "cells": (0, 4_000_000, 500_000),
+    "finer cells": (0, 3, 500_000),
+    "finer cells and shuffles": (0, 3, 0),
+}
+
+
+@pytest.fixture(params=MODES)
 def mode(request, monkeypatch):
-    """The same results with the caps so low that finer passes and the shuffled way run."""
-    if request.param != "one pass":
-        monkeypatch.setattr(percentiles, "CELL_ROWS", 3)
-    if request.param == "refined and shuffled":
-        monkeypatch.setattr(percentiles, "BROADCAST_CELLS", 0)
+    """The same results with the caps so low that every way runs."""
+    for name, cap in zip(("GROUP_ROWS", "CELL_ROWS", "BROADCAST_CELLS"), MODES[request.param]):
+        monkeypatch.setattr(percentiles, name, cap)
 
 
 def nearest(values, p):
@@ -73,7 +80,7 @@ def test_load_report_case(spark):
     assert df.agg(F.avg("v")).first()[0] == 40.0
 
 
-def test_nan_sorts_last_and_nulls_do_not_count(spark):
+def test_nan_sorts_last_and_nulls_do_not_count(spark, mode):
     df = frame(spark, {"a": [1.0, float("nan"), None, 3.0]})
     row = nearest_rank_percentiles(df, ["k"], "v", POINTS).first()
     assert (row.p0, row.p50) == (1.0, 3.0) and math.isnan(row.p100)
@@ -84,7 +91,7 @@ def test_total_of_no_rows_is_zero(spark):
     assert total_percentiles(frame(spark, {"a": [2.0], "b": [4.0]}), "v", {"p": 0.5}).first().p == 3.0
 
 
-def test_same_as_the_builtin(spark):
+def test_same_as_the_builtin(spark, mode):
     df = frame(spark, groups()).where("k != 'huge'")
     mine = {r.k: (r.a, r.b) for r in grouped_percentiles(df, ["k"], "v", {"a": 0.5, "b": 0.95}).collect()}
     for r in df.groupBy("k").agg(F.percentile("v", F.array(F.lit(0.5), F.lit(0.95))).alias("p")).collect():
