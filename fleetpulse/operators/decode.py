@@ -20,37 +20,41 @@ def parsed_ok(doc):
     return doc.isNotNull() & doc[BROKEN].isNull()
 
 
-def parse_messages(messages, value="value"):
+def parse_messages(messages, value="value", tags=()):
     """Add ``doc`` next to the message columns.
 
     The one-element explode keeps later filters above the parse, so that each
     body is parsed once and not again inside a pushed-down predicate.
     """
     text = F.col(value).cast("string")
-    return messages.withColumn("doc", F.explode(F.array(typed_json(text, schema.HEARTBEAT))))
+    return messages.withColumn("doc", F.explode(F.array(
+        typed_json(text, schema.with_tags(schema.HEARTBEAT, tags)))))
 
 
-def decode_heartbeats(messages, value="value", keep=()):
-    """Decodable messages as typed rows; absent numbers become 0, absent text stays null."""
-    good = parse_messages(messages, value).where(parsed_ok(F.col("doc")))
+def decode_heartbeats(messages, value="value", keep=(), tags=()):
+    """Decodable messages as typed rows; absent numbers become 0, absent text stays null.
+
+    ``keep`` names message columns to carry along, ``tags`` further text fields to read.
+    """
+    good = parse_messages(messages, value, tags).where(parsed_ok(F.col("doc")))
     return good.select(
         *keep,
-        *[F.col(f"doc.{name}").alias(name) for name in schema.TEXT_FIELDS],
+        *[F.col(f"doc.{name}").alias(name) for name in (*schema.TEXT_FIELDS, *tags)],
         *[number_or_zero(F.col(f"doc.{name}")).cast(schema.HEARTBEAT[name].dataType).alias(name)
           for name in schema.NUMBER_FIELDS],
     )
 
 
-def dead_letters(messages, value="value"):
+def dead_letters(messages, value="value", tags=()):
     """The messages that ``decode_heartbeats`` leaves out, with all their columns."""
-    return parse_messages(messages, value).where(~parsed_ok(F.col("doc"))).drop("doc")
+    return parse_messages(messages, value, tags).where(~parsed_ok(F.col("doc"))).drop("doc")
 
 
-def encode_heartbeats():
+def encode_heartbeats(tags=()):
     """Key and value columns of JSON messages; a zero cpu or mem reading is left out of the document."""
     reading = {name: F.nullif(number_or_zero(F.col(name)), F.lit(0.0)).alias(name)
                for name in ("cpu_usage", "mem_usage")}
-    fields = [text_or_empty(F.col(name)).alias(name) for name in schema.TEXT_FIELDS]
+    fields = [text_or_empty(F.col(name)).alias(name) for name in (*schema.TEXT_FIELDS, *tags)]
     fields += [number_or_zero(F.col(name)).alias(name) for name in ("timestamp_ms", "latency_ms")]
     fields += list(reading.values())
     return (text_or_empty(F.col("device_id")).alias("key"),

@@ -169,26 +169,28 @@ def _largest_group(rows):
     return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
 
 
-def percentiles_by_key(rows, value, probabilities, method="interpolated"):
+def percentiles_by_key(rows, value, probabilities, method="interpolated", group_rows=None):
     """``rows`` carry a struct column ``key``; gives one row per key, a column per probability.
 
     ``probabilities`` maps output column names to numbers in 0..1. ``interpolated``
     takes the point between the two neighbours of rank p*(n-1); ``nearest`` takes
     the value of rank ceil(p*n), the smallest for p <= 0 and the largest for p >= 1.
+    ``group_rows`` lowers the size up to which groups are gathered.
     """
     if method not in ("interpolated", "nearest"):
         raise ValueError("method must be interpolated or nearest")
     v = F.col(value).cast("double")
     present = rows.where(v.isNotNull()).select("key", F.coalesce(v, F.lit(math.nan)).alias("v"))
-    way = _by_array if _largest_group(present) <= GROUP_ROWS else _by_cells
+    cap = GROUP_ROWS if group_rows is None else min(group_rows, GROUP_ROWS)
+    way = _by_array if _largest_group(present) <= cap else _by_cells
     return way(present, probabilities, method)
 
 
-def grouped_percentiles(df, keys, value, probabilities, method="interpolated"):
+def grouped_percentiles(df, keys, value, probabilities, method="interpolated", group_rows=None):
     """Exact percentiles of ``value`` by the named key columns; null keys form a group."""
     keyed = df.select(F.struct(*keys).alias("key"), F.col(value).alias("value"))
-    return percentiles_by_key(keyed, "value", probabilities, method).select(
-        "key.*", *probabilities)
+    found = percentiles_by_key(keyed, "value", probabilities, method, group_rows)
+    return found.select("key.*", *probabilities)
 
 
 def total_percentiles(df, value, probabilities, method="interpolated"):

@@ -6,12 +6,12 @@ from fleetpulse import schema
 from fleetpulse.functions import day_key, event_time, narrow, number_or_zero, text_or_empty, whole_second
 
 
-def raw_rows(heartbeats):
+def raw_rows(heartbeats, tags=()):
     """Heartbeats as rows of the raw table."""
     at = event_time(F.col("timestamp_ms"))
     return heartbeats.select(
         at.alias("event_time"),
-        *[text_or_empty(F.col(c)).alias(c) for c in schema.TEXT_FIELDS],
+        *[text_or_empty(F.col(c)).alias(c) for c in (*schema.TEXT_FIELDS, *tags)],
         number_or_zero(F.col("latency_ms")).cast("double").alias("latency_ms"),
         narrow(F.col("cpu_usage")).alias("cpu_usage"),
         narrow(F.col("mem_usage")).alias("mem_usage"),

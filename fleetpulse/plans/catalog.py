@@ -120,6 +120,13 @@ def nearest_rank(spark, sf):
     return nearest_rank_percentiles(beats, ["region", "status"], "latency_ms", points)
 
 
+def latency_percentiles_by_cells(spark, sf):
+    """Exact percentiles per region and status, found the way large groups are."""
+    found = grouped_percentiles(events.heartbeats(spark, sf), ["region", "status"], "latency_ms",
+                                schema.PERCENTILES, group_rows=0)
+    return rounded(found)
+
+
 # --- streams
 
 def _drained(spark, sf, label):
@@ -342,6 +349,7 @@ QUERIES = {
     "window_1d": _window_query(DAY),
     "window_by_extra_dim": window_by_extra_dim,
     "nearest_rank_percentiles": nearest_rank,
+    "latency_percentiles_by_cells": latency_percentiles_by_cells,
     "stream_window_1h": stream_window_1h,
     "stream_raw_copy": stream_raw_copy,
     "stream_restart_no_duplicates": stream_restart_no_duplicates,

@@ -189,6 +189,11 @@ FROM win""",
     "nearest_rank_percentiles": f"""{ranked("region, status")}
 SELECT region, status, min(latency_ms) AS p0, {nearest(0.5)} AS p50, {nearest(0.95)} AS p95,
   {nearest(0.99)} AS p99, max(latency_ms) AS p100 FROM ranked GROUP BY region, status""",
+    "latency_percentiles_by_cells": f"""WITH {HB}
+SELECT region, status, round(quantile_cont(latency_ms, 0.5), 6) AS p50_latency,
+  round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency,
+  round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency
+FROM hb GROUP BY region, status""",
     "stream_window_1h": STREAMED,
     "stream_raw_copy": RAW_ROWS,
     "stream_restart_no_duplicates": STREAMED,

@@ -25,9 +25,10 @@ class ReadFilter:
     region: str = ""
     status: str = ""
     limit: int = schema.DEFAULT_SERIES_LIMIT
+    tags: tuple = ()
 
     @classmethod
-    def of(cls, from_ms=None, to_ms=None, region="", status="", limit=None, device_id=None):
+    def of(cls, from_ms=None, to_ms=None, region="", status="", limit=None, device_id=None, **tags):
         if from_ms in (None, "") or to_ms in (None, ""):
             raise ValueError("from and to (unix ms) are required")
         start, end = _whole_number("from", from_ms), _whole_number("to", to_ms)
@@ -47,20 +48,29 @@ class ReadFilter:
             rows = min(rows, schema.MAX_SERIES_LIMIT)
         if status and status not in schema.STATUSES:
             raise ValueError("status must be one of ok|warn|error")
-        return cls(start, end, region or "", status or "", rows)
+        return cls(start, end, region or "", status or "", rows, tuple(tags.items()))
+
+
+# The aggregate columns that are not dimensions.
+MEASURES = ("window_end", "count", "distinct_count", "avg_latency", *schema.PERCENTILES,
+            *schema.AGGREGATE_VERSION, "day")
 
 
 def current(aggregates, collapse=True):
-    """Newest version per window, where the rows carry versions."""
+    """Newest version per window and dimensions, where the rows carry versions."""
     if collapse and set(schema.AGGREGATE_VERSION) <= set(aggregates.columns):
-        return latest_version(aggregates)
+        return latest_version(aggregates, [c for c in aggregates.columns if c not in MEASURES])
     return aggregates
 
 
+def _tags(aggregates):
+    return [c for c in aggregates.columns
+            if c not in MEASURES and c not in schema.AGGREGATE_KEY]
+
+
 def _matching(table, column, wanted):
     rows = in_time_range(table, column, wanted.from_ms, wanted.to_ms)
-    for name in ("region", "status"):
-        value = getattr(wanted, name)
+    for name, value in (("region", wanted.region), ("status", wanted.status), *wanted.tags):
         if value:
             rows = rows.where(F.col(name) == value)
     return rows
@@ -69,11 +79,12 @@ def _matching(table, column, wanted):
 def metrics_series(aggregates, wanted, collapse=True):
     """Windows in time order, at most ``wanted.limit``, times as epoch ms."""
     rows = current(_matching(aggregates, "window_start", wanted), collapse)
-    ordered = rows.orderBy("window_start", "region", "status").limit(wanted.limit)
+    tags = _tags(aggregates)
+    ordered = rows.orderBy("window_start", "region", "status", *tags).limit(wanted.limit)
     return ordered.select(
         epoch_ms("window_start").alias("window_start_ms"),
         epoch_ms("window_end").alias("window_end_ms"),
-        "region", "status", "count", "distinct_count",
+        "region", "status", *tags, "count", "distinct_count",
         "avg_latency", *schema.PERCENTILES)
 
 

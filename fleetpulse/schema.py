@@ -32,6 +32,19 @@ NUMBER_FIELDS = ("timestamp_ms", "latency_ms", "cpu_usage", "mem_usage")
 
 ENVELOPE = T.StructType([T.StructField("heartbeats", T.ArrayType(HEARTBEAT))])
 
+
+def with_tags(shape, tags=(), after="status"):
+    """A row shape with extra text dimensions, such as a device model, behind ``after``."""
+    fields = list(shape.fields)
+    at = shape.fieldNames().index(after) + 1
+    fields[at:at] = [T.StructField(tag, T.StringType()) for tag in tags]
+    return T.StructType(fields)
+
+
+def extra_tags(dims):
+    return tuple(d for d in dims if d not in DIMENSIONS)
+
+
 REQUEST = T.StructType([
     T.StructField("request_id", T.StringType()),
     T.StructField("kind", T.StringType()),
@@ -68,10 +81,3 @@ AGGREGATE_TABLE = T.StructType([
 AGGREGATE_KEY = ("window_start", "region", "status")
 AGGREGATE_VERSION = ("ingested_at", "batch_id")
 
-
-def aggregate_table(extra_dims=()):
-    """Aggregate-table shape with extra tag dimensions after the default ones."""
-    fields = list(AGGREGATE_TABLE.fields)
-    at = AGGREGATE_TABLE.fieldNames().index("status") + 1
-    fields[at:at] = [T.StructField(d, T.StringType()) for d in extra_dims]
-    return T.StructType(fields)

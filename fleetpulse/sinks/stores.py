@@ -16,9 +16,9 @@ RAW_JDBC_BATCH = 1000
 AGGREGATE_JDBC_BATCH = 500
 
 
-def as_messages(heartbeats):
+def as_messages(heartbeats, tags=()):
     """Key and value columns as a topic takes them; no rows give no messages."""
-    return heartbeats.select(*encode_heartbeats())
+    return heartbeats.select(*encode_heartbeats(tags))
 
 
 def kafka_options(brokers, topic):
@@ -35,9 +35,9 @@ def publish_stream(heartbeats, brokers, topic, checkpoint):
             .option("checkpointLocation", checkpoint).start())
 
 
-def append_raw(heartbeats, path):
+def append_raw(heartbeats, path, tags=()):
     """Backfill of the raw table from a batch of heartbeats."""
-    laid_out = lay_out_by_day(raw_rows(heartbeats), schema.RAW_ORDER)
+    laid_out = lay_out_by_day(raw_rows(heartbeats, tags), schema.RAW_ORDER)
     laid_out.write.mode("append").partitionBy("day").parquet(path)
 
 

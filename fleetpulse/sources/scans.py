@@ -40,12 +40,12 @@ def peek(messages, n=5):
     return messages.limit(n)
 
 
-def raw_table(spark, path):
-    return spark.read.schema(schema.RAW_TABLE).parquet(path)
+def raw_table(spark, path, tags=()):
+    return spark.read.schema(schema.with_tags(schema.RAW_TABLE, tags)).parquet(path)
 
 
-def aggregate_table(spark, path, extra_dims=()):
-    return spark.read.schema(schema.aggregate_table(extra_dims)).parquet(path)
+def aggregate_table(spark, path, tags=()):
+    return spark.read.schema(schema.with_tags(schema.AGGREGATE_TABLE, tags)).parquet(path)
 
 
 def parquet_stream(spark, path, shape):

@@ -20,10 +20,11 @@ class StreamSettings:
     distinct: str = "exact"
     # an epoch-ms number or column to drop invalid rows by; off, as ingest has checked them
     validate_now_ms: object = None
+    trigger: str = "1 second"
 
 
 def heartbeats_of(messages, settings):
-    beats = decode_heartbeats(messages)
+    beats = decode_heartbeats(messages, tags=schema.extra_tags(settings.dims))
     if settings.validate_now_ms is not None:
         beats = accepted(beats, settings.validate_now_ms)
     return beats
@@ -36,17 +37,19 @@ def closed_windows(messages, settings=StreamSettings()):
                             distinct=settings.distinct)
 
 
-def _triggered(writer, live):
-    return writer.trigger(processingTime="1 second") if live else writer.trigger(availableNow=True)
+def _triggered(writer, settings, live):
+    if live:
+        return writer.trigger(processingTime=settings.trigger)
+    return writer.trigger(availableNow=True)
 
 
 def start_raw_copy(messages, path, checkpoint, settings=StreamSettings(), live=True):
     """Append every heartbeat, late ones included, through the exactly-once file sink."""
-    rows = raw_rows(heartbeats_of(messages, settings))
+    rows = raw_rows(heartbeats_of(messages, settings), schema.extra_tags(settings.dims))
     writer = (rows.writeStream.outputMode("append").partitionBy("day").format("parquet")
               .option("path", path).option("checkpointLocation", checkpoint)
               .queryName("raw_copy"))
-    return _triggered(writer, live).start()
+    return _triggered(writer, settings, live).start()
 
 
 def start_windows(messages, path, checkpoint, settings=StreamSettings(), live=True):
@@ -60,7 +63,7 @@ def start_windows(messages, path, checkpoint, settings=StreamSettings(), live=Tr
     writer = (closed_windows(messages, settings).writeStream.outputMode("append")
               .foreachBatch(write).option("checkpointLocation", checkpoint)
               .queryName("windows"))
-    return _triggered(writer, live).start()
+    return _triggered(writer, settings, live).start()
 
 
 def start_pipeline(spark, open_source, root, settings=StreamSettings(), live=True):

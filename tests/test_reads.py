@@ -130,4 +130,5 @@ def test_device_history_and_windows(spark):
 
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
-    assert schema.aggregate_table(("device_model",)).fieldNames()[2:5] == ["region", "status", "device_model"]
+    tagged = schema.with_tags(schema.AGGREGATE_TABLE, ("device_model",))
+    assert tagged.fieldNames()[2:5] == ["region", "status", "device_model"]

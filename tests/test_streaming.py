@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetpulse import schema
 from fleetpulse.operators import tables, windows
 from fleetpulse.operators.envelopes import classify_requests, observe_counters
+from fleetpulse.plans import reads
 from fleetpulse.sources import scans
 from fleetpulse.session import use_stream_settings
 from fleetpulse.streaming import jobs
@@ -77,6 +79,49 @@ def test_a_row_after_close_is_dropped(stage):
     assert stage.emitted() == [(0, 1, 1), (60, 2, 1)] and stage.dropped == 1
 
 
+@pytest.mark.parametrize("files, expected, dropped", [
+    ([[1], [89.999]], [], 0),
+    ([[1], [90]], [(0, 1, 1)], 0),
+    ([[1, 300, 2]], [(0, 2, 1)], 0),
+    ([[1], [90], [10]], [(0, 2, 1)], 0),
+    ([[1], [90], [95], [10], [200]], [(0, 1, 1), (60, 2, 1)], 1),
+])
+def test_files_as_micro_batches_of_one_run(stage, files, expected, dropped):
+    """Within one run a late row still counts in the batch right after the closing one."""
+    for seconds in files:
+        stage.put([json.dumps({"device_id": "a", "region": "us", "status": "ok", "latency_ms": 1.0,
+                               "timestamp_ms": int(T0 + sec * 1000)}) for sec in seconds])
+        time.sleep(0.05)
+    query = jobs.start_windows(scans.file_stream(stage.spark, f"{stage.folder}/inbox", 1),
+                               f"{stage.folder}/out", f"{stage.folder}/checkpoints", live=False)
+    query.awaitTermination()
+    late = sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+    assert (stage.emitted()[:len(expected) or None], late) == (expected, dropped)
+
+
+def test_idle_source_keeps_its_last_window_and_a_batch_flushes_it(stage):
+    stage.arrive((1, "a")).arrive()
+    assert stage.emitted() == []
+    rows = [beat("a", "us", "ok", T0 + 1000)]
+    assert windows.window_aggregate(beats(stage.spark, rows)).count() == 1
+
+
+def test_extra_tag_from_message_to_read(spark, folder):
+    settings = jobs.StreamSettings(dims=(*schema.DIMENSIONS, "device_model"))
+    stage = Stage(spark, folder)
+    bodies = [{"device_id": "d", "region": "us", "status": "ok", "timestamp_ms": T0 + at, "device_model": m}
+              for at, m in ((1, "m1"), (2, "m2"), (3, "m2"), (600_000, "m1"))]
+    stage.put([json.dumps(b) for b in bodies])
+    jobs.drain(spark, lambda: scans.file_stream(spark, f"{folder}/inbox"), f"{folder}/t", settings)
+    tags = ("device_model",)
+    stored = scans.aggregate_table(spark, f"{folder}/t/heartbeat_aggregates", tags)
+    found = reads.metrics_series(stored, reads.ReadFilter.of(T0, T0 + 60_000, device_model="m2"))
+    assert [(r.device_model, r["count"]) for r in found.collect()] == [("m2", 2)]
+    raw = scans.raw_table(spark, f"{folder}/t/heartbeats", tags)
+    assert rows_of(raw, "device_model") == [("m1",), ("m1",), ("m2",), ("m2",)]
+    assert reads.metrics_series(stored, reads.ReadFilter.of(T0, T0 + 60_000)).count() == 2
+
+
 def test_restart_emits_no_window_again(stage):
     stage.arrive((1, "a")).arrive((90, "a"))
     again = jobs.start_windows(scans.file_stream(stage.spark, f"{stage.folder}/inbox"), f"{stage.folder}/out",
