@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from fleetpulse import schema
 from fleetpulse.functions import day_key, event_time, narrow, number_or_zero, text_or_empty, whole_second
 
+# Micro-batch numbers that fit beside the second in one long: 17 years of one per second.
+BATCH_IDS = 2 ** 29
+
 
 def raw_rows(heartbeats, tags=()):
     """Heartbeats as rows of the raw table."""
@@ -39,17 +42,24 @@ def in_time_range(table, column, from_ms, to_ms):
         day_key(F.timestamp_millis(F.lit(from_ms))), day_key(F.timestamp_millis(F.lit(to_ms - 1)))))
 
 
-def latest_version(aggregates, key=schema.AGGREGATE_KEY, version=schema.AGGREGATE_VERSION):
+def _version():
+    """Insert second and batch as one long, so that the newest is found by hash aggregation."""
+    batch = F.col("batch_id")
+    checked = F.when(batch.between(0, BATCH_IDS - 1), batch).otherwise(
+        F.raise_error(F.lit("batch_id out of range")).cast("long"))
+    return F.unix_seconds("ingested_at") * BATCH_IDS + checked
+
+
+def latest_version(aggregates, key=schema.AGGREGATE_KEY):
     """One row per key: the newest insert, the higher batch on equal seconds.
 
     The maximum is folded before the shuffle, so many copies of one key travel
-    as one row per map task.
+    as one row per map task, and columns nobody asks for are not read. The day
+    follows from the window start and stays a grouping column.
     """
-    rest = [c for c in aggregates.columns if c not in key]
-    newest = F.max_by(F.struct(*rest), F.struct(*version))
-    collapsed = aggregates.groupBy(*key).agg(newest.alias("row"))
-    return collapsed.select(*[c if c in key else F.col(f"row.{c}").alias(c)
-                              for c in aggregates.columns])
+    fixed = [c for c in aggregates.columns if c in key or c == "day"]
+    newest = [F.max_by(c, _version()).alias(c) for c in aggregates.columns if c not in fixed]
+    return aggregates.groupBy(*fixed).agg(*newest).select(*aggregates.columns)
 
 
 def unexpired(table, column, as_of_ms, keep_days):

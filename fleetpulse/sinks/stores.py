@@ -85,8 +85,7 @@ def compact_days(aggregates, target, first_day=None, last_day=None, key=schema.A
     ``target`` is another folder than the one ``aggregates`` reads, so a task
     that runs again still finds its input. Days outside the range stay as they are.
     """
-    # the day follows from the window start; as a key it keeps the filter on folders
-    collapsed = latest_version(_days(aggregates, first_day, last_day), ("day", *key))
+    collapsed = latest_version(_days(aggregates, first_day, last_day), key)
     _replace_days(lay_out_by_day(collapsed, key), target)
 
 

@@ -47,11 +47,24 @@ def test_newest_version_wins_and_batch_breaks_ties(spark):
 
 
 def test_a_third_of_the_rows_are_copies_of_one_key(spark):
-    rows = [(T0, "r", "ok", i, i, 0) for i in range(500)] + [
+    rows = [(T0, "r", "ok", i, i * 1000, 0) for i in range(500)] + [
         (T0 + i * 60_000, "r", "ok", i, 1, 0) for i in range(1, 1000)]
     df = tables.latest_version(version(spark, rows).repartition(6))
     assert df.count() == 1000 and df.where(F.col("window_start") == F.timestamp_millis(F.lit(T0))).first()["count"] == 499
-    assert "partial_max_by" in plan_of(df)
+    plan = plan_of(df)
+    assert "partial_max_by" in plan and "SortAggregate" not in plan
+
+
+def test_collapse_reads_only_the_columns_in_use(spark, folder):
+    stores.append_aggregates(windows.window_aggregate(beats(spark, hourly(5))), f"{folder}/a")
+    df = tables.latest_version(scans.aggregate_table(spark, f"{folder}/a"))
+    plan = plan_of(df.groupBy("region").agg(F.sum("count")))
+    assert "p50_latency" not in plan and "window_end" not in plan
+
+
+def test_batch_out_of_range_fails(spark):
+    with pytest.raises(Exception, match="batch_id out of range"):
+        tables.latest_version(version(spark, [(T0, "r", "ok", 1, 1000, 2 ** 29)])).collect()
 
 
 def test_filter_on_key_reaches_the_scan_below_the_collapse(spark, folder):
