@@ -7,6 +7,7 @@ Each query runs once unmeasured, then ``BENCH_RUNS`` times; the median counts.
 import json
 import os
 import statistics
+import sys
 import time
 
 from fleetpulse.operators import windows
@@ -25,7 +26,7 @@ REGISTERED = (
     "dashboard_week", "metrics_series", "distinct_devices", "fleet_rollup",
     "region_series", "latest_versions", "kll_percentile_check",
 )
-STREAMED = ("stream_window_1h",)
+STREAMED = ("stream_window_1h", "stream_raw_copy")
 
 
 def timed(action):
@@ -61,7 +62,15 @@ def stored_actions(spark):
     }
 
 
+def only_the_result_on_stdout():
+    """Point file descriptor 1 at stderr for Spark and its JVM; give the real one back."""
+    real = os.fdopen(os.dup(1), "w")
+    os.dup2(sys.stderr.fileno(), 1)
+    return real
+
+
 def main():
+    out = only_the_result_on_stdout()
     spark = pin_utc(build_session("fleetpulse-bench", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"}))
@@ -74,7 +83,8 @@ def main():
         action()
         results[name] = statistics.median(timed(action) for _ in range(RUNS))
     for name in STREAMED:
-        results[name] = timed(lambda: drain(queries[name](spark, SF_DIR)))
+        for _ in range(2):
+            results[name] = timed(lambda: drain(queries[name](spark, SF_DIR)))
     rows = events.heartbeats(spark, SF_DIR).count()
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(results.values()), 3), "unit": "sec",
@@ -82,7 +92,7 @@ def main():
         "sf": SF_DIR.rstrip("/").rsplit("/sf", 1)[-1], "events": rows,
         "window_1m_events_per_sec": round(rows / results["window_1m"]),
         "stream_events_per_sec": round(rows / results["stream_window_1h"]),
-    }))
+    }), file=out, flush=True)
     spark.stop()
 
 

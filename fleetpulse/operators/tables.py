@@ -83,13 +83,16 @@ def unexpired_aggregates(table, as_of_ms, keep_days=schema.AGGREGATE_RETENTION_D
     return unexpired(table, "window_start", as_of_ms, keep_days)
 
 
-def lay_out_by_day(rows, order):
+def lay_out_by_day(rows, order, in_time_order=False):
     """Range-split by day and sort columns, sorted inside each task.
 
     Files then cover disjoint time ranges and a day of any size spans as many
     tasks as it needs. The input partition number as last range column splits
-    a run of equal rows too; adaptive execution merges small ranges.
+    a run of equal rows too; adaptive execution merges small ranges. Input whose
+    partitions follow time already is sorted where it is, without a shuffle.
     """
+    if in_time_order:
+        return rows.sortWithinPartitions("day", *order)
     tagged = rows.withColumn("_origin", F.spark_partition_id())
     spread = tagged.repartitionByRange("day", *order, "_origin")
     return spread.sortWithinPartitions("day", *order).drop("_origin")

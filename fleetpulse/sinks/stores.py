@@ -35,9 +35,9 @@ def publish_stream(heartbeats, brokers, topic, checkpoint):
             .option("checkpointLocation", checkpoint).start())
 
 
-def append_raw(heartbeats, path, tags=()):
+def append_raw(heartbeats, path, tags=(), in_time_order=False):
     """Backfill of the raw table from a batch of heartbeats."""
-    laid_out = lay_out_by_day(raw_rows(heartbeats, tags), schema.RAW_ORDER)
+    laid_out = lay_out_by_day(raw_rows(heartbeats, tags), schema.RAW_ORDER, in_time_order)
     laid_out.write.mode("append").partitionBy("day").parquet(path)
 
 

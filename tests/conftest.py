@@ -11,7 +11,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("fleetpulse-tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="fleetpulse-tests-"),

@@ -9,7 +9,7 @@ from fleetpulse import schema
 from fleetpulse.operators import tables, windows
 from fleetpulse.operators.envelopes import classify_requests, observe_counters
 from fleetpulse.plans import reads
-from fleetpulse.sources import scans
+from fleetpulse.sources import events, scans
 from fleetpulse.session import use_stream_settings
 from fleetpulse.streaming import jobs
 from tests.helpers import NOW_MS, beat, beats, rows_of
@@ -187,6 +187,19 @@ def test_a_replayed_micro_batch_collapses_on_read(stage):
     assert tables.latest_version(twice).count() == 1
 
 
+def test_parquet_datasets_as_streams(spark, folder, sf_dir):
+    def streamed(path, shape, name):
+        query = (scans.parquet_stream(spark, path, shape).writeStream.format("memory").queryName(name)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        return spark.table(name).count()
+
+    beats(spark, [beat()] * 3).write.parquet(f"{folder}/dataset")
+    assert streamed(f"{folder}/dataset", schema.HEARTBEAT, "folder_dataset") == 3
+    one_file = f"{sf_dir}/events.parquet"
+    assert streamed(one_file, events.EVENTS, "file_dataset") == spark.read.parquet(one_file).count()
+
+
 def test_stream_needs_bounded_percentiles(spark, folder):
     messages = spark.readStream.schema("value string").text(folder)
     timed = windows.with_watermark(jobs.heartbeats_of(messages, jobs.StreamSettings()))

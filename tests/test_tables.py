@@ -84,6 +84,21 @@ def test_layout_is_sorted_and_split_by_day(spark, folder):
         assert times == sorted(times)
 
 
+def test_input_in_time_order_is_not_shuffled(spark, folder):
+    rows = tables.raw_rows(beats(spark, hourly(48)).coalesce(1))
+    assert "Exchange" not in plan_of(tables.lay_out_by_day(rows, schema.RAW_ORDER, in_time_order=True))
+    stores.append_raw(beats(spark, hourly(48)), f"{folder}/raw", in_time_order=True)
+    assert scans.raw_table(spark, f"{folder}/raw").count() == 48
+
+
+def test_windows_from_the_stored_raw_table(spark, folder):
+    df = beats(spark, hourly(30))
+    stores.append_raw(df, f"{folder}/raw")
+    stored = windows.window_aggregate(scans.raw_table(spark, f"{folder}/raw"), 7200)
+    direct = windows.window_aggregate(df, 7200)
+    assert rows_of(stored, *direct.columns) == rows_of(direct, *direct.columns)
+
+
 def test_equal_rows_are_spread_over_tasks(spark):
     df = beats(spark, [beat(None, None, None, 0, 0.0)] * 4000).repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
