@@ -100,12 +100,15 @@ def weighted(metric, weight="count"):
     return F.coalesce(F.sum(F.col(metric) * F.col(weight)) / F.nullif(total, F.lit(0)), F.lit(0.0))
 
 
+def _totals():
+    return (F.coalesce(F.sum("count"), F.lit(0)).alias("total_events"),
+            weighted("avg_latency").alias("avg_latency_ms"),
+            weighted("p95_latency").alias("p95_latency_ms_weighted"),
+            weighted("p99_latency").alias("p99_latency_ms_weighted"))
+
+
 def roll_up(series):
-    return series.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("total_events"),
-        weighted("avg_latency").alias("avg_latency_ms"),
-        weighted("p95_latency").alias("p95_latency_ms_weighted"),
-        weighted("p99_latency").alias("p99_latency_ms_weighted"))
+    return series.agg(*_totals())
 
 
 def dashboard(aggregates, raw, wanted, collapse=True):
@@ -125,6 +128,45 @@ def _since(aggregates, as_of_ms, minutes):
     return rows
 
 
+def _listed(series):
+    """The series as one array in time order; the limit of the filter caps its length."""
+    return F.array_sort(F.collect_list(F.struct(*series.columns))).alias("series")
+
+
+def _echo(wanted):
+    fields = {"from_ms": wanted.from_ms, "to_ms": wanted.to_ms, "region": wanted.region,
+              "status": wanted.status, "limit": wanted.limit, **dict(wanted.tags)}
+    return F.struct(*[F.lit(v).alias(k) for k, v in fields.items()])
+
+
+def metrics_document(aggregates, wanted, collapse=True):
+    """The series answer as one row: filter, count and series."""
+    series = metrics_series(aggregates, wanted, collapse)
+    answer = series.agg(F.count("*").alias("count"), _listed(series))
+    return answer.select(_echo(wanted).alias("filter"), "count", "series")
+
+
+def distinct_document(raw, wanted):
+    return distinct_devices(raw, wanted).select(_echo(wanted).alias("filter"), "distinct_devices")
+
+
+def dashboard_document(aggregates, raw, wanted, collapse=True):
+    """The dashboard answer as one row with its series inside."""
+    series = metrics_series(aggregates, wanted, collapse)
+    return series.agg(*_totals(), _listed(series)).select(
+        _echo(wanted).alias("filter"), "total_events",
+        distinct_devices(raw, wanted).scalar().alias("distinct_devices"), "avg_latency_ms",
+        "p95_latency_ms_weighted", "p99_latency_ms_weighted", "series")
+
+
+def register_views(aggregates, raw):
+    """Views for SQL text: ``heartbeats``, ``heartbeat_aggregates`` with the newest version
+    of each window, ``heartbeat_aggregates_stored`` with all versions as stored."""
+    raw.createOrReplaceTempView("heartbeats")
+    current(aggregates).createOrReplaceTempView("heartbeat_aggregates")
+    aggregates.createOrReplaceTempView("heartbeat_aggregates_stored")
+
+
 def fleet_rollup(aggregates, as_of_ms, minutes=30, collapse=True):
     """Per region and status: events, peak devices, plain means of the window metrics."""
     rows = current(_since(aggregates, as_of_ms, minutes), collapse)

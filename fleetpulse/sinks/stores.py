@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
+from fleetpulse.functions import number_or_zero
 from fleetpulse.operators.decode import encode_heartbeats
 from fleetpulse.operators.tables import (
     aggregate_rows, latest_version, lay_out_by_day, lay_out_closed_windows, raw_rows,
@@ -25,12 +26,20 @@ def kafka_options(brokers, topic):
     return {"kafka.bootstrap.servers": brokers, "topic": topic, "kafka.acks": "1"}
 
 
-def publish_batch(heartbeats, brokers, topic):
-    (as_messages(heartbeats).write.format("kafka").options(**kafka_options(brokers, topic)).save())
+def topic_rows(heartbeats, tags=()):
+    """Messages with the event time as a header: the topic sink stamps its own message time."""
+    time_header = F.struct(F.lit("timestamp_ms").alias("key"),
+                           number_or_zero(F.col("timestamp_ms")).cast("string").cast("binary").alias("value"))
+    return heartbeats.select(*encode_heartbeats(tags), F.array(time_header).alias("headers"))
 
 
-def publish_stream(heartbeats, brokers, topic, checkpoint):
-    return (as_messages(heartbeats).writeStream.format("kafka")
+def publish_batch(heartbeats, brokers, topic, tags=()):
+    (topic_rows(heartbeats, tags).write.format("kafka")
+     .options(**kafka_options(brokers, topic)).save())
+
+
+def publish_stream(heartbeats, brokers, topic, checkpoint, tags=()):
+    return (topic_rows(heartbeats, tags).writeStream.format("kafka")
             .options(**kafka_options(brokers, topic))
             .option("checkpointLocation", checkpoint).start())
 
@@ -58,11 +67,13 @@ def append_jdbc(rows, url, table, driver, batch_rows):
      .options(url=url, dbtable=table, driver=driver, batchsize=batch_rows).save())
 
 
-def append_raw_jdbc(heartbeats, url, driver, table="heartbeats"):
-    append_jdbc(raw_rows(heartbeats).drop("day"), url, table, driver, RAW_JDBC_BATCH)
+def append_raw_jdbc(raw, url, driver, table="heartbeats"):
+    """Rows of the raw table into a database; the day is the folder's, not a column there."""
+    append_jdbc(raw.drop("day"), url, table, driver, RAW_JDBC_BATCH)
 
 
 def append_aggregates_jdbc(windows, url, driver, table="heartbeat_aggregates"):
+    """Windows into a database that stamps the insert time and keeps the newest per key."""
     append_jdbc(windows, url, table, driver, AGGREGATE_JDBC_BATCH)
 
 

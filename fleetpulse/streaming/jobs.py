@@ -9,7 +9,7 @@ from fleetpulse.operators.tables import raw_rows
 from fleetpulse.operators.validate import accepted
 from fleetpulse.operators.windows import window_aggregate, with_watermark
 from fleetpulse.session import use_stream_settings
-from fleetpulse.sinks.stores import append_closed_windows
+from fleetpulse.sinks import stores
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ def start_windows(messages, path, checkpoint, settings=StreamSettings(), live=Tr
     key = ("window_start", *settings.dims)
 
     def write(windows, batch_id):
-        append_closed_windows(windows, path, batch_id, key)
+        stores.append_closed_windows(windows, path, batch_id, key)
 
     writer = (closed_windows(messages, settings).writeStream.outputMode("append")
               .foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -66,6 +66,23 @@ def start_windows(messages, path, checkpoint, settings=StreamSettings(), live=Tr
     return _triggered(writer, settings, live).start()
 
 
+def start_raw_jdbc(messages, url, driver, checkpoint, settings=StreamSettings(), live=True):
+    """Every heartbeat into a database table, at least once."""
+    rows = raw_rows(heartbeats_of(messages, settings), schema.extra_tags(settings.dims))
+    writer = (rows.writeStream.outputMode("append")
+              .foreachBatch(lambda batch, _: stores.append_raw_jdbc(batch, url, driver))
+              .option("checkpointLocation", checkpoint).queryName("raw_jdbc"))
+    return _triggered(writer, settings, live).start()
+
+
+def start_windows_jdbc(messages, url, driver, checkpoint, settings=StreamSettings(), live=True):
+    """Closed windows into a database table, at least once."""
+    writer = (closed_windows(messages, settings).writeStream.outputMode("append")
+              .foreachBatch(lambda batch, _: stores.append_aggregates_jdbc(batch, url, driver))
+              .option("checkpointLocation", checkpoint).queryName("windows_jdbc"))
+    return _triggered(writer, settings, live).start()
+
+
 def start_pipeline(spark, open_source, root, settings=StreamSettings(), live=True):
     """Start both queries below ``root``; losing one leaves the other running.
 

@@ -128,6 +128,40 @@ def test_device_history_and_windows(spark):
     assert reads.device_windows(df, 100, 200).first()[0] == 0
 
 
+def versioned(spark, rows):
+    return tables.aggregate_rows(series_rows(spark, rows), 0, F.timestamp_millis(F.lit(T0)))
+
+
+def test_documents(spark):
+    df = versioned(spark, [window(3, count=3), window(1, count=1), window(2, "eu", count=2)])
+    raw = tables.raw_rows(beats(spark, [beat("a", at=1), beat("b", at=2)]))
+    wanted = ReadFilter.of(1, 100, limit=2)
+    row = reads.metrics_document(df, wanted).first()
+    assert (row["count"], [s.window_start_ms for s in row.series], row["filter"].limit) == (2, [1, 2], 2)
+    row = reads.dashboard_document(df, raw, wanted).first()
+    assert (row.total_events, row.distinct_devices, len(row.series)) == (3, 2, 2)
+    row = reads.distinct_document(raw, wanted).first()
+    assert (row.distinct_devices, row["filter"].from_ms) == (2, 1)
+    empty = reads.dashboard_document(df, raw, ReadFilter.of(1000, 2000)).first()
+    assert (empty.total_events, empty.series) == (0, [])
+
+
+def test_sql_text_over_the_views(spark):
+    df = versioned(spark, [window(T0, "us", "ok", 10, 3, 10.0, 1.0, 20.0, 30.0),
+                           window(T0 + MINUTE_MS, "us", "ok", 20, 5, 20.0, 1.0, 40.0, 60.0)])
+    again = tables.aggregate_rows(series_rows(spark, [window(T0, "us", "ok", 11, 4)]), 1,
+                                  F.timestamp_millis(F.lit(T0)))
+    both = df.unionByName(again)
+    reads.register_views(both, tables.raw_rows(beats(spark, [beat("a", at=T0)])))
+    text = """SELECT region, status, sum(count) AS events, max(distinct_count) AS peak_unique_devices,
+      round(avg(avg_latency), 1) AS avg_ms FROM heartbeat_aggregates
+      WHERE window_start > TIMESTAMP'2024-01-01 00:30:00' - INTERVAL 31 MINUTES
+      GROUP BY region, status ORDER BY events DESC"""
+    assert [tuple(r) for r in spark.sql(text).collect()] == [("us", "ok", 31, 5, 10.5)]
+    assert spark.sql("SELECT count(*) FROM heartbeat_aggregates_stored").first()[0] == 3
+    assert spark.sql("SELECT count(DISTINCT device_id) FROM heartbeats").first()[0] == 1
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     tagged = schema.with_tags(schema.AGGREGATE_TABLE, ("device_model",))

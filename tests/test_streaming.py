@@ -9,6 +9,7 @@ from fleetpulse import schema
 from fleetpulse.operators import tables, windows
 from fleetpulse.operators.envelopes import classify_requests, observe_counters
 from fleetpulse.plans import reads
+from fleetpulse.sinks import stores
 from fleetpulse.sources import events, scans
 from fleetpulse.session import use_stream_settings
 from fleetpulse.streaming import jobs
@@ -187,6 +188,25 @@ def test_a_replayed_micro_batch_collapses_on_read(stage):
     assert tables.latest_version(twice).count() == 1
 
 
+def test_database_sinks_get_rows_and_batch_sizes(spark, folder, monkeypatch):
+    """No database runs here: the JDBC write is replaced by files."""
+    def kept(rows, url, table, driver, batch_rows):
+        assert (url, driver, batch_rows) == ("jdbc:x", "d", {"heartbeats": 1000, "heartbeat_aggregates": 500}[table])
+        rows.write.mode("append").parquet(f"{folder}/{table}")
+
+    monkeypatch.setattr(stores, "append_jdbc", kept)
+    stage = Stage(spark, folder)
+    stage.put([json.dumps({"device_id": "d", "timestamp_ms": T0 + at}) for at in (0, 1, 600_000)])
+    source = scans.file_stream(spark, f"{folder}/inbox")
+    jobs.start_raw_jdbc(source, "jdbc:x", "d", f"{folder}/c1", live=False).awaitTermination()
+    jobs.start_windows_jdbc(source, "jdbc:x", "d", f"{folder}/c2", live=False).awaitTermination()
+    raw = spark.read.parquet(f"{folder}/heartbeats")
+    assert raw.count() == 3 and raw.columns == [c for c in schema.RAW_TABLE.fieldNames() if c != "day"]
+    closed = spark.read.parquet(f"{folder}/heartbeat_aggregates")
+    assert closed.columns == schema.AGGREGATE_TABLE.fieldNames()[:10]
+    assert rows_of(closed, "count") == [(2,)]
+
+
 def test_parquet_datasets_as_streams(spark, folder, sf_dir):
     def streamed(path, shape, name):
         query = (scans.parquet_stream(spark, path, shape).writeStream.format("memory").queryName(name)
