@@ -1,10 +1,10 @@
 """Exact percentiles per group, without gathering a large group in one task.
 
 Spark's own ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. Here the largest group is counted first. When it has at
-most ``GROUP_ROWS`` rows, each group is gathered and sorted as an array of that
-bounded length. Otherwise the wanted ranks are located by counting. A cell is
-a value rounded to its leading bits, so cells keep the order of values:
+aggregation buffer. Here groups are counted first. One of at most
+``GROUP_ROWS`` rows is gathered and sorted as an array of that bounded length.
+In a larger one the wanted ranks are located by counting. A cell is a value
+rounded to its leading bits, so cells keep the order of values:
 
 1. count rows per (group, cell), combined before the shuffle, so that only
    counts travel; keep the cells in which a wanted rank falls and write them
@@ -13,8 +13,11 @@ a value rounded to its leading bits, so cells keep the order of values:
    with finer cells inside the kept ones;
 3. fetch the rows of the kept cells, fold equal values and rank what is left.
 
-The kept cells are broadcast when their counted number is small. Otherwise
+All groups go by cells where that moves far fewer rows, which holds from some
+thousand rows per group on. Kept cells and the keys of large groups are
+broadcast when their counted number is small; otherwise all groups go by cells,
 equal values are folded first and both sides are shuffled by (group, cell).
+
 A cell depends on the value alone and the kept cells are a written table, so a
 task that runs again after a loss meets the same ones. The rows must read the
 same in every pass.
@@ -25,17 +28,20 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fleetpulse.session import scratch_path
+from fleetpulse.session import saved
 
 DOUBLE_BITS = 53
 # Rows of a group that may be gathered in one array: some 20 MB.
 GROUP_ROWS = 500_000
+# From these totals and mean group sizes on, cell counts are far fewer than rows to gather.
+COUNTING_ROWS = 2_000_000
+COUNTING_GROUP_ROWS = 1000
 # 64 cells per doubling of the value keep the first counts small; each later pass splits
 # a cell into at most 2**16 finer ones; at 53 bits a cell is one value.
 CELL_BITS = (7, 22, 37, DOUBLE_BITS)
 # Rows of one cell that one task may sort.
 CELL_ROWS = 4_000_000
-# Kept cells to broadcast: about 150 bytes each, so 75 MB at most.
+# Kept cells or large groups to broadcast: about 150 bytes each, so 75 MB at most.
 BROADCAST_CELLS = 500_000
 
 
@@ -105,25 +111,22 @@ def _finer_cells(near, bits):
         "before", F.col("before") + _running_before(["key", "wide"], "cell")).drop("wide")
 
 
-def _kept(spark, cells, wanted):
-    """Write the cells that hold a wanted rank; give them with their number and largest size."""
-    path = scratch_path(spark, "rank-cells")
-    cells.where(wanted).write.parquet(path)
-    stored = spark.read.schema(cells.schema).parquet(path)
+def _kept(cells, wanted):
+    """The cells that hold a wanted rank, whether they are few, and the largest size."""
+    stored = saved(cells.where(wanted), "rank-cells")
     number, largest = stored.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
     return stored, number <= BROADCAST_CELLS, largest
 
 
 def _ranked(rows, probabilities, method):
     """(key, v, n, before, total) of the values at the wanted ranks."""
-    spark, wanted = rows.sparkSession, _holds_a_rank(probabilities, method)
-    bits = CELL_BITS[0]
-    cells, small, largest = _kept(spark, _first_cells(rows), wanted)
+    bits, wanted = CELL_BITS[0], _holds_a_rank(probabilities, method)
+    cells, small, largest = _kept(_first_cells(rows), wanted)
     for finer in CELL_BITS[1:]:
         if largest <= CELL_ROWS:
             break
         near = _in_cells(rows, bits, cells, small)
-        cells, small, largest = _kept(spark, _finer_cells(near, finer), wanted)
+        cells, small, largest = _kept(_finer_cells(near, finer), wanted)
         bits = finer
     near = _in_cells(rows, bits, cells, small)
     return near.withColumn(
@@ -164,26 +167,37 @@ def _by_cells(rows, probabilities, method):
     return spans.select("key", *_value_columns(probabilities, method, value_at))
 
 
-def _largest_group(rows):
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
-    return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+def group_sizes(rows):
+    return saved(rows.groupBy("key").agg(F.count("*").alias("count")), "group-sizes")
 
 
-def percentiles_by_key(rows, value, probabilities, method="interpolated", group_rows=None):
+def percentiles_by_key(rows, value, probabilities, method="interpolated", group_rows=None,
+                       sizes=None):
     """``rows`` carry a struct column ``key``; gives one row per key, a column per probability.
 
     ``probabilities`` maps output column names to numbers in 0..1. ``interpolated``
     takes the point between the two neighbours of rank p*(n-1); ``nearest`` takes
     the value of rank ceil(p*n), the smallest for p <= 0 and the largest for p >= 1.
-    ``group_rows`` lowers the size up to which groups are gathered.
+    ``group_rows`` lowers the size up to which groups are gathered; ``sizes`` is a stored
+    table of key and count where the caller has counted the groups.
     """
     if method not in ("interpolated", "nearest"):
         raise ValueError("method must be interpolated or nearest")
     v = F.col(value).cast("double")
     present = rows.where(v.isNotNull()).select("key", F.coalesce(v, F.lit(math.nan)).alias("v"))
     cap = GROUP_ROWS if group_rows is None else min(group_rows, GROUP_ROWS)
-    way = _by_array if _largest_group(present) <= cap else _by_cells
-    return way(present, probabilities, method)
+    sizes = group_sizes(present) if sizes is None else sizes
+    large = F.col("count") > cap
+    groups, many, total = sizes.agg(
+        F.count("*"), F.count_if(large), F.coalesce(F.sum("count"), F.lit(0))).first()
+    counts_are_fewer = total > COUNTING_ROWS and total >= COUNTING_GROUP_ROWS * groups
+    if many == groups > 0 or many > BROADCAST_CELLS or counts_are_fewer:
+        return _by_cells(present, probabilities, method)
+    if many == 0:
+        return _by_array(present, probabilities, method)
+    keys = F.broadcast(sizes.where(large).select("key"))
+    return _by_cells(present.join(keys, "key", "left_semi"), probabilities, method).unionByName(
+        _by_array(present.join(keys, "key", "left_anti"), probabilities, method))
 
 
 def grouped_percentiles(df, keys, value, probabilities, method="interpolated", group_rows=None):

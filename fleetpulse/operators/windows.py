@@ -8,6 +8,7 @@ from fleetpulse import schema
 from fleetpulse.functions import event_time, text_or_empty
 from fleetpulse.operators import sketches
 from fleetpulse.operators.percentiles import percentiles_by_key
+from fleetpulse.session import saved
 
 APPROX_ACCURACY = 10_000
 
@@ -101,7 +102,9 @@ def _batched(windowed, dims, quantiles):
         F.struct(start.alias("window"), *dims).alias("key"), "device_id", "latency_ms")
     summary = _by_key(_per_device(keyed, ["key"]), ["key"])
     if quantiles == "exact":
-        points = percentiles_by_key(keyed, "latency_ms", schema.PERCENTILES)
+        # one row per window: kept, as its counts also decide how percentiles are found
+        summary = saved(summary, "window-counts")
+        points = percentiles_by_key(keyed, "latency_ms", schema.PERCENTILES, sizes=summary)
     elif quantiles == "approx":
         points = _from_points(keyed.groupBy("key").agg(_approx_percentiles())).drop("points")
     else:

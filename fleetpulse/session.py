@@ -55,6 +55,13 @@ def scratch_path(spark, label):
     return f"{base.rstrip('/')}/fleetpulse/{label}-{uuid.uuid4().hex}"
 
 
+def saved(df, label):
+    """Write a small intermediate result to the scratch folder and read it from there."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hadoop_path(spark, path):
     """(file system, path) pair for a location of any scheme."""
     jvm = spark.sparkContext._jvm

@@ -18,6 +18,7 @@ POINTS = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 # GROUP_ROWS, CELL_ROWS, BROADCAST_CELLS
 MODES = {
     "arrays": (500_000, 4_000_000, 500_000),
+    "arrays and cells": (4, 4_000_000, 500_000),
     "cells": (0, 4_000_000, 500_000),
     "finer cells": (0, 3, 500_000),
     "finer cells and shuffles": (0, 3, 0),
