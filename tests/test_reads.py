@@ -162,6 +162,24 @@ def test_sql_text_over_the_views(spark):
     assert spark.sql("SELECT count(DISTINCT device_id) FROM heartbeats").first()[0] == 1
 
 
+class Session:
+    """Stands for a session without a shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(_, default):
+            return default
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert scratch_path(Session("local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session("spark://host:7077"), "x")
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     tagged = schema.with_tags(schema.AGGREGATE_TABLE, ("device_model",))
