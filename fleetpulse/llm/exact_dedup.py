@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import golomb
-from fleetpulse.llm.common import shuffle_width, text_or_empty, written
+from fleetpulse.llm.common import binaries, in_blocks, shuffle_width, text_or_empty, written
+from fleetpulse.llm.golomb import decode, encode
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 FINGERPRINT_BITS = 48
@@ -52,8 +52,6 @@ def fingerprints_of(digests):
 
 
 def sender(owners, sender_rows):
-    from fleetpulse.llm.common import binaries, in_blocks
-
     bounds = np.array([owner_start(o, owners) for o in range(owners + 1)], np.uint64)
 
     def send(batches):
@@ -71,7 +69,7 @@ def sender(owners, sender_rows):
                 a, b, ra, rb = cuts[owner], cuts[owner + 1], row_cuts[owner], row_cuts[owner + 1]
                 start, end = int(bounds[owner]), int(bounds[owner + 1])
                 out["owner"].append(int(owner))
-                out["code"].append(golomb.encode(values[a:b], start, end - start))
+                out["code"].append(encode(values[a:b], start, end - start))
                 out["repeats"].append(repeats[a:b].tolist())
                 out["ids"].append(ids[ra:rb])
                 out["digests"].append([digests[i] for i in order[ra:rb]])
@@ -85,12 +83,10 @@ def sender(owners, sender_rows):
 
 
 def owner_answers(owners):
-    from fleetpulse.llm.common import binaries
-
     def answer(messages):
         owner = messages.column("owner")[0].as_py()
         start = owner_start(owner, owners)
-        parts = [golomb.decode(code, start) for code in messages.column("code").to_pylist()]
+        parts = [decode(code, start) for code in messages.column("code").to_pylist()]
         _, where, senders = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         shared = np.split(senders[where] > 1, np.cumsum([len(p) for p in parts])[:-1])
         return pa.Table.from_arrays(

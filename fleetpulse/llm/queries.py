@@ -2,10 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import exact_dedup, hamming_search, mixing, sharding
+from fleetpulse.llm import exact_dedup, extraction, hamming_search, mixing, pii, quality, sharding
 from fleetpulse.llm.common import table
 
 
+def op1_skip_chain_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op2_dom_tree_extraction(spark, sf_dir):
+    return extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_poisson_mixing(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "lang", "source", "n_chars", "copy", "shuffle_key")
@@ -19,12 +27,17 @@ def op6_golomb_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_factorisation_quality(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_best_fit_sharding(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_poisson_mixing, op4_multi_index_search, op6_golomb_exact_dedup, op10_best_fit_sharding)}
+    op1_skip_chain_pii, op2_dom_tree_extraction, op3_poisson_mixing, op4_multi_index_search, op6_golomb_exact_dedup,
+    op8_factorisation_quality, op10_best_fit_sharding)}
 
 ORACLES = {
     "op3_poisson_mixing": mixing.ORACLE,
