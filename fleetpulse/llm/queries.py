@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import exact_dedup, extraction, hamming_search, mixing, pii, quality, sharding
+from fleetpulse.llm import exact_dedup, extraction, hamming_search, mixing, packing, pii, quality, sharding
 from fleetpulse.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_golomb_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_bm25_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op8_factorisation_quality(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,7 +41,7 @@ def op10_best_fit_sharding(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_skip_chain_pii, op2_dom_tree_extraction, op3_poisson_mixing, op4_multi_index_search, op6_golomb_exact_dedup,
-    op8_factorisation_quality, op10_best_fit_sharding)}
+    op7_bm25_packing, op8_factorisation_quality, op10_best_fit_sharding)}
 
 ORACLES = {
     "op3_poisson_mixing": mixing.ORACLE,
