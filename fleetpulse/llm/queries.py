@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import exact_dedup, extraction, hamming_search, mixing, packing, pii, quality, sharding
+from fleetpulse.llm import exact_dedup, extraction, hamming_search, mixing, near_dedup, packing, pii, quality, sharding
 from fleetpulse.llm.common import table
 
 
@@ -35,13 +35,18 @@ def op8_factorisation_quality(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_setsketch_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_sharding(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_skip_chain_pii, op2_dom_tree_extraction, op3_poisson_mixing, op4_multi_index_search, op6_golomb_exact_dedup,
-    op7_bm25_packing, op8_factorisation_quality, op10_best_fit_sharding)}
+    op7_bm25_packing, op8_factorisation_quality,
+    op9_setsketch_near_dedup, op10_best_fit_sharding)}
 
 ORACLES = {
     "op3_poisson_mixing": mixing.ORACLE,
