@@ -30,6 +30,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import binaries, mixed, release_shuffles, text_or_empty, written
@@ -43,48 +44,44 @@ BANDS = REGISTERS // BAND
 BASE, RATE, LIMIT = 1.02, 20.0, 4095
 DOUBT = 12.0
 BLOCK = 1024
-CHUNK = 1 << 20
-WORD_CACHE = 1 << 20
+PAIRS_AT_ONCE = 1 << 16
+ROWS_AT_ONCE = 256
 
 _seeds = np.random.default_rng(20240229)
-FACTORS = _seeds.integers(0, 1 << 63, (2, REGISTERS), dtype=np.uint64) | np.uint64(1)
+FACTORS = _seeds.integers(0, 1 << 32, (2, REGISTERS), dtype=np.uint32) | np.uint32(1)
 PLACES = _seeds.integers(0, 1 << 63, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 GRID = np.linspace(0.0, 1.0, 101)
 
-SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, registers binary"
+SKETCH = "row bigint, doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, registers binary"
 
 
-def word_hashes(words, known):
-    for w in set(words).difference(known):
-        if len(known) >= WORD_CACHE:
-            known.clear()
-            return np.array([xxhash.xxh3_64_intdigest(x) for x in words], np.uint64)
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    return np.array([known[w] for w in words], np.uint64)
-
-
-def shingles(text, known):
+def shingles(text):
     """Sorted distinct hashes of the text's shingles."""
     words = text.encode("utf-8", "replace").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    hashed = word_hashes(words, known)
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(WORDS, len(words))
     count = len(words) - width + 1
-    total = np.full(count, PLACES[WORDS] * np.uint64(width), np.uint64)
+    total = np.full(count, width, np.uint64) * PLACES[WORDS]
     for k in range(width):
         total = mixed(total + hashed[k:k + count] * PLACES[k])
     return np.unique(total)
 
 
 def registers_of(items):
-    """SetSketch registers of a non-empty set of hashes."""
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(items), 4096):
-        part = items[start:start + 4096, None] * FACTORS[0] + FACTORS[1]
-        least = np.minimum(least, part.min(0))
-    uniform = (least.astype(np.float64) + 1) / 2.0 ** 64
-    exponential = -np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE
+    """SetSketch registers of a non-empty set of hashes; a hash has 32 bits for each register."""
+    least = np.full(REGISTERS, np.iinfo(np.uint32).max, np.uint32)
+    lead = (items >> np.uint64(32)).astype(np.uint32)
+    held = np.empty((ROWS_AT_ONCE, REGISTERS), np.uint32)
+    for start in range(0, len(lead), ROWS_AT_ONCE):
+        part = lead[start:start + ROWS_AT_ONCE, None]
+        out = held[:len(part)]
+        np.multiply(part, FACTORS[0], out=out)
+        np.add(out, FACTORS[1], out=out)
+        np.minimum(least, out.min(0), out=least)
+    uniform = (least.astype(np.float64) + 1) / 2.0 ** 32
+    exponential = -np.log1p(-np.minimum(uniform, 1 - 1e-12)) / RATE
     return np.clip(np.floor(1 - np.log(exponential) / math.log(BASE)), 0, LIMIT).astype("<u2")
 
 
@@ -95,17 +92,18 @@ def set_key(items):
 
 
 def sketch_rows(batches):
-    known = {}
+    number = TaskContext.get().partitionId() << 40
     for batch in batches:
         out = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            items = shingles(text, known)
+            items = shingles(text)
             a, b = set_key(items).tolist()
-            out.append((doc_id, len(items), a, b, registers_of(items).tobytes() if len(items) else None))
-        columns = list(zip(*out)) or [[]] * 5
+            out.append((number, doc_id, len(items), a, b, registers_of(items).tobytes() if len(items) else None))
+            number += 1
+        columns = list(zip(*out)) or [[]] * 6
         yield pa.RecordBatch.from_arrays(
-            [*[pa.array(c, pa.int64()) for c in columns[:4]], binaries(columns[4])],
-            ["doc_id", "n_shingles", "set_a", "set_b", "registers"])
+            [*[pa.array(c, pa.int64()) for c in columns[:5]], binaries(columns[5])],
+            ["row", "doc_id", "n_shingles", "set_a", "set_b", "registers"])
 
 
 def band_rows(batches):
@@ -133,21 +131,12 @@ def log_likelihood(more, less, equal, u, v, similarity):
     return more * np.log(p) + less * np.log(q) + equal * np.log(np.clip(1 - p - q, 1e-12, 1))
 
 
-def surviving(left, right, sizes_left, sizes_right):
-    """(rows, columns, estimates) of the pairs that the threshold may still hold for."""
-    low, high = np.minimum(sizes_left[:, None], sizes_right), np.maximum(sizes_left[:, None], sizes_right)
-    equal = np.zeros((len(left), len(right)), np.int32)
-    for k in range(REGISTERS):
-        equal += left[:, k, None] == right[None, :, k]
-    # equal registers are at least as many as the similarity's share, but for chance
-    a, b = np.nonzero((100 * low >= SHARE * high) & (equal >= REGISTERS * 0.55))
-    if not len(a):
-        return a, b, np.empty(0)
-    same = equal[a, b]
-    more = np.concatenate([(left[a[k:k + CHUNK // 64]] > right[b[k:k + CHUNK // 64]]).sum(1)
-                           for k in range(0, len(a), CHUNK // 64)])
+def surviving(table, sizes, a, b):
+    """Which of the pairs the threshold may still hold for, and their likeliest similarities."""
+    same = (table[a] == table[b]).sum(1)
+    more = (table[a] > table[b]).sum(1)
     less = REGISTERS - same - more
-    u = sizes_left[a] / (sizes_left[a] + sizes_right[b])
+    u = sizes[a] / (sizes[a] + sizes[b])
     v = 1 - u
     top = np.minimum(u / v, v / u)
     best, estimate = np.full(len(a), -np.inf), np.zeros(len(a))
@@ -156,38 +145,72 @@ def surviving(left, right, sizes_left, sizes_right):
         better = found > best
         best[better], estimate[better] = found[better], x
     at = log_likelihood(more, less, same, u, v, np.minimum(SHARE / 100, top))
-    kept = (estimate >= SHARE / 100) | (at > best - DOUBT)
-    return a[kept], b[kept], estimate[kept]
+    return (estimate >= SHARE / 100) | (at > best - DOUBT), estimate
+
+
+def compared(rows, first_round):
+    """Of whole groups (band, i, j) of rows: the pairs of nodes that go on to verification."""
+    band, i, j, side, node, held = (rows.column(c).to_numpy() for c in ("band", "i", "j", "side", "node", "held"))
+    table = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    sizes = rows.column("n_shingles").to_numpy().astype(np.float64)
+    keys = band_keys(table)
+    place = (keys.view(np.int64) == band[:, None]).argmax(1)
+    count = len(band)
+    starts = group_starts(band, i, j)
+    ends = np.repeat(np.append(starts[1:], count), np.diff(np.append(starts, count)))
+    rights = np.add.reduceat(side, starts)
+    first_right = ends - np.repeat(rights, np.diff(np.append(starts, count)))
+    low = np.where(i == j, np.arange(count) + 1, np.where(side == 0, first_right, ends))
+    found_a, found_b = [], []
+    upto = np.cumsum(ends - low)
+    cuts = np.searchsorted(upto, np.arange(PAIRS_AT_ONCE, upto[-1], PAIRS_AT_ONCE)) if count else []
+    for part in np.split(np.arange(count), cuts):
+        widths = ends[part] - low[part]
+        a = np.repeat(part, widths)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(widths) - widths, widths) + np.repeat(low[part], widths)
+        kept = 100 * np.minimum(sizes[a], sizes[b]) >= SHARE * np.maximum(sizes[a], sizes[b])
+        if not first_round:
+            kept &= held[a] != held[b]
+        a, b = a[kept], b[kept]
+        kept = (keys[a] == keys[b]).argmax(1) == place[a]
+        a, b = a[kept], b[kept]
+        kept, estimate = surviving(table, sizes, a, b)
+        a, b, estimate = a[kept], b[kept], estimate[kept]
+        if first_round and len(a):
+            own, other, score = np.append(a, b), np.append(b, a), np.append(estimate, estimate)
+            order = np.lexsort((-score, own))
+            own, other = own[order], other[order]
+            kept = np.diff(own, prepend=-1) != 0
+            a, b = own[kept], other[kept]
+        found_a.append(node[a])
+        found_b.append(node[b])
+    a, b = np.concatenate(found_a or [node[:0]]), np.concatenate(found_b or [node[:0]])
+    return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+
+def group_starts(*columns):
+    """Where a run of equal rows begins."""
+    changed = np.zeros(len(columns[0]), bool)
+    changed[:1] = True
+    for c in columns:
+        changed[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(changed)
 
 
 def block_pairs(first_round):
-    """Compares the two blocks of a bucket; pairs (node, other) that go on to verification."""
-    def compare(rows):
-        nodes = rows.column("node").to_numpy()
-        table = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
-        sizes = rows.column("n_shingles").to_numpy().astype(np.float64)
-        side = rows.column("side").to_numpy()
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(right):
-            right = left
-        a, b, estimate = surviving(table[left], table[right], sizes[left], sizes[right])
-        a, b = left[a], right[b]
-        kept = nodes[a] != nodes[b]
-        if first_round:
-            a, b, estimate = a[kept], b[kept], estimate[kept]
-            order = np.lexsort((nodes[b], -estimate, nodes[a]))
-            a, b = a[order], b[order]
-            kept = np.diff(nodes[a], prepend=nodes[a][:1] - 1) != 0 if len(a) else np.zeros(0, bool)
-        else:
-            held = rows.column("held").to_numpy()
-            keys = band_keys(table)
-            at = rows.column("band")[0].as_py()
-            place = np.flatnonzero((keys[left[0]].view(np.int64) == at))[0] if len(left) else 0
-            kept &= held[a] != held[b]
-            a, b = a[kept], b[kept]
-            kept = (keys[a] == keys[b]).argmax(1) == place if len(a) else np.zeros(0, bool)
-        a, b = nodes[a[kept]], nodes[b[kept]]
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+    """Compares the blocks of sorted rows group by group; a group is at most two blocks."""
+    def compare(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables(
+                [held, pa.Table.from_batches([batch])])
+            last = group_starts(*(rows.column(c).to_numpy() for c in ("band", "i", "j")))[-1:]
+            if len(last) and last[0]:
+                yield compared(rows.slice(0, last[0]), first_round)
+                rows = rows.slice(last[0])
+            held = rows.combine_chunks()
+        if held is not None and held.num_rows:
+            yield compared(held, first_round)
     return compare
 
 
@@ -212,16 +235,17 @@ def candidates(buckets, classes, held=None):
     else:
         members = members.withColumn("held", F.lit(0).cast("long"))
     rows = blocks_of(members.join(classes, "node"))
-    pairs = rows.groupBy("band", "i", "j").applyInArrow(block_pairs(held is None), "a bigint, b bigint")
+    sorted_rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side").select(
+        "band", "i", "j", "side", "node", "held", "n_shingles", "registers")
+    pairs = sorted_rows.mapInArrow(block_pairs(held is None), "a bigint, b bigint")
     return written(pairs.distinct(), "near-pairs")
 
 
 def linked_rows(batches):
-    known = {}
     for batch in batches:
         kept = []
         for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-            x, y = shingles(x, known), shingles(y, known)
+            x, y = shingles(x), shingles(y)
             both = len(np.intersect1d(x, y, assume_unique=True))
             kept.append(100 * both >= SHARE * (len(x) + len(y) - both))
         yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
@@ -243,11 +267,10 @@ def verified(pairs, nodes, texts):
 
 def own_text_rows(batches):
     """Drops texts of other rows that repeat a class's doc_id."""
-    known = {}
     for batch in batches:
         texts = batch.column("text").to_pylist()
         keys = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
-        same = [tuple(set_key(shingles(t, known)).tolist()) == k for t, k in zip(texts, keys)]
+        same = [tuple(set_key(shingles(t)).tolist()) == k for t, k in zip(texts, keys)]
         yield batch.filter(pa.array(same, pa.bool_())).select(["node", "text"])
 
 
@@ -255,9 +278,7 @@ def near_groups(docs):
     """doc_id, n_shingles, component_id, kept of each document."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = written(texts.mapInArrow(sketch_rows, SKETCH), "sketches").withColumn(
-        "row", F.monotonically_increasing_id())
-    rows = written(rows, "sketch-rows")
+    rows = written(texts.mapInArrow(sketch_rows, SKETCH), "sketches")
     firsts = rows.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("row").alias("node"))
     classes = written(rows.join(firsts.select(F.col("node").alias("row")), "row").select(
         F.col("row").alias("node"), "doc_id", "n_shingles", "set_a", "set_b", "registers"), "set-classes")
