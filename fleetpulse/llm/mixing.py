@@ -12,8 +12,8 @@ the wanted distribution, and no rate is cut.
 Sizes are characters plus one, so that a source of empty texts has a size. Null text counts
 as empty; null source is a source of its own, as is the empty name. Rows that repeat a doc_id
 get equal counts. A source missing from given weights weighs 0. An empty table gives an
-empty result. Other columns are carried along; those named ``copy`` or ``shuffle_key`` are
-replaced.
+empty result. Other columns are carried along; those with the names of the two new columns
+are replaced.
 """
 
 from pyspark.sql import functions as F
@@ -63,8 +63,9 @@ def rates(docs, weights=None, epochs=1.0):
     ).select("__source", "__parts", F.expr(CDF).alias("__cdf"))
 
 
-def mixed(docs, weights=None, epochs=1.0):
-    """Documents repeated to the target weights, in a new global order, with copy and shuffle_key."""
+def mixed(docs, weights=None, epochs=1.0, names=("copy", "shuffle_key")):
+    """Documents repeated to the target weights, in a new global order, with two more columns."""
+    copy_name, key_name = names
     found = written(rates(docs.select("source", "text"), weights, epochs), "source-rates")
     if found.count() <= BROADCAST_SOURCES:
         rated = docs.join(F.broadcast(found), F.col("source").eqNullSafe(F.col("__source")))
@@ -78,9 +79,14 @@ def mixed(docs, weights=None, epochs=1.0):
     count = F.aggregate(F.sequence(F.lit(1), F.col("__parts")), F.lit(0), lambda total, part: total + F.size(
         F.filter("__cdf", lambda c: c <= uniform(part))))
     counted = rated.withColumn("__count", count).filter("__count > 0").drop("__cdf", "__parts", "__source")
-    copies = counted.withColumn("copy", F.explode(F.expr("sequence(0, __count - 1)"))).drop("__count")
-    keyed = copies.withColumn("shuffle_key", hashed("order", F.col("doc_id"), F.col("copy")))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    copies = counted.withColumn(copy_name, F.explode(F.expr("sequence(0, __count - 1)"))).drop("__count")
+    keyed = copies.withColumn(key_name, hashed("order", F.col("doc_id"), F.col(copy_name)))
+    return keyed.repartition(key_name).sortWithinPartitions(key_name)
+
+
+def replicated(docs, weights=None, epochs=1.0):
+    """As ``mixed``, with the columns of ``docs`` only."""
+    return mixed(docs, weights, epochs, ("__copy", "__order")).select(*docs.columns)
 
 
 ORACLE = f"""

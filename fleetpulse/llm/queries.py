@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import exact_dedup, extraction, hamming_search, mixing, near_dedup, packing, pii, quality, sharding
+from fleetpulse.llm import exact_dedup, extraction, hamming_search, mixing, near_dedup, packing, pii, quality, sharding, substring_dedup
 from fleetpulse.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_multi_index_search(spark, sf_dir):
     return hamming_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_induced_substring_dedup(spark, sf_dir):
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_golomb_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -44,8 +48,8 @@ def op10_best_fit_sharding(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_skip_chain_pii, op2_dom_tree_extraction, op3_poisson_mixing, op4_multi_index_search, op6_golomb_exact_dedup,
-    op7_bm25_packing, op8_factorisation_quality,
+    op1_skip_chain_pii, op2_dom_tree_extraction, op3_poisson_mixing, op4_multi_index_search,
+    op5_induced_substring_dedup, op6_golomb_exact_dedup, op7_bm25_packing, op8_factorisation_quality,
     op9_setsketch_near_dedup, op10_best_fit_sharding)}
 
 ORACLES = {
