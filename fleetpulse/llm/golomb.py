@@ -8,7 +8,7 @@ import struct
 
 import numpy as np
 
-HEAD = struct.Struct("<IBI")
+HEAD = "<IBI"  # count, bits of the divisor, bytes of the unary stream
 
 
 def divisor_bits(span, count):
@@ -19,7 +19,7 @@ def divisor_bits(span, count):
 def encode(values, start, span):
     """Sorted distinct uint64 values in [start, start + span) as bytes."""
     if not len(values):
-        return HEAD.pack(0, 0, 0)
+        return struct.pack(HEAD, 0, 0, 0)
     gaps = np.diff(values, prepend=np.uint64(start)).astype(np.uint64)
     bits = divisor_bits(span, len(values))
     ends = np.cumsum((gaps >> np.uint64(bits)).astype(np.int64) + 1)
@@ -28,15 +28,15 @@ def encode(values, start, span):
     shifts = np.arange(bits, dtype=np.uint64)
     rest = ((gaps[:, None] >> shifts) & np.uint64(1)).astype(np.uint8)
     packed = np.packbits(unary).tobytes()
-    return HEAD.pack(len(values), bits, len(packed)) + packed + np.packbits(rest.ravel()).tobytes()
+    return struct.pack(HEAD, len(values), bits, len(packed)) + packed + np.packbits(rest.ravel()).tobytes()
 
 
 def decode(code, start):
     """The values that ``encode`` was given."""
-    count, bits, length = HEAD.unpack_from(code)
+    count, bits, length = struct.unpack_from(HEAD, code)
     if not count:
         return np.empty(0, np.uint64)
-    raw = np.frombuffer(code, np.uint8, offset=HEAD.size)
+    raw = np.frombuffer(code, np.uint8, offset=struct.calcsize(HEAD))
     ends = np.flatnonzero(np.unpackbits(raw[:length]) == 0)[:count]
     gaps = np.diff(ends, prepend=-1).astype(np.uint64) - np.uint64(1) << np.uint64(bits)
     if bits:
