@@ -38,9 +38,9 @@ from fleetpulse.llm.components import components
 
 WORDS = 5
 SHARE = 85  # percent
-REGISTERS = 256
+REGISTERS = 512
 BAND = 6
-BANDS = REGISTERS // BAND
+BANDS = 42  # of the first registers; all registers count for the likelihood
 BASE, RATE, LIMIT = 1.02, 20.0, 4095
 DOUBT = 12.0
 BLOCK = 1024
