@@ -50,7 +50,7 @@ def stored_actions(spark):
         "store_windows_1m": timed(lambda: stores.append_aggregates(minute, agg_path)),
     }
     raw, aggs = scans.raw_table(spark, raw_path), scans.aggregate_table(spark, agg_path)
-    week = reads.ReadFilter.of(catalog.WEEK_FROM_MS, catalog.WEEK_TO_MS, limit=10_000)
+    week = reads.ReadFilter.of(catalog.WEEK_FROM_MS, catalog.WEEK_TO_MS)
     return build, {
         "stored_metrics": lambda: drain(reads.metrics_series(aggs, week)),
         "stored_distinct": lambda: drain(reads.distinct_devices(raw, week)),

@@ -20,6 +20,11 @@ def parsed_ok(doc):
     return doc.isNotNull() & doc[BROKEN].isNull()
 
 
+def decodable(doc):
+    """Parsed, with a time that a timestamp can hold: another would stop every later step."""
+    return parsed_ok(doc) & number_or_zero(doc["timestamp_ms"]).between(*schema.TIMESTAMP_MS)
+
+
 def parse_messages(messages, value="value", tags=()):
     """Add ``doc`` next to the message columns.
 
@@ -36,7 +41,7 @@ def decode_heartbeats(messages, value="value", keep=(), tags=()):
 
     ``keep`` names message columns to carry along, ``tags`` further text fields to read.
     """
-    good = parse_messages(messages, value, tags).where(parsed_ok(F.col("doc")))
+    good = parse_messages(messages, value, tags).where(decodable(F.col("doc")))
     return good.select(
         *keep,
         *[F.col(f"doc.{name}").alias(name) for name in (*schema.TEXT_FIELDS, *tags)],
@@ -47,7 +52,7 @@ def decode_heartbeats(messages, value="value", keep=(), tags=()):
 
 def dead_letters(messages, value="value", tags=()):
     """The messages that ``decode_heartbeats`` leaves out, with all their columns."""
-    return parse_messages(messages, value, tags).where(~parsed_ok(F.col("doc"))).drop("doc")
+    return parse_messages(messages, value, tags).where(~decodable(F.col("doc"))).drop("doc")
 
 
 def encode_heartbeats(tags=()):

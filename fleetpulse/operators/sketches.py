@@ -26,7 +26,8 @@ def sketch_percentile(sketch, p):
 
 
 def device_sketch(column="device_id", log2_buckets=HLL_LOG2_BUCKETS):
-    return F.hll_sketch_agg(text_or_empty(F.col(column)), F.lit(log2_buckets))
+    # hashed first, as the sketch passes over empty text
+    return F.hll_sketch_agg(F.xxhash64(text_or_empty(F.col(column))), F.lit(log2_buckets))
 
 
 def sketch_rows(keyed, keys):

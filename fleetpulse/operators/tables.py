@@ -1,12 +1,14 @@
 """Shapes, layout, versions and retention of the two stored tables."""
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import day_key, event_time, narrow, number_or_zero, text_or_empty, whole_second
 
 # Micro-batch numbers that fit beside the second in one long: 17 years of one per second.
-BATCH_IDS = 2 ** 29
+BATCH_IDS = Decimal(2 ** 64)
 
 
 def raw_rows(heartbeats, tags=()):
@@ -43,11 +45,12 @@ def in_time_range(table, column, from_ms, to_ms):
 
 
 def _version():
-    """Insert second and batch as one long, so that the newest is found by hash aggregation."""
-    batch = F.col("batch_id")
-    checked = F.when(batch.between(0, BATCH_IDS - 1), batch).otherwise(
-        F.raise_error(F.lit("batch_id out of range")).cast("long"))
-    return F.unix_seconds("ingested_at") * BATCH_IDS + checked
+    """Insert second and batch as one number, so that the newest is found by hash aggregation.
+
+    An absent batch counts as 0; any other long keeps its order.
+    """
+    seconds = F.unix_seconds("ingested_at").cast("decimal(18,0)")
+    return seconds * F.lit(BATCH_IDS) + F.coalesce("batch_id", F.lit(0)).cast("decimal(20,0)")
 
 
 def latest_version(aggregates, key=schema.AGGREGATE_KEY):

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
-from fleetpulse.functions import event_time, text_or_empty
+from fleetpulse.functions import event_time, number_or_zero, text_or_empty
 from fleetpulse.operators import sketches
 from fleetpulse.operators.percentiles import percentiles_by_key
 from fleetpulse.session import saved
@@ -14,7 +14,7 @@ APPROX_ACCURACY = 10_000
 
 
 def with_event_time(heartbeats):
-    return heartbeats.withColumn("event_time", event_time(F.col("timestamp_ms")))
+    return heartbeats.withColumn("event_time", event_time(number_or_zero(F.col("timestamp_ms"))))
 
 
 def with_watermark(heartbeats, out_of_order_seconds=schema.OUT_OF_ORDER_SECONDS):
@@ -24,11 +24,13 @@ def with_watermark(heartbeats, out_of_order_seconds=schema.OUT_OF_ORDER_SECONDS)
 
 
 def _windowed(heartbeats, seconds, dims):
+    """Windowed rows; every event counts, absent numbers as 0 and absent text as empty."""
     timed = heartbeats if "event_time" in heartbeats.columns else with_event_time(heartbeats)
     return timed.select(
         F.window("event_time", f"{seconds} seconds").alias("window"),
         *[text_or_empty(F.col(d)).alias(d) for d in dims],
-        "device_id", "latency_ms",
+        text_or_empty(F.col("device_id")).alias("device_id"),
+        number_or_zero(F.col("latency_ms")).alias("latency_ms"),
     )
 
 
@@ -46,7 +48,7 @@ def _flat(aggregated, seconds, dims):
 
 def _per_device(windowed, keys, *more):
     """Rows per (key, device). A hot key is spread over its devices, a hot
-    device is folded before the shuffle, and an absent device id counts as one."""
+    device is folded before the shuffle, and an absent device id is the empty one."""
     return windowed.groupBy(*keys, "device_id").agg(
         F.count("*").alias("count"), F.sum("latency_ms").alias("latency_sum"), *more)
 
@@ -110,7 +112,7 @@ def _batched(windowed, dims, quantiles):
     else:
         points = _from_sketch(keyed.groupBy("key").agg(
             sketches.latency_sketch().alias("latency_sketch"))).drop("latency_sketch")
-    return summary.join(points, "key").select("key.*", *[
+    return summary.join(points, "key", "left").select("key.*", *[
         c for c in (*summary.columns, *points.columns) if c != "key"])
 
 

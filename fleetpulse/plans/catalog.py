@@ -21,7 +21,6 @@ WEEK_FROM_MS, WEEK_TO_MS = 1_704_672_000_000, 1_705_276_800_000
 EMPTY_FROM_MS, EMPTY_TO_MS = 1_893_456_000_000, 1_893_542_400_000
 MONTH_MINUTES = 40 * 24 * 60
 RETENTION_AS_OF_MS = 1_713_139_200_000
-SERIES_LIMIT = 10_000
 DASHBOARD_LIMIT = 300
 HISTORY_DEVICE = "dev-8"
 LIMITS = {"max_body_bytes": events.SMALL_BODY, "max_batch": events.SMALL_BATCH}
@@ -107,6 +106,15 @@ def _window_query(seconds):
     return query
 
 
+def window_sparse(spark, sf):
+    """Windows of events of which many lack a latency, a time or a device."""
+    beats = events.heartbeats(spark, sf, keep=("event_id",))
+    lacking = beats.select("event_id", "region", "status", *[
+        F.when(F.col("event_id") % 10 != at, F.col(name)).alias(name)
+        for at, name in enumerate(("latency_ms", "timestamp_ms", "device_id"))])
+    return rounded(with_ms(windows.window_aggregate(lacking, HOUR)))
+
+
 def window_by_extra_dim(spark, sf):
     beats = events.heartbeats(spark, sf, keep=("event_id", "user_id"))
     tagged = beats.withColumn("device_model", F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")))
@@ -230,13 +238,13 @@ def _week(**more):
 
 def metrics_series(spark, sf):
     found = reads.metrics_series(
-        _minutes(spark, sf, WEEK_FROM_MS, WEEK_TO_MS), _week(limit=SERIES_LIMIT))
+        _minutes(spark, sf, WEEK_FROM_MS, WEEK_TO_MS), _week())
     return rounded(found)
 
 
 def metrics_series_filtered(spark, sf):
     found = reads.metrics_series(_minutes(spark, sf, WEEK_FROM_MS, WEEK_TO_MS),
-                                 _week(region="us-east", status="ok", limit=SERIES_LIMIT))
+                                 _week(region="us-east", status="ok"))
     return rounded(found)
 
 
@@ -245,19 +253,19 @@ def distinct_devices(spark, sf):
     return reads.distinct_devices(raw, _week(status="warn"))
 
 
-def _dashboard(spark, sf, wanted):
+def _dashboard(spark, sf, wanted, **more):
     raw = tables.raw_rows(events.heartbeats(spark, sf, wanted.from_ms, wanted.to_ms))
     summary, _ = reads.dashboard(
-        _minutes(spark, sf, wanted.from_ms, wanted.to_ms), raw, wanted)
+        _minutes(spark, sf, wanted.from_ms, wanted.to_ms), raw, wanted, **more)
     return rounded(summary)
 
 
 def dashboard(spark, sf):
-    return _dashboard(spark, sf, _week(limit=DASHBOARD_LIMIT))
+    return _dashboard(spark, sf, _week(limit=DASHBOARD_LIMIT), totals_of_series=True)
 
 
 def dashboard_week(spark, sf):
-    return _dashboard(spark, sf, _week(limit=SERIES_LIMIT))
+    return _dashboard(spark, sf, _week())
 
 
 def dashboard_empty(spark, sf):
@@ -347,6 +355,7 @@ QUERIES = {
     "window_1m": _window_query(MINUTE),
     "window_1h": _window_query(HOUR),
     "window_1d": _window_query(DAY),
+    "window_sparse": window_sparse,
     "window_by_extra_dim": window_by_extra_dim,
     "nearest_rank_percentiles": nearest_rank,
     "latency_percentiles_by_cells": latency_percentiles_by_cells,

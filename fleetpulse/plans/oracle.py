@@ -2,7 +2,7 @@
 
 from fleetpulse.plans.catalog import (
     AS_OF_MS, DASHBOARD_LIMIT, DAY, EMPTY_FROM_MS, EMPTY_TO_MS, HISTORY_DEVICE, HOUR, MINUTE,
-    RETENTION_AS_OF_MS, SERIES_LIMIT, WEEK_FROM_MS, WEEK_TO_MS,
+    RETENTION_AS_OF_MS, WEEK_FROM_MS, WEEK_TO_MS,
 )
 
 HB = """hb AS (
@@ -107,19 +107,19 @@ def half_up(metric):
     return f"CAST(round(CAST({metric} AS DECIMAL(38, 9)), 1) AS DOUBLE)"
 
 
-def series(where, limit):
-    return f"""series AS (SELECT * FROM win WHERE {where}
-  ORDER BY window_start_ms, region, status LIMIT {limit})"""
+def series(where, limit=None):
+    cut = f"ORDER BY window_start_ms, region, status LIMIT {limit}" if limit else ""
+    return f"""series AS (SELECT * FROM win WHERE {where} {cut})"""
 
 
-def dashboard(from_ms, to_ms, limit):
+def dashboard(from_ms, to_ms, limit=None):
     return f"""{MINUTES}, {series(in_range("window_start_ms", from_ms, to_ms), limit)}
 SELECT CAST(coalesce(sum(count), 0) AS BIGINT) AS total_events,
   round(coalesce(sum(avg_latency * count) / nullif(sum(count), 0), 0), 9) AS avg_latency_ms,
   round(coalesce(sum(p95_latency * count) / nullif(sum(count), 0), 0), 6) AS p95_latency_ms_weighted,
   round(coalesce(sum(p99_latency * count) / nullif(sum(count), 0), 0), 6) AS p99_latency_ms_weighted,
   (SELECT count(DISTINCT device_id) FROM hb WHERE {in_range("timestamp_ms", from_ms, to_ms)})
-    AS distinct_devices
+    AS distinct_devices, {"count(*) >= " + str(limit) if limit else "false"} AS truncated
 FROM series"""
 
 
@@ -181,6 +181,12 @@ SELECT coalesce(reject_reason, '') AS reject_reason, count(*) AS events FROM che
     "window_1m": window_rows(MINUTE),
     "window_1h": window_rows(HOUR),
     "window_1d": window_rows(DAY),
+    "window_sparse": f"""WITH {HB}, lacking AS (
+  SELECT region, status, CASE WHEN event_id % 10 = 0 THEN 0 ELSE latency_ms END AS latency_ms,
+    CASE WHEN event_id % 10 = 1 THEN 0 ELSE timestamp_ms END AS timestamp_ms,
+    CASE WHEN event_id % 10 = 2 THEN '' ELSE device_id END AS device_id FROM hb),
+{windows(HOUR, "lacking")}
+SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED} FROM win""",
     "window_by_extra_dim": f"""WITH {HB}, tagged AS (
   SELECT *, 'm' || CAST(user_id % 3 AS VARCHAR) AS device_model FROM hb),
 {windows(DAY, "tagged", "region, status, device_model")}
@@ -213,19 +219,19 @@ SELECT day, count(*) AS rows, CAST(sum(count) AS BIGINT) AS events,
 WHERE timestamp_ms - timestamp_ms % 1000 + 604800000 > {AS_OF_MS}""",
     "retention_aggregates": window_rows(
         HOUR, f"WHERE window_start_ms + 7776000000 > {RETENTION_AS_OF_MS}"),
-    "metrics_series": f"""{MINUTES}, {series(WEEK, SERIES_LIMIT)}
+    "metrics_series": f"""{MINUTES}, {series(WEEK)}
 SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED}
 FROM series""",
     "metrics_series_filtered": f"""{MINUTES},
-{series(WEEK + " AND region = 'us-east' AND status = 'ok'", SERIES_LIMIT)}
+{series(WEEK + " AND region = 'us-east' AND status = 'ok'")}
 SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED}
 FROM series""",
     "distinct_devices": f"""WITH {HB}
 SELECT count(DISTINCT device_id) AS distinct_devices FROM hb
 WHERE {RAW_WEEK} AND status = 'warn'""",
     "dashboard": dashboard(WEEK_FROM_MS, WEEK_TO_MS, DASHBOARD_LIMIT),
-    "dashboard_week": dashboard(WEEK_FROM_MS, WEEK_TO_MS, SERIES_LIMIT),
-    "dashboard_empty": dashboard(EMPTY_FROM_MS, EMPTY_TO_MS, 2000),
+    "dashboard_week": dashboard(WEEK_FROM_MS, WEEK_TO_MS),
+    "dashboard_empty": dashboard(EMPTY_FROM_MS, EMPTY_TO_MS),
     "fleet_rollup": f"""{MINUTES}
 SELECT region, status, CAST(sum(count) AS BIGINT) AS events,
   max(distinct_count) AS peak_unique_devices, {half_up("avg(avg_latency)")} AS avg_ms,

@@ -24,7 +24,7 @@ class ReadFilter:
     to_ms: int
     region: str = ""
     status: str = ""
-    limit: int = schema.DEFAULT_SERIES_LIMIT
+    limit: int | None = None
     tags: tuple = ()
 
     @classmethod
@@ -40,12 +40,11 @@ class ReadFilter:
             raise ValueError("query window exceeds max of 7 days")
         if device_id:
             raise ValueError("device_id filter is not supported; use device_history")
-        rows = schema.DEFAULT_SERIES_LIMIT
+        rows = None
         if limit not in (None, ""):
             rows = _whole_number("limit", limit)
             if rows <= 0:
                 raise ValueError("invalid limit: must be positive")
-            rows = min(rows, schema.MAX_SERIES_LIMIT)
         if status and status not in schema.STATUSES:
             raise ValueError("status must be one of ok|warn|error")
         return cls(start, end, region or "", status or "", rows, tuple(tags.items()))
@@ -77,10 +76,12 @@ def _matching(table, column, wanted):
 
 
 def metrics_series(aggregates, wanted, collapse=True):
-    """Windows in time order, at most ``wanted.limit``, times as epoch ms."""
+    """Windows in time order, times as epoch ms; all of them unless a limit is given."""
     rows = current(_matching(aggregates, "window_start", wanted), collapse)
     tags = _tags(aggregates)
-    ordered = rows.orderBy("window_start", "region", "status", *tags).limit(wanted.limit)
+    ordered = rows.orderBy("window_start", "region", "status", *tags)
+    if wanted.limit is not None:
+        ordered = ordered.limit(wanted.limit)
     return ordered.select(
         epoch_ms("window_start").alias("window_start_ms"),
         epoch_ms("window_end").alias("window_end_ms"),
@@ -111,12 +112,19 @@ def roll_up(series):
     return series.agg(*_totals())
 
 
-def dashboard(aggregates, raw, wanted, collapse=True):
-    """(summary, series): totals over the limited series, distinct over the whole range."""
+def dashboard(aggregates, raw, wanted, collapse=True, totals_of_series=False):
+    """(summary, series): totals and distinct devices of the whole range, and the series.
+
+    ``totals_of_series`` takes the totals over the limited series instead. ``truncated``
+    says whether the limit left windows out of the series.
+    """
     series = metrics_series(aggregates, wanted, collapse)
-    unique = distinct_devices(raw, wanted)
-    summary = roll_up(series).withColumn("distinct_devices", unique.scalar())
-    return summary, series
+    rows = current(_matching(aggregates, "window_start", wanted), collapse)
+    limit = F.lit(wanted.limit).cast("long")
+    counted = rows.agg(F.coalesce(F.count("*") > limit, F.lit(False)).alias("truncated"))
+    summary = roll_up(series if totals_of_series else rows)
+    return summary.withColumn("distinct_devices", distinct_devices(raw, wanted).scalar()).withColumn(
+        "truncated", counted.scalar()), series
 
 
 def _since(aggregates, as_of_ms, minutes):
@@ -139,8 +147,14 @@ def _echo(wanted):
     return F.struct(*[F.lit(v).alias(k) for k, v in fields.items()])
 
 
+def _demand_limit(wanted):
+    if wanted.limit is None:
+        raise ValueError("a document gathers its series into one row: give a limit")
+
+
 def metrics_document(aggregates, wanted, collapse=True):
-    """The series answer as one row: filter, count and series."""
+    """The series answer as one row: filter, count and series, which needs a limit."""
+    _demand_limit(wanted)
     series = metrics_series(aggregates, wanted, collapse)
     answer = series.agg(F.count("*").alias("count"), _listed(series))
     return answer.select(_echo(wanted).alias("filter"), "count", "series")
@@ -151,7 +165,8 @@ def distinct_document(raw, wanted):
 
 
 def dashboard_document(aggregates, raw, wanted, collapse=True):
-    """The dashboard answer as one row with its series inside."""
+    """The dashboard answer of a limited series as one row with the series inside."""
+    _demand_limit(wanted)
     series = metrics_series(aggregates, wanted, collapse)
     return series.agg(*_totals(), _listed(series)).select(
         _echo(wanted).alias("filter"), "total_events",

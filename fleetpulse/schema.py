@@ -12,8 +12,6 @@ CLOCK_SKEW_MS = 120_000
 WINDOW_SECONDS = 60
 OUT_OF_ORDER_SECONDS = 30
 MAX_QUERY_SPAN_MS = 604_800_000
-DEFAULT_SERIES_LIMIT = 2000
-MAX_SERIES_LIMIT = 10_000
 AGGREGATE_RETENTION_DAYS = 90
 RAW_RETENTION_DAYS = 7
 PERCENTILES = {"p50_latency": 0.50, "p95_latency": 0.95, "p99_latency": 0.99}
@@ -81,3 +79,5 @@ AGGREGATE_TABLE = T.StructType([
 AGGREGATE_KEY = ("window_start", "region", "status")
 AGGREGATE_VERSION = ("ingested_at", "batch_id")
 
+# First and last millisecond of the years 1 to 9999.
+TIMESTAMP_MS = (-62_135_596_800_000, 253_402_300_799_999)

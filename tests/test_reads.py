@@ -47,9 +47,9 @@ def test_arguments_are_checked(arguments, cause):
         ReadFilter.of(**arguments)
 
 
-def test_argument_defaults_and_caps():
-    assert ReadFilter.of(1, 2) == ReadFilter(1, 2, "", "", 2000)
-    assert ReadFilter.of("1", "2", region="us", limit="70000").limit == 10_000
+def test_argument_defaults_and_no_caps():
+    assert ReadFilter.of(1, 2) == ReadFilter(1, 2, "", "", None)
+    assert ReadFilter.of("1", "2", region="us", limit="70000").limit == 70_000
     assert ReadFilter.of(1, 1 + 7 * 86_400_000).to_ms == 1 + 7 * 86_400_000
 
 
@@ -77,14 +77,25 @@ def test_roll_up(spark):
 def test_empty_roll_up_is_zero(spark):
     raw = tables.raw_rows(beats(spark, []))
     row = reads.dashboard(series_rows(spark, []), raw, ReadFilter.of(1, 100))[0].first()
-    assert tuple(row) == (0, 0.0, 0.0, 0.0, 0)
+    assert tuple(row)[:5] == (0, 0.0, 0.0, 0.0, 0)
 
 
-def test_totals_follow_the_limit_and_distinct_the_range(spark):
+def test_totals_cover_the_range_unless_asked_otherwise(spark):
     df = series_rows(spark, [window(i, count=1) for i in range(1, 11)])
     raw = tables.raw_rows(beats(spark, [beat(f"d{i}", at=i) for i in range(1, 11)]))
-    row = reads.dashboard(df, raw, ReadFilter.of(1, 100, limit=4))[0].first()
-    assert (row.total_events, row.distinct_devices) == (4, 10)
+    limited = ReadFilter.of(1, 100, limit=4)
+    row = reads.dashboard(df, raw, limited, totals_of_series=True)[0].first()
+    assert (row.total_events, row.distinct_devices, row.truncated) == (4, 10, True)
+    summary, series = reads.dashboard(df, raw, limited)
+    assert (summary.first().total_events, summary.first().truncated, series.count()) == (10, True, 4)
+    assert not reads.dashboard(df, raw, ReadFilter.of(1, 100))[0].first().truncated
+
+
+def test_more_windows_than_a_server_would_send(spark):
+    df = series_rows(spark, [window(i, count=1) for i in range(1, 10_502)])
+    raw = tables.raw_rows(beats(spark, [beat("d", at=1)]))
+    summary, series = reads.dashboard(df, raw, ReadFilter.of(1, 20_000))
+    assert (summary.first().total_events, series.count()) == (10_501, 10_501)
 
 
 def test_versions_collapse_on_read(spark):
@@ -142,7 +153,9 @@ def test_documents(spark):
     assert (row.total_events, row.distinct_devices, len(row.series)) == (3, 2, 2)
     row = reads.distinct_document(raw, wanted).first()
     assert (row.distinct_devices, row["filter"].from_ms) == (2, 1)
-    empty = reads.dashboard_document(df, raw, ReadFilter.of(1000, 2000)).first()
+    empty = reads.dashboard_document(df, raw, ReadFilter.of(1000, 2000, limit=5)).first()
+    with pytest.raises(ValueError, match="limit"):
+        reads.metrics_document(df, ReadFilter.of(1, 100))
     assert (empty.total_events, empty.series) == (0, [])
 
 

@@ -62,9 +62,11 @@ def test_collapse_reads_only_the_columns_in_use(spark, folder):
     assert "p50_latency" not in plan and "window_end" not in plan
 
 
-def test_batch_out_of_range_fails(spark):
-    with pytest.raises(Exception, match="batch_id out of range"):
-        tables.latest_version(version(spark, [(T0, "r", "ok", 1, 1000, 2 ** 29)])).collect()
+def test_any_batch_keeps_its_order_and_an_absent_one_is_zero(spark):
+    rows = [(T0, "r", "ok", 1, 1000, 2 ** 29), (T0, "r", "ok", 2, 1000, 2 ** 62),
+            (T0, "s", "ok", 3, 1000, None), (T0, "s", "ok", 4, 1000, 1), (T0, "s", "ok", 5, 0, 2 ** 62)]
+    found = tables.latest_version(version(spark, rows)).collect()
+    assert sorted((r.region, r["count"]) for r in found) == [("r", 2), ("s", 4)]
 
 
 def test_filter_on_key_reaches_the_scan_below_the_collapse(spark, folder):

@@ -45,10 +45,10 @@ def test_distinct_within_window(spark):
 
 
 def test_absent_text_and_numbers(spark):
-    """Absent dimensions become '', an absent device counts as one device beside ''."""
+    """Absent dimensions become '', and an absent device is the device ''."""
     rows = [beat(None, None, None, T0), beat("", None, None, T0)]
     row = aggregate(spark, rows).first()
-    assert (row.region, row.status, row["count"], row.distinct_count) == ("", "", 2, 2)
+    assert (row.region, row.status, row["count"], row.distinct_count) == ("", "", 2, 1)
 
 
 def test_windows_are_epoch_aligned_and_half_open(spark):
@@ -103,3 +103,12 @@ def test_same_devices_in_many_windows_count_once(spark):
     rows = [beat(f"d{i % 40}", at=T0 + i * 10_000) for i in range(400)]
     merged = sketches.merge_sketch_rows(windows.sketch_windows(beats(spark, rows)))
     assert merged.first().distinct_count == 40
+
+
+@pytest.mark.parametrize("how", [{}, {"quantiles": "approx"}, {"quantiles": "sketch"},
+                                 {"quantiles": "sketch", "distinct": "approx"}])
+def test_absent_numbers_count_as_zero_in_every_mode(spark, how):
+    rows = [beat("a", latency=None), beat("a", latency=None), beat(None, at=None, latency=3.0), beat("", at=0, latency=3.0)]
+    found = {r.window_start.timestamp() > 0: r for r in windows.window_aggregate(beats(spark, rows), **how).collect()}
+    assert (found[True]["count"], found[True].distinct_count, found[True].avg_latency, found[True].p50_latency) == (2, 1, 0.0, 0.0)
+    assert (found[False]["count"], found[False].distinct_count, found[False].p99_latency) == (2, 1, 3.0)
