@@ -1,5 +1,7 @@
 """What several operators of this folder share."""
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -11,13 +13,22 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df, label):
     """Write ``df`` below ``spark.checkpoint.dir`` and read it from there.
 
-    Cuts the lineage: executors lost later cost a read, not the computation.
+    Cuts the lineage: executors lost later cost a read, not the computation. The write's own
+    shuffle files are removed as soon as it has ended.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -28,8 +39,10 @@ def shuffle_width(spark):
 def release_shuffles(spark):
     """Let Spark delete the shuffle files of results that nothing refers to any more.
 
-    They go when the driver's JVM collects garbage, which by itself may be half an hour away.
+    They go when the driver's JVM collects garbage, which by itself may be half an hour away,
+    and only once Python has let go of its side.
     """
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
