@@ -19,6 +19,7 @@ table gives an empty result. Columns other than doc_id and text are ignored.
 """
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from hashlib import sha256
 
@@ -143,7 +144,7 @@ def labels_of(tokens, spans):
     found = [0] * len(tokens)
     starts = [t[0] for t in tokens]
     for kind, a, b in reversed(spans):
-        k = max(0, np.searchsorted(starts, a, "right") - 1)
+        k = max(0, bisect_right(starts, a) - 1)
         while k < len(tokens) and tokens[k][0] < b:
             if tokens[k][1] > a:
                 found[k] = kind + 1
@@ -216,14 +217,13 @@ def added_spans(graphs, spans, weights, tables):
     for d, (g, found) in enumerate(zip(graphs, spans)):
         if not g[3]:
             continue
-        base = labels_of(g[0], found)
+        base, told_spans = labels_of(g[0], found), set()
         for pair in g[3]:
             for here, there in (pair, pair[::-1]):
                 k = here + offsets[d]
                 if base[here] == 0 and sure[k] and best[k] == base[there]:
-                    span = (int(best[k]) - 1, *g[0][here])
-                    if span not in added[d]:
-                        added[d].append(span)
+                    told_spans.add((int(best[k]) - 1, *g[0][here]))
+        added[d] = sorted(told_spans)
     return added
 
 
