@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import number_or_zero, text_or_empty
-from fleetpulse.operators.decode import parsed_ok, typed_json
+from fleetpulse.operators.decode import only_document, parsed_ok
 from fleetpulse.operators.validate import reject_reason
 
 # Outcome, answer code, and whether the events of it are counted.
@@ -33,21 +33,20 @@ def classify_requests(requests, now_ms, skew_ms=schema.CLOCK_SKEW_MS,
     """One row per request with ``outcome``, ``code``, ``reason``, ``n_events`` and ``events``.
 
     Everything is decided inside the row: no shuffle, no state. A body over the
-    size cap is never parsed. A JSON document ends with a brace, which the
-    parser itself does not insist on when text follows the object.
+    size cap is never parsed. A body holds one document and no more; ``null`` is one
+    with nothing in it.
     """
     body = F.col("body")
     fits = F.octet_length(body) <= max_body_bytes
-    whole = body.rlike(r"\}\s*$")
-    single = typed_json(F.when((F.col("kind") == "single") & fits & whole, body), schema.HEARTBEAT)
-    batch = typed_json(F.when((F.col("kind") == "batch") & fits & whole, body), schema.ENVELOPE)
+    single = only_document(F.when((F.col("kind") == "single") & fits, body), schema.HEARTBEAT)
+    batch = only_document(F.when((F.col("kind") == "batch") & fits, body), schema.ENVELOPE)
 
     docs = requests.withColumn("docs", F.explode(F.array(F.struct(
         single.alias("single"), batch.alias("batch")))))
     one, many = F.col("docs.single"), F.col("docs.batch")
     listed = F.when(parsed_ok(one), F.array(F.struct(
-        *[one[name].alias(name) for name in schema.HEARTBEAT.fieldNames()])))
-    listed = listed.when(parsed_ok(many), F.coalesce(many["heartbeats"], F.array()))
+        *[one["doc"][name].alias(name) for name in schema.HEARTBEAT.fieldNames()])))
+    listed = listed.when(parsed_ok(many), F.coalesce(many["doc"]["heartbeats"], F.array()))
     filled = docs.withColumn("events", F.explode(F.array(F.transform(listed, _filled)))).drop("docs")
 
     reasons = F.transform("events", lambda event, at: F.struct(

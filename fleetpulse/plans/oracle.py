@@ -42,18 +42,19 @@ FAULTY = HB + """, faulty AS (
   FROM faulty)"""
 
 REQUESTS = HB + f""", sized AS (
-  SELECT *, event_id % 10 AS c,
-    CASE WHEN event_id % 10 <= 2 THEN event_id % 5 + 1 WHEN event_id % 10 = 3 THEN 4
+  SELECT *, event_id % 10 AS c, event_id // 10 % 6 AS odd,
+    CASE WHEN event_id % 60 = 25 THEN 1 WHEN event_id % 10 <= 2 THEN event_id % 5 + 1 WHEN event_id % 10 = 3 THEN 4
       WHEN event_id % 10 = 7 THEN 6 WHEN event_id % 10 IN (4, 5, 8) THEN 0 ELSE 1 END AS n
   FROM hb), outcomes AS (
   SELECT 'req-' || event_id AS request_id,
-    CASE WHEN c IN (6, 8, 9) THEN 'single' ELSE 'batch' END AS kind,
+    CASE WHEN c IN (6, 8, 9) OR (c = 5 AND odd IN (1, 2, 4)) THEN 'single' ELSE 'batch' END AS kind,
     CAST(n AS INTEGER) AS n_events,
-    CASE WHEN c = 8 THEN 'too_large' WHEN c = 5 THEN 'bad_json' WHEN c = 4 THEN 'empty'
+    CASE WHEN c = 8 THEN 'too_large' WHEN c = 5 AND odd = 2 THEN 'invalid'
+      WHEN c = 5 AND odd = 3 THEN 'empty' WHEN c = 5 THEN 'bad_json' WHEN c = 4 THEN 'empty'
       WHEN c = 7 THEN 'batch_too_large' WHEN c IN (3, 9) THEN 'invalid' ELSE 'accepted' END AS outcome,
-    CAST(CASE c WHEN 3 THEN 2 WHEN 9 THEN 0 END AS INTEGER) AS first_bad_index,
-    CASE WHEN c IN (3, 9) THEN 'device_id is required' END AS reason,
-    CAST(CASE WHEN c IN (7, 8) THEN 413 WHEN c IN (4, 5) THEN 400 WHEN c IN (3, 9) THEN 422
+    CAST(CASE WHEN c = 3 THEN 2 WHEN c = 9 OR (c = 5 AND odd = 2) THEN 0 END AS INTEGER) AS first_bad_index,
+    CASE WHEN c IN (3, 9) OR (c = 5 AND odd = 2) THEN 'device_id is required' END AS reason,
+    CAST(CASE WHEN c = 5 AND odd = 2 THEN 422 WHEN c IN (7, 8) THEN 413 WHEN c IN (4, 5) THEN 400 WHEN c IN (3, 9) THEN 422
       ELSE 202 END AS INTEGER) AS code, event_id
   FROM sized)"""
 

@@ -96,10 +96,13 @@ def requests(beats):
     """One request per event, its body built inside the row.
 
     By event_id % 10: 0-2 list of one to five events; 3 list with one bad event at
-    index 2; 4 empty list; 5 unreadable; 6 single; 7 six events, over the small
+    index 2; 4 empty list; 5 not one document; 6 single; 7 six events, over the small
     batch cap; 8 body over the small size cap; 9 single without a device.
+
+    Those of 5 by the next digit modulo 6: 0 unreadable; 1 two events, 2 null and 4 an event with
+    text after it as single; 3 null and 5 two lists as batch.
     """
-    case = F.col("event_id") % 10
+    case, odd = F.col("event_id") % 10, F.floor(F.col("event_id") / 10) % 6
     fields = schema.HEARTBEAT.fieldNames()
     size = (F.when(case <= 2, F.col("event_id") % 5 + 1).when(case == 3, 4)
             .when(case == 7, 6).otherwise(1)).cast("int")
@@ -113,14 +116,19 @@ def requests(beats):
     copies = F.transform(F.sequence(F.lit(0), size - 1), copy)
     listed = F.to_json(F.struct(copies.alias("heartbeats")))
     body = (
-        F.when(case == 4, '{"heartbeats":[]}').when(case == 5, "{not json")
+        F.when(case == 4, '{"heartbeats":[]}')
+        .when((case == 5) & (odd == 0), "{not json")
+        .when((case == 5) & (odd == 1), F.concat(F.to_json(copies[0]), F.to_json(copies[0])))
+        .when((case == 5) & odd.isin(2, 3), "null")
+        .when((case == 5) & (odd == 4), F.concat(F.to_json(copies[0]), F.lit(" {")))
+        .when((case == 5) & (odd == 5), F.concat(listed, F.lit("\n"), listed))
         .when(case.isin(6, 9), F.to_json(copies[0]))
         .when(case == 8, F.concat(F.to_json(copies[0]), F.lit(" " * SMALL_BODY)))
         .otherwise(listed)
     )
     return beats.select(
         F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias("request_id"),
-        F.when(case.isin(6, 8, 9), "single").otherwise("batch").alias("kind"),
+        F.when(case.isin(6, 8, 9) | ((case == 5) & odd.isin(1, 2, 4)), "single").otherwise("batch").alias("kind"),
         body.alias("body"))
 
 
