@@ -23,6 +23,7 @@ MONTH_MINUTES = 40 * 24 * 60
 RETENTION_AS_OF_MS = 1_713_139_200_000
 DASHBOARD_LIMIT = 300
 HISTORY_DEVICE = "dev-8"
+LIFE_DAYS = 10
 LIMITS = {"max_body_bytes": events.SMALL_BODY, "max_batch": events.SMALL_BATCH}
 
 
@@ -185,6 +186,24 @@ def stream_late_dropped(spark, sf):
     return _stored_windows(spark, root)
 
 
+def raw_table_life(spark, sf):
+    """A raw table through its life: three arrivals by stream, one day added again by a batch,
+    old days expired, loads merged in place, then read."""
+    root = scratch_path(pin_utc(spark), "raw-life")
+    inbox, path = f"{root}/inbox", f"{root}/heartbeats"
+    beats = events.heartbeats(spark, sf)
+    jobs.use_stream_settings(spark)
+    for arrival in range(3):
+        part = beats.where(F.pmod("event_id", F.lit(3)) == arrival)
+        stores.as_messages(part).select("value").write.mode("append").text(inbox)
+        jobs.start_raw_copy(scans.file_stream(spark, inbox), path, f"{root}/checkpoint",
+                            live=False).awaitTermination()
+    stores.append_raw(events.heartbeats(spark, sf, WEEK_FROM_MS, WEEK_FROM_MS + 1000 * DAY), path)
+    stores.drop_expired_days(spark, path, WEEK_TO_MS, LIFE_DAYS)
+    stores.merge_raw_days(spark, path)
+    return with_ms(scans.raw_table(spark, path))
+
+
 # --- stored tables
 
 def raw_table_rows(spark, sf):
@@ -363,6 +382,7 @@ QUERIES = {
     "stream_raw_copy": stream_raw_copy,
     "stream_restart_no_duplicates": stream_restart_no_duplicates,
     "stream_late_dropped": stream_late_dropped,
+    "raw_table_life": raw_table_life,
     "raw_table_rows": raw_table_rows,
     "stored_raw_week": stored_raw_week,
     "latest_versions": latest_versions,

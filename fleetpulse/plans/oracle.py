@@ -1,7 +1,7 @@
 """The same results in DuckDB SQL over the test tables."""
 
 from fleetpulse.plans.catalog import (
-    AS_OF_MS, DASHBOARD_LIMIT, DAY, EMPTY_FROM_MS, EMPTY_TO_MS, HISTORY_DEVICE, HOUR, MINUTE,
+    AS_OF_MS, DASHBOARD_LIMIT, DAY, EMPTY_FROM_MS, EMPTY_TO_MS, HISTORY_DEVICE, HOUR, LIFE_DAYS, MINUTE,
     RETENTION_AS_OF_MS, WEEK_FROM_MS, WEEK_TO_MS,
 )
 
@@ -210,6 +210,10 @@ FROM hb GROUP BY region, status""",
     > (SELECT max(timestamp_ms) FROM hb) - 30000),
 {windows(HOUR, "arrived", quantile="quantile_disc")}
 SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED} FROM win""",
+    "raw_table_life": f"""WITH {HB}, life AS (
+  SELECT * FROM hb WHERE timestamp_ms >= {WEEK_TO_MS - LIFE_DAYS * DAY * 1000}
+  UNION ALL SELECT * FROM hb WHERE {in_range("timestamp_ms", WEEK_FROM_MS, WEEK_FROM_MS + 1000 * DAY)})
+SELECT {RAW} FROM life""",
     "raw_table_rows": RAW_ROWS,
     "stored_raw_week": f"{RAW_ROWS} WHERE {RAW_WEEK}",
     "latest_versions": f"{VERSIONS} SELECT * FROM newest",

@@ -1,5 +1,6 @@
 """Writers: day-partitioned tables, JDBC copies, topics and result files."""
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -47,7 +48,17 @@ def publish_stream(heartbeats, brokers, topic, checkpoint, tags=()):
 def append_raw(heartbeats, path, tags=(), in_time_order=False):
     """Backfill of the raw table from a batch of heartbeats."""
     laid_out = lay_out_by_day(raw_rows(heartbeats, tags), schema.RAW_ORDER, in_time_order)
-    laid_out.write.mode("append").partitionBy("day").parquet(path)
+    _write_load(laid_out, path, f"batch-{uuid.uuid4().hex}")
+
+
+def write_stream_load(raw, path, source, batch_id):
+    """A micro-batch of raw rows. Written again after a failure, it replaces itself."""
+    _write_load(raw, path, f"{source}.{batch_id:012d}")
+
+
+def _write_load(raw, path, load):
+    (raw.withColumn("load", F.lit(load)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day", "load").parquet(path))
 
 
 def append_aggregates(windows, path, batch_id=0, ingested_at=None, key=schema.AGGREGATE_KEY):
@@ -106,6 +117,57 @@ def sort_raw_days(raw, target, first_day=None, last_day=None):
     _replace_days(lay_out_by_day(days, schema.RAW_ORDER), target)
 
 
+def _folders(fs, path, prefix):
+    return [status.getPath() for status in fs.listStatus(path)
+            if status.isDirectory() and status.getPath().getName().startswith(prefix)]
+
+
+def merge_raw_days(spark, path, first_day=None, last_day=None, tags=()):
+    """Merge the loads of each day of the raw table into one sorted load, in place; gives the days.
+
+    The newest load of each stream stays as it is, since that one may still be written again.
+    The merged rows wait in a hidden folder beside a list of the loads they replace, so that
+    ``finish_merges`` can complete a switch that was interrupted; it runs first here, too. Run
+    one merge at a time: a read planned during the switch fails or misses the day.
+    """
+    finish_merges(spark, path)
+    fs, root = hadoop_path(spark, path)
+    loads = {day: _folders(fs, day, "load=") for day in _folders(fs, root, "day=")
+             if (first_day or "") <= day.getName()[4:] <= (last_day or "9")}
+    every = {load.getName() for found in loads.values() for load in found}
+    newest = set({name.rpartition(".")[0]: name for name in sorted(every) if "." in name}.values())
+    loads = {day.getName()[4:]: [str(load) for load in found if load.getName() not in newest]
+             for day, found in loads.items()}
+    loads = {day: found for day, found in loads.items() if len(found) > 1}
+    if loads:
+        replaced = [load for found in loads.values() for load in found]
+        shape = schema.with_tags(schema.RAW_TABLE, tags).add("load", "string")
+        rows = spark.read.schema(shape).option("basePath", str(root)).parquet(*replaced).drop("load")
+        merge = uuid.uuid4().hex
+        (lay_out_by_day(rows, schema.RAW_ORDER).withColumn("load", F.lit(f"merged-{merge}"))
+         .write.partitionBy("day", "load").parquet(f"{path}/_merges/{merge}/rows"))
+        spark.createDataFrame([(load,) for load in replaced], "load string").coalesce(1).write.text(
+            f"{path}/_merges/{merge}/replaced")
+        finish_merges(spark, path)
+    return sorted(loads)
+
+
+def finish_merges(spark, path):
+    """Complete each merge that has listed what it replaces, discard the others."""
+    fs, root = hadoop_path(spark, f"{path}/_merges")
+    for merge in _folders(fs, root, "") if fs.exists(root) else ():
+        if fs.exists(hadoop_path(spark, f"{merge}/replaced/_SUCCESS")[1]):
+            for row in spark.read.text(f"{merge}/replaced").toLocalIterator():
+                fs.delete(hadoop_path(spark, row.value)[1], True)
+            for day in _folders(fs, hadoop_path(spark, f"{merge}/rows")[1], "day="):
+                target = hadoop_path(spark, f"{path}/{day.getName()}")[1]
+                fs.mkdirs(target)
+                for load in _folders(fs, day, "load="):
+                    if not fs.rename(load, target):
+                        raise OSError(f"could not move {load} to {target}")
+        fs.delete(merge, True)
+
+
 def drop_expired_days(spark, path, as_of_ms, keep_days):
     """Delete day folders of which every row has passed its keeping time; gives their days."""
     fs, root = hadoop_path(spark, path)

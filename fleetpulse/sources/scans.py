@@ -41,7 +41,9 @@ def peek(messages, n=5):
 
 
 def raw_table(spark, path, tags=()):
-    return spark.read.schema(schema.with_tags(schema.RAW_TABLE, tags)).parquet(path)
+    """Heartbeats of all loads; a load is one batch's or micro-batch's folder of a day."""
+    shape = schema.with_tags(schema.RAW_TABLE, tags).add("load", "string")
+    return spark.read.schema(shape).parquet(path).drop("load")
 
 
 def aggregate_table(spark, path, tags=()):

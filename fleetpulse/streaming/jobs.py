@@ -20,7 +20,7 @@ class StreamSettings:
     distinct: str = "exact"
     # an epoch-ms number or column to drop invalid rows by; off, as ingest has checked them
     validate_now_ms: object = None
-    trigger: str = "1 second"
+    trigger: str = "30 seconds"
 
 
 def heartbeats_of(messages, settings):
@@ -44,11 +44,20 @@ def _triggered(writer, settings, live):
 
 
 def start_raw_copy(messages, path, checkpoint, settings=StreamSettings(), live=True):
-    """Append every heartbeat, late ones included, through the exactly-once file sink."""
+    """Append every heartbeat, late ones included, exactly once.
+
+    Each micro-batch is a load of its own, named by the query's lasting id and its number, so
+    that a batch that is run again replaces itself. The table is plain Parquet folders:
+    backfills, expiry and merges work on it while the stream goes on.
+    """
     rows = raw_rows(heartbeats_of(messages, settings), schema.extra_tags(settings.dims))
-    writer = (rows.writeStream.outputMode("append").partitionBy("day").format("parquet")
-              .option("path", path).option("checkpointLocation", checkpoint)
-              .queryName("raw_copy"))
+
+    def write(batch, batch_id):
+        source = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        stores.write_stream_load(batch, path, source, batch_id)
+
+    writer = (rows.writeStream.outputMode("append").foreachBatch(write)
+              .option("checkpointLocation", checkpoint).queryName("raw_copy"))
     return _triggered(writer, settings, live).start()
 
 

@@ -195,3 +195,36 @@ def test_event_time_bounds_reach_the_scan(spark, sf_dir):
     plan = plan_of(df.select("device_id"))
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
     assert "props" not in plan.split("ReadSchema")[1]
+
+
+def test_a_micro_batch_written_again_replaces_itself(spark, folder):
+    raw = tables.raw_rows(beats(spark, hourly(30)))
+    for batch_id in (0, 1, 1):
+        stores.write_stream_load(raw, f"{folder}/raw", "source", batch_id)
+    assert scans.raw_table(spark, f"{folder}/raw").count() == 60
+
+
+def test_merge_keeps_the_newest_load_of_a_stream(spark, folder):
+    raw = tables.raw_rows(beats(spark, hourly(24)))
+    for batch_id in (0, 1, 2):
+        stores.write_stream_load(raw, f"{folder}/raw", "source", batch_id)
+    before = sorted(scans.raw_table(spark, f"{folder}/raw").collect())
+    assert len(stores.merge_raw_days(spark, f"{folder}/raw")) == 1
+    assert sorted(scans.raw_table(spark, f"{folder}/raw").collect()) == before
+    stores.write_stream_load(raw, f"{folder}/raw", "source", 2)
+    assert scans.raw_table(spark, f"{folder}/raw").count() == 72
+    assert stores.merge_raw_days(spark, f"{folder}/raw") == []
+
+
+def test_interrupted_merge(spark, folder, monkeypatch):
+    path = f"{folder}/raw"
+    for _ in range(2):
+        stores.append_raw(beats(spark, hourly(24)), path)
+    finish, calls = stores.finish_merges, []
+    monkeypatch.setattr(stores, "finish_merges", lambda *a: calls.append(a) or len(calls) > 1)
+    stores.merge_raw_days(spark, path)
+    assert scans.raw_table(spark, path).count() == 48
+    monkeypatch.setattr(stores, "finish_merges", finish)
+    stores.finish_merges(spark, path)
+    stores.finish_merges(spark, path)
+    assert scans.raw_table(spark, path).count() == 48
