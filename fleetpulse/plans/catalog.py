@@ -10,7 +10,7 @@ from fleetpulse.functions import epoch_ms, text_or_empty
 from fleetpulse.operators import decode, envelopes, sketches, tables, validate, windows
 from fleetpulse.operators.percentiles import grouped_percentiles, nearest_rank_percentiles
 from fleetpulse.plans import reads
-from fleetpulse.session import pin_utc, scratch_path
+from fleetpulse.session import pin_utc, saved, scratch_path
 from fleetpulse.sinks import stores
 from fleetpulse.sources import events, scans
 from fleetpulse.streaming import jobs
@@ -212,9 +212,7 @@ def raw_table_rows(spark, sf):
 
 def stored_raw_week(spark, sf):
     """Write the raw table by day, read one week of it back."""
-    path = scratch_path(pin_utc(spark), "raw-table")
-    stores.append_raw(events.heartbeats(spark, sf), path)
-    week = tables.in_time_range(scans.raw_table(spark, path), "event_time", WEEK_FROM_MS, WEEK_TO_MS)
+    week = tables.in_time_range(_stored_raw(spark, sf), "event_time", WEEK_FROM_MS, WEEK_TO_MS)
     return with_ms(week)
 
 
@@ -228,14 +226,34 @@ def latest_versions(spark, sf):
     return rounded(with_ms(tables.latest_version(_versions(spark, sf))))
 
 
+def _stored_versions(spark, sf):
+    """All versions of the hourly windows, written by day and scanned."""
+    path = scratch_path(pin_utc(spark), "versions")
+    rows = tables.lay_out_by_day(_versions(spark, sf), schema.AGGREGATE_KEY)
+    rows.write.partitionBy("day").parquet(path)
+    return scans.aggregate_table(spark, path)
+
+
+def _stored_raw(spark, sf):
+    path = scratch_path(pin_utc(spark), "raw-table")
+    stores.append_raw(events.heartbeats(spark, sf), path)
+    return scans.raw_table(spark, path)
+
+
+def _compacted(spark, sf):
+    path = scratch_path(pin_utc(spark), "compaction")
+    stores.compact_days(_stored_versions(spark, sf), path)
+    return scans.aggregate_table(spark, path)
+
+
+def compacted_rows(spark, sf):
+    """The rows a compaction of every day leaves, in full."""
+    return rounded(with_ms(_compacted(spark, sf)))
+
+
 def compacted_days(spark, sf):
     """Write all versions, compact every day, count what is stored per day."""
-    root = scratch_path(pin_utc(spark), "compaction")
-    rows = tables.lay_out_by_day(_versions(spark, sf), schema.AGGREGATE_KEY)
-    rows.write.partitionBy("day").parquet(f"{root}/all")
-    stores.compact_days(scans.aggregate_table(spark, f"{root}/all"), f"{root}/compact")
-    stored = scans.aggregate_table(spark, f"{root}/compact")
-    return stored.groupBy("day").agg(F.count("*").alias("rows"), F.sum("count").alias("events"),
+    return _compacted(spark, sf).groupBy("day").agg(F.count("*").alias("rows"), F.sum("count").alias("events"),
                                      F.sum("batch_id").alias("batches"))
 
 
@@ -267,6 +285,53 @@ def metrics_series_filtered(spark, sf):
     return rounded(found)
 
 
+def stored_metrics(spark, sf):
+    """A week's series from the stored, versioned table."""
+    return rounded(reads.metrics_series(_stored_versions(spark, sf), _week()))
+
+
+def stored_dashboard(spark, sf):
+    """A week's dashboard from both stored tables."""
+    summary, _ = reads.dashboard(_stored_versions(spark, sf), _stored_raw(spark, sf), _week())
+    return rounded(summary)
+
+
+def stored_fleet_rollup(spark, sf):
+    return reads.fleet_rollup(_stored_versions(spark, sf), AS_OF_MS, MONTH_MINUTES)
+
+
+def sql_view_rollup(spark, sf):
+    """SQL text over the stored tables: a week per region, with its devices."""
+    reads.register_views(_stored_versions(spark, sf), _stored_raw(spark, sf))
+    return spark.sql(f"""SELECT region, status, events, peak_unique_devices, devices
+        FROM (SELECT region, status, sum(count) AS events, max(distinct_count) AS peak_unique_devices
+              FROM windows_between({WEEK_FROM_MS}, {WEEK_TO_MS}) GROUP BY region, status)
+        JOIN (SELECT region, status, count(DISTINCT device_id) AS devices
+              FROM heartbeats_between({WEEK_FROM_MS}, {WEEK_TO_MS}) GROUP BY region, status)
+        USING (region, status)""")
+
+
+def message_folder_read(spark, sf):
+    """All messages of a folder, read at once and decoded."""
+    inbox = scratch_path(pin_utc(spark), "inbox")
+    stores.as_messages(events.heartbeats(spark, sf)).select("value").write.text(inbox)
+    rows = decode.decode_heartbeats(scans.file_batch(spark, inbox))
+    return rows.select(*schema.TEXT_FIELDS, *schema.NUMBER_FIELDS)
+
+
+def export_roundtrip(spark, sf):
+    """Hourly counts as result files of each form, read back."""
+    hourly = saved(with_ms(windows.window_aggregate(events.heartbeats(spark, sf), HOUR)).select(
+        "window_start_ms", "region", "status", "count", "p50_latency"), "export-rows")
+    back = None
+    for form in ("json", "csv", "tsv", "parquet"):
+        path = scratch_path(spark, f"export-{form}")
+        stores.export_rows(hourly, path, form)
+        rows = scans.exported_rows(spark, path, hourly.schema, form).withColumn("form", F.lit(form))
+        back = rows if back is None else back.unionByName(rows)
+    return rounded(back)
+
+
 def distinct_devices(spark, sf):
     raw = tables.raw_rows(events.heartbeats(spark, sf, WEEK_FROM_MS, WEEK_TO_MS))
     return reads.distinct_devices(raw, _week(status="warn"))
@@ -387,10 +452,17 @@ QUERIES = {
     "stored_raw_week": stored_raw_week,
     "latest_versions": latest_versions,
     "compacted_days": compacted_days,
+    "compacted_rows": compacted_rows,
     "retention_raw": retention_raw,
     "retention_aggregates": retention_aggregates,
     "metrics_series": metrics_series,
     "metrics_series_filtered": metrics_series_filtered,
+    "stored_metrics": stored_metrics,
+    "stored_dashboard": stored_dashboard,
+    "stored_fleet_rollup": stored_fleet_rollup,
+    "sql_view_rollup": sql_view_rollup,
+    "message_folder_read": message_folder_read,
+    "export_roundtrip": export_roundtrip,
     "distinct_devices": distinct_devices,
     "dashboard": dashboard,
     "dashboard_week": dashboard_week,

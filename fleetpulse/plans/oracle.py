@@ -95,26 +95,29 @@ RAW = """timestamp_ms AS event_time_ms, device_id, region, status, latency_ms,
 
 VERSIONS = f"""WITH {HB}, {windows(HOUR)}, versions AS (
   SELECT window_start_ms, window_end_ms, region, status, win.count + v AS count, distinct_count,
-    {ROUNDED}, window_end_ms + 60000 + 1000 * least(v, 1) AS ingested_at_ms, v AS batch_id,
+    {", ".join(METRICS)}, window_end_ms + 60000 + 1000 * least(v, 1) AS ingested_at_ms, v AS batch_id,
     strftime(make_timestamp(window_start_ms * 1000), '%Y%m%d') AS day
   FROM win, (SELECT unnest([0, 1, 2]) AS v) AS numbers
   WHERE v = 0 OR (v = 1 AND window_start_ms // 3600000 % 2 = 0)
     OR (v = 2 AND window_start_ms // 3600000 % 6 = 0)), newest AS (
   SELECT * FROM versions QUALIFY row_number() OVER (
     PARTITION BY window_start_ms, region, status ORDER BY ingested_at_ms DESC, batch_id DESC) = 1)"""
+NEWEST = f"""{VERSIONS}
+SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED},
+  ingested_at_ms, batch_id, day FROM newest"""
 
 
 def half_up(metric):
     return f"CAST(round(CAST({metric} AS DECIMAL(38, 9)), 1) AS DOUBLE)"
 
 
-def series(where, limit=None):
+def series(where, limit=None, rows="win"):
     cut = f"ORDER BY window_start_ms, region, status LIMIT {limit}" if limit else ""
-    return f"""series AS (SELECT * FROM win WHERE {where} {cut})"""
+    return f"""series AS (SELECT * FROM {rows} WHERE {where} {cut})"""
 
 
-def dashboard(from_ms, to_ms, limit=None):
-    return f"""{MINUTES}, {series(in_range("window_start_ms", from_ms, to_ms), limit)}
+def dashboard(from_ms, to_ms, limit=None, given=MINUTES, rows="win"):
+    return f"""{given}, {series(in_range("window_start_ms", from_ms, to_ms), limit, rows)}
 SELECT CAST(coalesce(sum(count), 0) AS BIGINT) AS total_events,
   round(coalesce(sum(avg_latency * count) / nullif(sum(count), 0), 0), 9) AS avg_latency_ms,
   round(coalesce(sum(p95_latency * count) / nullif(sum(count), 0), 0), 6) AS p95_latency_ms_weighted,
@@ -141,6 +144,13 @@ SELECT {keys}, {nearest(0.5)} AS p50_latency, {nearest(0.95)} AS p95_latency,
   {nearest(0.99)} AS p99_latency, true AS within_tol FROM ranked GROUP BY {keys}"""
 
 
+def rollup(rows):
+    return f"""SELECT region, status, CAST(sum(count) AS BIGINT) AS events,
+  max(distinct_count) AS peak_unique_devices, {half_up("avg(avg_latency)")} AS avg_ms,
+  {half_up("avg(p95_latency)")} AS p95_ms, {half_up("avg(p99_latency)")} AS p99_ms
+FROM {rows} GROUP BY region, status"""
+
+
 RAW_ROWS = f"WITH {HB} SELECT {RAW} FROM hb"
 STREAMED = window_rows(HOUR, CLOSED, quantile="quantile_disc")
 
@@ -216,7 +226,8 @@ SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {R
 SELECT {RAW} FROM life""",
     "raw_table_rows": RAW_ROWS,
     "stored_raw_week": f"{RAW_ROWS} WHERE {RAW_WEEK}",
-    "latest_versions": f"{VERSIONS} SELECT * FROM newest",
+    "latest_versions": NEWEST,
+    "compacted_rows": NEWEST,
     "compacted_days": f"""{VERSIONS}
 SELECT day, count(*) AS rows, CAST(sum(count) AS BIGINT) AS events,
   CAST(sum(batch_id) AS BIGINT) AS batches FROM newest GROUP BY day""",
@@ -237,11 +248,22 @@ WHERE {RAW_WEEK} AND status = 'warn'""",
     "dashboard": dashboard(WEEK_FROM_MS, WEEK_TO_MS, DASHBOARD_LIMIT),
     "dashboard_week": dashboard(WEEK_FROM_MS, WEEK_TO_MS),
     "dashboard_empty": dashboard(EMPTY_FROM_MS, EMPTY_TO_MS),
-    "fleet_rollup": f"""{MINUTES}
-SELECT region, status, CAST(sum(count) AS BIGINT) AS events,
-  max(distinct_count) AS peak_unique_devices, {half_up("avg(avg_latency)")} AS avg_ms,
-  {half_up("avg(p95_latency)")} AS p95_ms, {half_up("avg(p99_latency)")} AS p99_ms
-FROM win GROUP BY region, status""",
+    "stored_metrics": f"""{VERSIONS}, {series(WEEK, rows="newest")}
+SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED}
+FROM series""",
+    "stored_dashboard": dashboard(WEEK_FROM_MS, WEEK_TO_MS, None, VERSIONS, "newest"),
+    "stored_fleet_rollup": f"{VERSIONS} {rollup('newest')}",
+    "sql_view_rollup": f"""{VERSIONS}
+SELECT * FROM (SELECT region, status, CAST(sum(count) AS BIGINT) AS events,
+    max(distinct_count) AS peak_unique_devices FROM newest WHERE {WEEK} GROUP BY region, status)
+JOIN (SELECT region, status, count(DISTINCT device_id) AS devices
+      FROM hb WHERE {RAW_WEEK} GROUP BY region, status) USING (region, status)""",
+    "message_folder_read": f"""WITH {HB}
+SELECT device_id, region, status, timestamp_ms, latency_ms, cpu_usage, mem_usage FROM hb""",
+    "export_roundtrip": f"""WITH {HB}, {windows(HOUR)}
+SELECT window_start_ms, region, status, count, round(p50_latency, 6) AS p50_latency, form
+FROM win, (SELECT unnest(['json', 'csv', 'tsv', 'parquet']) AS form) AS forms""",
+    "fleet_rollup": f"{MINUTES} {rollup('win')}",
     "region_series": f"""{MINUTES}
 SELECT window_start_ms, region, CAST(sum(count) AS BIGINT) AS c, round(avg(p99_latency), 6) AS p99
 FROM win GROUP BY window_start_ms, region""",

@@ -176,10 +176,22 @@ def dashboard_document(aggregates, raw, wanted, collapse=True):
 
 def register_views(aggregates, raw):
     """Views for SQL text: ``heartbeats``, ``heartbeat_aggregates`` with the newest version
-    of each window, ``heartbeat_aggregates_stored`` with all versions as stored."""
+    of each window, ``heartbeat_aggregates_stored`` with all versions as stored.
+
+    A time bound on a view opens every day. The table functions ``heartbeats_between`` and
+    ``windows_between`` of (from_ms, to_ms) read the days of their half-open range only.
+    """
     raw.createOrReplaceTempView("heartbeats")
     current(aggregates).createOrReplaceTempView("heartbeat_aggregates")
     aggregates.createOrReplaceTempView("heartbeat_aggregates_stored")
+    for name, view, at, shape in (("heartbeats_between", "heartbeats", "event_time", raw),
+                                  ("windows_between", "heartbeat_aggregates", "window_start", aggregates)):
+        days = """AND day BETWEEN date_format(timestamp_millis(from_ms), 'yyyyMMdd')
+            AND date_format(timestamp_millis(to_ms - 1), 'yyyyMMdd')""" if "day" in shape.columns else ""
+        raw.sparkSession.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(from_ms BIGINT, to_ms BIGINT)
+            RETURNS TABLE ({", ".join(f"{c} {kind}" for c, kind in shape.dtypes)})
+            RETURN SELECT {", ".join(shape.columns)} FROM {view}
+            WHERE {at} >= timestamp_millis(from_ms) AND {at} < timestamp_millis(to_ms) {days}""")
 
 
 def fleet_rollup(aggregates, as_of_ms, minutes=30, collapse=True):
@@ -221,7 +233,7 @@ def stored_rows(aggregates):
 def device_history(raw, device_id, from_ms, to_ms):
     """The raw heartbeats of one device in a range, in time order."""
     rows = in_time_range(raw, "event_time", from_ms, to_ms).where(F.col("device_id") == device_id)
-    return rows.orderBy("event_time")
+    return rows.orderBy("event_time", *[c for c in rows.columns if c != "event_time"])
 
 
 def device_windows(aggregates, from_ms, to_ms, by=(), collapse=True):

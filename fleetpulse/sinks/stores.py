@@ -11,7 +11,7 @@ from fleetpulse.operators.decode import encode_heartbeats
 from fleetpulse.operators.tables import (
     aggregate_rows, latest_version, lay_out_by_day, lay_out_closed_windows, raw_rows,
 )
-from fleetpulse.session import hadoop_path
+from fleetpulse.session import hadoop_path, saved
 
 # Rows per insert statement of the two tables.
 RAW_JDBC_BATCH = 1000
@@ -57,13 +57,19 @@ def write_stream_load(raw, path, source, batch_id):
 
 
 def _write_load(raw, path, load):
+    """A load of the raw table; its files can be skipped by device."""
     (raw.withColumn("load", F.lit(load)).write.mode("overwrite")
+     .option("parquet.bloom.filter.enabled#device_id", "true")
      .option("partitionOverwriteMode", "dynamic").partitionBy("day", "load").parquet(path))
 
 
 def append_aggregates(windows, path, batch_id=0, ingested_at=None, key=schema.AGGREGATE_KEY):
-    """Append a new version of each window; readers keep the newest."""
-    laid_out = lay_out_by_day(aggregate_rows(windows, batch_id, ingested_at), key)
+    """Append a new version of each window; readers keep the newest.
+
+    The rows are saved first: a range split samples its input, which would run the windows twice.
+    """
+    rows = saved(aggregate_rows(windows, batch_id, ingested_at), "aggregate-rows")
+    laid_out = lay_out_by_day(rows, key)
     laid_out.write.mode("append").partitionBy("day").parquet(path)
 
 

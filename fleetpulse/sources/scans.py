@@ -50,6 +50,14 @@ def aggregate_table(spark, path, tags=()):
     return spark.read.schema(schema.with_tags(schema.AGGREGATE_TABLE, tags)).parquet(path)
 
 
+def exported_rows(spark, path, shape, form="json"):
+    """Result files of ``stores.export_rows`` with the columns of ``shape``."""
+    reader = spark.read.schema(shape)
+    if form in ("csv", "tsv"):
+        return reader.option("header", "true").option("sep", "," if form == "csv" else "\t").csv(path)
+    return reader.format(form).load(path)
+
+
 def parquet_stream(spark, path, shape):
     """A parquet dataset as a stream; a dataset of one file is met through its folder."""
     reader = spark.readStream.schema(shape)

@@ -6,7 +6,9 @@ from fleetpulse.operators import tables
 from fleetpulse.plans import reads
 from fleetpulse.plans.reads import ReadFilter
 from fleetpulse.session import scratch_path
-from tests.helpers import beat, beats, rows_of
+from fleetpulse.sinks import stores
+from fleetpulse.sources import scans
+from tests.helpers import beat, beats, plan_of, rows_of
 
 MINUTE_MS = 60_000
 T0 = 1_704_067_200_000
@@ -64,13 +66,13 @@ def test_range_is_half_open_and_filters_are_exact(spark):
 
 
 def test_roll_up(spark):
-    df = series_rows(spark, [window(1, count=10, avg=10.0, p95=50.0, p99=100.0),
-                             window(2, count=90, avg=20.0, p95=60.0, p99=120.0)])
-    raw = tables.raw_rows(beats(spark, [beat(f"d{i}", at=1) for i in range(7)]))
+    df = series_rows(spark, [window(1, count=30, avg=8.0, p95=44.0, p99=64.0),
+                             window(2, count=10, avg=16.0, p95=52.0, p99=96.0)])
+    raw = tables.raw_rows(beats(spark, [beat(f"d{i}", at=1) for i in range(5)]))
     summary, series = reads.dashboard(df, raw, ReadFilter.of(1, 100))
     row = summary.first()
-    assert (row.total_events, row.distinct_devices) == (100, 7)
-    assert (row.avg_latency_ms, row.p95_latency_ms_weighted, row.p99_latency_ms_weighted) == (19.0, 59.0, 118.0)
+    assert (row.total_events, row.distinct_devices) == (40, 5)
+    assert (row.avg_latency_ms, row.p95_latency_ms_weighted, row.p99_latency_ms_weighted) == (10.0, 46.0, 72.0)
     assert series.count() == 2
 
 
@@ -175,6 +177,25 @@ def test_sql_text_over_the_views(spark):
     assert spark.sql("SELECT count(DISTINCT device_id) FROM heartbeats").first()[0] == 1
 
 
+def test_sql_functions_read_the_days_of_their_range(spark, folder):
+    day_ms = 86_400_000
+    raw = [beat(f"d{i}", at=T0 + i * day_ms // 2) for i in range(8)]
+    stores.append_raw(beats(spark, raw), f"{folder}/raw")
+    stores.append_aggregates(series_rows(spark, [window(T0 + i * day_ms) for i in range(4)]), f"{folder}/agg")
+    reads.register_views(scans.aggregate_table(spark, f"{folder}/agg"), scans.raw_table(spark, f"{folder}/raw"))
+    for function, rows in (("windows_between", 1), ("heartbeats_between", 2)):
+        found = spark.sql(f"SELECT * FROM {function}({T0 + day_ms}, {T0 + 2 * day_ms})")
+        assert found.count() == rows
+        bounds = plan_of(found).split("PartitionFilters: [")[1].split("]")[0]
+        assert ">= 20240102" in bounds and "<= 20240102" in bounds
+
+
+def test_device_history_breaks_ties(spark):
+    raw = tables.raw_rows(beats(spark, [beat("a", at=1, latency=float(9 - i)) for i in range(9)]).repartition(4))
+    found = [r.latency_ms for r in reads.device_history(raw, "a", 1, 2).collect()]
+    assert found == sorted(found)
+
+
 class Session:
     """Stands for a session without a shared folder."""
 
