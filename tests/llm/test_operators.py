@@ -205,6 +205,34 @@ def test_search(spark):
     assert hamming_search.nearest(df.filter("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_search_in_shards_and_blocks(spark, monkeypatch):
+    for name, value in (("SHARD_LEAST", 40), ("QUERY_BLOCK", 8), ("PROBES_AT_ONCE", 64)):
+        monkeypatch.setattr(hamming_search, name, value)
+    signs = np.random.default_rng(8).choice([-1.0, 1.0], (200, 70))
+    signs[50:100] = signs[0]
+    df = spark.createDataFrame([(i, "x", v.tolist()) for i, v in enumerate(signs)],
+                               "vec_id long, code string, embedding array<double>")
+    rows = hamming_search.nearest(df, F.col("vec_id") % 10 == 0, 12).collect()
+    found = {(r.vec_id, r["rank"]): (r.distance, r.neighbour_id) for r in rows}
+    for q in range(0, 200, 10):
+        best = sorted((int((signs[q] != v).sum()), i) for i, v in enumerate(signs) if i != q)[:12]
+        assert [found[q, k + 1] for k in range(12)] == best
+    few = hamming_search.nearest(df.filter("vec_id < 3"), F.lit(True), 12).groupBy("vec_id").count().collect()
+    assert sorted(tuple(r) for r in few) == [(0, 2), (1, 2), (2, 2)]
+
+
+def test_index_finds_what_a_scan_finds():
+    rng = np.random.default_rng(3)
+    codes = np.unique(rng.integers(0, 1 << 40, (900, 1), dtype=np.uint64) & np.uint64((1 << 30) - 1), axis=0)
+    ids = rng.permutation(len(codes))
+    asked = codes[::45] ^ np.uint64(5)
+    query, row, apart = hamming_search.MultiIndex(codes, 30).nearest(asked, 7, ids)
+    for q, code in enumerate(asked):
+        far = np.bitwise_count(codes[:, 0] ^ code[0])
+        best = sorted(zip(far.tolist(), ids.tolist()))[:7]
+        assert sorted(zip(apart[query == q].tolist(), ids[row[query == q]].tolist())) == best
+
+
 def test_personal_data(docs, none):
     found = {r.doc_id: r for r in pii.personal_data(docs).collect()}
     row = found[13]
