@@ -2,14 +2,18 @@
 
 Documents become token ids by a public byte-level BPE vocabulary, with id 1 at the end. Full
 windows of a long document are sequences of their own; what is left of each document is a
-fragment. Fragments are written once, and each task packs those of its input in shards of
-``SHARD`` fragments: a shard has a BM25 index, the oldest unused fragment is the seed of the next
-window, and its best unused neighbours fill it, the last one cut where the window ends.
-What a shard leaves goes on to the next one of the task; the last, short window of a task
-is split into lengths that are powers of two, so nothing is padded.
-
-Inverse document frequencies come from all documents; they are one number per id of the
-vocabulary, a bounded size. A query is its fragment's ``QUERY_TERMS`` heaviest ids.
+fragment. Related fragments of the whole table are brought together first: at most ``PIVOTS`` are
+pivots, every fragment asks a BM25 index of the pivots for its best two, and the table is sorted
+by these. Each task then packs a range of that order in shards of ``SHARD`` fragments: a shard has
+a BM25 index, the oldest unused fragment is the seed of the next window, and its best unused
+neighbours fill it, the last one cut where the window ends. What a shard leaves goes on to the
+next one of the task; the last, short window of a task is split into lengths that are powers
+of two, so nothing is padded.
+
+A seed takes neighbours from its own shard only, so one that the order puts elsewhere is not
+found; the README has the measured share. Within a shard the search is exact: a query is all
+ids of its fragment. Inverse document frequencies and the mean length come from the whole table;
+they are one number per id of the vocabulary, a bounded size.
 
 Null text counts as empty and is the single id 1. Rows that repeat a doc_id are documents of
 their own. An empty table gives an empty result. Columns other than doc_id and text are
@@ -33,13 +37,15 @@ TEXT_END, END_MARK, END_MARK_ID = 1, "<|endoftext|>", 50256
 WINDOW = 2048
 SHARD = 2048
 READ_ROWS = 512
-QUERY_TERMS = 24
+PIVOTS, PIVOT_SHARE = 1024, 32  # at most so many, and one in so many fragments
+DENSE = 16  # an id in more than one in so many fragments of an index has a row of weights there
 K1, B = 1.2, 0.75
 
 PARTS = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
          "sequence_id bigint, ids binary, terms array<int>, term_docs array<int>")
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
+PLACED = "doc_id bigint, start bigint, doc_tokens bigint, ids binary, near int, second int, score float"
 KIND = np.dtype("<u2")
 
 
@@ -110,34 +116,78 @@ class Fragment:
 class Shard:
     """BM25 over the fragments of a shard."""
 
-    def __init__(self, fragments, idf):
-        sizes = np.array([len(f.ids) for f in fragments])
-        keys, counts = np.unique(np.repeat(np.arange(len(fragments), dtype=np.int64), sizes) * len(idf)
-                                 + np.concatenate([f.ids for f in fragments]), return_counts=True)
-        owner, term = keys // len(idf), keys % len(idf)
-        norm = K1 * (1 - B + B * sizes / sizes.mean())
-        weight = idf[term] * counts * (K1 + 1) / (counts + norm[owner])
-        heavy = np.lexsort((-weight, owner))
-        firsts = np.searchsorted(owner, np.arange(len(fragments)))
-        rank = np.arange(len(owner)) - firsts[owner]
-        chosen = heavy[rank < QUERY_TERMS]
-        self.query_term, self.query_start = term[chosen], np.searchsorted(owner[chosen], np.arange(len(fragments) + 1))
-        by_term = np.argsort(term, kind="stable")
-        self.owner, self.weight, self.term = owner[by_term], weight[by_term], term[by_term]
-        self.unused = np.ones(len(fragments), bool)
+    def __init__(self, fragments, idf, mean=None):
+        count, sizes = len(fragments), np.array([len(f.ids) for f in fragments])
+        keys, counts = np.unique(np.concatenate([f.ids for f in fragments]).astype(np.int64) * count
+                                 + np.repeat(np.arange(count), sizes), return_counts=True)
+        term, owner = keys // count, keys % count
+        norm = K1 * (1 - B + B * sizes / (mean or sizes.mean()))
+        weight = (idf[term] * counts * (K1 + 1) / (counts + norm[owner])).astype(np.float32)
+        self.start = np.searchsorted(term, np.arange(len(idf) + 1))
+        self.owner, self.weight, self.fragments = owner, weight, fragments
+        held = np.diff(self.start)
+        common = np.flatnonzero(held > count / DENSE)
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), count), np.float32)
+        where = self.row[term] >= 0
+        self.rows[self.row[term[where]], owner[where]] = weight[where]
+        self.queries = [np.unique(f.ids) for f in fragments]
+        self.unused = np.ones(count, bool)
+
+    def scores(self, terms):
+        """Of all fragments, for a query of distinct ids."""
+        row = self.row[terms]
+        rare = terms[row < 0]
+        starts = self.start[rare]
+        sizes = self.start[rare + 1] - starts
+        at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+        found = np.bincount(self.owner[at], self.weight[at], len(self.unused))
+        return found + self.rows[row[row >= 0]].sum(0)
 
     def neighbours(self, seed):
-        """Numbers of the unused fragments that share a query term with ``seed``, best first."""
-        terms = self.query_term[self.query_start[seed]:self.query_start[seed + 1]]
-        starts, ends = np.searchsorted(self.term, terms), np.searchsorted(self.term, terms, "right")
-        scores = np.zeros(len(self.unused))
-        for a, b in zip(starts, ends):
-            scores[self.owner[a:b]] += self.weight[a:b]
+        """Numbers of the unused fragments that share an id with ``seed``, best first."""
+        scores = self.scores(self.queries[seed].astype(np.int64))
         scores[~self.unused] = 0
         found = np.flatnonzero(scores)
         return found[np.argsort(-scores[found], kind="stable")]
 
 
+def nearest_pivots(pivots, idf, mean):
+    """Adds to each fragment its best two pivots and the first one's score; -1 where there is none."""
+    def nearest(batches):
+        index = Shard([Fragment(0, 0, 0, np.frombuffer(p, KIND)) for p in pivots], idf, mean)
+        for batch in batches:
+            near = np.full((2, batch.num_rows), -1, np.int32)
+            top = np.zeros(batch.num_rows, np.float32)
+            for k, ids in enumerate(batch.column("ids").to_pylist()):
+                scores = index.scores(np.unique(np.frombuffer(ids, KIND)).astype(np.int64))
+                for place in range(2):
+                    best = scores.argmax()
+                    if scores[best] > 0:
+                        near[place, k] = best
+                        top[k] = max(top[k], scores[best])
+                        scores[best] = 0
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(near[0]), pa.array(near[1]), pa.array(top)],
+                [*batch.schema.names, "near", "second", "score"])
+    return nearest
+
+
+def in_related_order(fragments, count, idf, mean):
+    """The fragments in ranges of tasks, by their best pivots; a large group of like ones is split by a hash."""
+    key = F.xxhash64("doc_id", "start", "ids")
+    wanted = min(PIVOTS, -(-count // PIVOT_SHARE))
+    share = min(1.0, (1.2 * wanted + 20) / max(count, 1))
+    some = fragments.select("ids", key.alias("key")).filter(F.col("key") <= F.lit(int(-2**63 + share * (2**64 - 2048))))
+    pivots = [bytes(r.ids) for r in some.orderBy("key").limit(wanted).collect()]
+    if not pivots:
+        return fragments
+    near = written(fragments.mapInArrow(nearest_pivots(pivots, idf, mean), PLACED), "near-fragments")
+    order = ["near", "second", "score", key]
+    return near.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "start", "doc_tokens", "ids")
+
+
 def placed(window, sequence, rows):
     """Add the pieces of one window to ``rows``."""
     offset = 0
@@ -180,14 +230,14 @@ def fill(shard, fragments):
         yield window
 
 
-def packer(idf):
+def packer(idf, mean):
     def pack(batches):
         part, number, waiting = TaskContext.get().partitionId(), 0, []
         for rows in in_blocks(batches, SHARD):
             columns = (rows.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens", "ids"))
             waiting += [Fragment(d, s, n, np.frombuffer(i, KIND)) for d, s, n, i in zip(*columns)]
             out = []
-            for window in fill(Shard(waiting, idf), waiting):
+            for window in fill(Shard(waiting, idf, mean), waiting):
                 placed(window, (1 << 62) + (part << 32) + number, out)
                 number += 1
             waiting = [f for f in waiting if len(f.ids)]
@@ -225,6 +275,8 @@ def packed(docs, vocabulary=VOCABULARY):
     for term, docs_with in counted:
         idf[term] = np.log1p((n_docs - docs_with + 0.5) / (docs_with + 0.5))
     fragments = parts.filter("ids IS NOT NULL").select("doc_id", "start", "doc_tokens", "ids")
+    count, mean = fragments.agg(F.count("*"), F.avg(F.length("ids") / KIND.itemsize)).first()
+    related = in_related_order(fragments, count, idf, mean)
     whole = parts.filter("sequence_id IS NOT NULL").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
-    return whole.unionByName(fragments.mapInArrow(packer(idf), PIECES))
+    return whole.unionByName(related.mapInArrow(packer(idf, mean), PIECES))

@@ -153,6 +153,32 @@ def test_retrieval_prefers_shared_rare_terms():
     assert [k for k in shard.neighbours(0) if k] == [2]
 
 
+def test_retrieval_uses_all_ids_of_the_query():
+    rng = np.random.default_rng(3)
+    idf = rng.random(1 << 16).astype(np.float32)
+    fragments = [packing.Fragment(i, 0, 60, rng.integers(0, 300, 60).astype("<u2")) for i in range(50)]
+    shard = packing.Shard(fragments, idf)
+    for seed in range(50):
+        score = np.zeros(50)
+        for k, f in enumerate(fragments):
+            for t in set(f.ids.tolist()) & set(fragments[seed].ids.tolist()):
+                n = (f.ids == t).sum()
+                score[k] += idf[t] * n * 2.2 / (n + 1.2)
+        assert np.allclose(shard.scores(np.unique(fragments[seed].ids).astype(np.int64)), score, rtol=1e-4)
+
+
+def test_related_fragments_of_different_shards_meet(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 32)
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    topics = [["".join(rng.choice(letters, 7)) for _ in range(40)] for _ in range(4)]
+    rows = [(i, " ".join(rng.choice(topics[i % 4], 60))) for i in range(480)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    windows = packing.packed(df).toPandas().groupby("sequence_id").doc_id
+    mixed = [len(set(ids % 4)) for _, ids in windows if len(ids) > 1]
+    assert sum(m == 1 for m in mixed) >= 0.8 * len(mixed)
+
+
 def test_sharding(docs, none):
     found = sharding.sharded(docs, 4).toPandas()
     assert len(found) == len(TEXTS)
