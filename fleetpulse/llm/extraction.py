@@ -40,11 +40,17 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}
 ENDS_P = frozenset("""address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6
     header hr main menu nav ol p pre section table ul""".split())
 WALLS = frozenset("table ul ol dl article section main div body html".split())
-AGAINST = re.compile(r"""\b(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|
-    side-?bar|menu|nav\w*|breadcrumbs?|foot(er)?|head(er)?|masthead|comments?|respon(d|ses)|discuss\w*|replies|reply|
-    share|sharing|social|related|recommend\w*|newsletter|subscri\w*|sign-?up|login|widget|toolbar|pagination|
-    pager|copyright|disclaimer|legal|teaser|outbrain|taboola|hidden|skip)\b""", re.I | re.X)
+AGAINST = re.compile(r"""(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|
+    sidebar|menu|nav\w*|breadcrumbs?|foot(er)?|head(er)?|masthead|comments?|respon(d|ses)|discuss\w*|replies|reply|
+    share|sharing|social|related|recommend\w*|newsletter|subscri\w*|signup|login|widget|toolbar|pagination|
+    pager|copyright|disclaimer|legal|teaser|outbrain|taboola|hidden|skip)""", re.I | re.X)
 FOR = re.compile(r"\b(article|content|post|story|entry|main|body|text)\b", re.I)
+# Of a name of several words: what it says about the block's surroundings or state, not about the block.
+BESIDE = frozenset("has have with no non without overflow hide".split())
+STATE = frozenset("layout fixed sticky open opened closed collapsed expanded enabled disabled template".split())
+HOLDER = frozenset("wrap wrapper container outer inner".split())
+PLURAL = frozenset("list area section block box".split())
+STRONG = re.compile(r"(article|post|entry|story|main|page)[-_]*(content|body|text)|main|article", re.I)
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -77,6 +83,19 @@ class Node:
         self.text = self.linked = 0
 
 
+def boilerplate(name):
+    """Whether a class, id or role names its own block as no content: by its first or its head word."""
+    words = re.split("[-_]+", re.sub("(side|sign)[-_](?=bar|up)", r"\1", name.lower()).strip("-_"))
+    if len(words) > 1 and (words[0] in BESIDE or words[-1] in STATE):
+        return False
+    around = False
+    while len(words) > 1 and words[-1] in HOLDER | PLURAL:
+        around |= words.pop() in HOLDER
+    if around and any(FOR.fullmatch(w) for w in words):
+        return False
+    return bool(AGAINST.fullmatch(words[0]) or AGAINST.fullmatch(words[-1]))
+
+
 def parse(page):
     """(nodes in page order, pieces of text as (node number, text)); None marks a block's bound."""
     nodes = [Node("html", -1, False, False, False, [TAG["html"], CUE["bias"]])]
@@ -145,20 +164,24 @@ def parse(page):
             close(CLOSES[tag], WALLS - {"table"} if tag in ("tr", "td", "th") else WALLS)
         pieces.append(None)
         up = stack[-1][1]
-        names = " ".join(a or b or c for a, b, c in NAMES.findall(found[3])).replace("_", " ")
+        names = " ".join(a or b or c for a, b, c in NAMES.findall(found[3]))
         above = nodes[up]
         features = [TAG.get(tag, TAG["other"]), CUE["bias"]]
-        against = bool(AGAINST.search(names)) and tag not in ("body", "article", "main")
+        marked = any(map(boilerplate, names.split()))
+        root = tag in ("article", "main")
+        # an article in a marked block is free of the mark, unless it is marked itself or part of an article
+        inherited = above.against and (marked or above.article or not (root or any(map(STRONG.fullmatch, names.split()))))
+        against = marked and tag != "body" and (above.against or not root)
         if against:
             features.append(CUE["against"])
-        elif names and FOR.search(names):
+        elif names and FOR.search(names.replace("_", " ")):
             features.append(CUE["for"])
-        if above.against:
+        if inherited:
             features.append(CUE["under_against"])
         if above.article:
             features.append(CUE["under_article"])
-        nodes.append(Node(tag, up, above.barred or tag in NEVER, above.against or against,
-                          above.article or tag in ("article", "main"), features))
+        nodes.append(Node(tag, up, above.barred or tag in NEVER, inherited or against,
+                          above.article or root, features))
         if not found[3].endswith("/"):
             stack.append((tag, len(nodes) - 1))
     for node in nodes:

@@ -297,6 +297,26 @@ def test_main_text():
         extraction.main_text(odd, *extraction.prior())
 
 
+@pytest.mark.parametrize("names, against", [
+    ("content has-sidebar", False), ("content-sidebar-wrap", False), ("post with-comments", False), ("no-ads", False),
+    ("page-header-fixed", False), ("sidebar-layout", False), ("sidebar", True), ("side-bar", True), ("sidebar-wrap", True),
+    ("post_comments", True), ("related-posts", True), ("site-header-inner", True), ("comment-list", True)])
+def test_layout_names_are_no_boilerplate(names, against):
+    text = "A long plain paragraph of the article, with words enough and more. It has full sentences, too."
+    page = f'<body><div class="{names}"><p>{text}</p><p>{text}</p></div></body>'
+    assert extraction.main_text(page, *extraction.prior()) == ("" if against else f"{text} {text}")
+
+
+def test_articles_in_marked_blocks_are_kept():
+    text = "A long plain paragraph of the article, with words enough and more. It has full sentences, too."
+    page = f"""<body><div class="header"><article><p>{text}</p><div class="comments"><article class="comment-body"><p>No.</p>
+    </article></div></article></div></body>"""
+    assert extraction.main_text(page, *extraction.prior()) == text
+    nodes, _ = extraction.parse(page)
+    assert [(n.tag, n.against) for n in nodes if n.tag in ("article", "p")] == [
+        ("article", False), ("p", False), ("article", True), ("p", True)]
+
+
 def test_messages_give_exact_marginals():
     rng = np.random.default_rng(2)
     parents, own, table = [-1, 0, 0, 1, 1, 2], rng.normal(size=6), rng.normal(size=(2, 2))
