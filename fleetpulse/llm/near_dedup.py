@@ -16,8 +16,8 @@ each bucket, and links its findings to components. The second takes every surviv
 that is not yet in one component. So a large group of near copies costs a few pairs a
 member, and no link between different components is left out.
 
-A link of similarity 0.85 misses all bands with a chance of about 2e-9 and falls to the
-likelihood with one of about 1e-6; everything after that is exact.
+A link of similarity 0.85 misses all bands with a chance of about 2e-9 (0.8: 3e-6) and falls to
+the likelihood with one of about 1e-6; everything after that is exact.
 
 Null and empty texts, and those without words, have the empty set and are linked with
 nothing. Rows that repeat a doc_id are documents of their own with that id. A null doc_id
@@ -37,7 +37,8 @@ from fleetpulse.llm.common import binaries, mixed, release_shuffles, text_or_emp
 from fleetpulse.llm.components import components
 
 WORDS = 5
-SHARE = 85  # percent
+SHARE = 85  # percent, of the query
+STAGE_SHARE = 80  # percent, of the pipeline's stage
 REGISTERS = 512
 BAND = 6
 BANDS = 42  # of the first registers; all registers count for the likelihood
@@ -131,7 +132,7 @@ def log_likelihood(more, less, equal, u, v, similarity):
     return more * np.log(p) + less * np.log(q) + equal * np.log(np.clip(1 - p - q, 1e-12, 1))
 
 
-def surviving(table, sizes, a, b):
+def surviving(table, sizes, a, b, share=SHARE):
     """Which of the pairs the threshold may still hold for, and their likeliest similarities."""
     same = (table[a] == table[b]).sum(1)
     more = (table[a] > table[b]).sum(1)
@@ -144,11 +145,11 @@ def surviving(table, sizes, a, b):
         found = np.where(x <= top, log_likelihood(more, less, same, u, v, x), -np.inf)
         better = found > best
         best[better], estimate[better] = found[better], x
-    at = log_likelihood(more, less, same, u, v, np.minimum(SHARE / 100, top))
-    return (estimate >= SHARE / 100) | (at > best - DOUBT), estimate
+    at = log_likelihood(more, less, same, u, v, np.minimum(share / 100, top))
+    return (estimate >= share / 100) | (at > best - DOUBT), estimate
 
 
-def compared(rows, first_round):
+def compared(rows, first_round, share):
     """Of whole groups (band, i, j) of rows: the pairs of nodes that go on to verification."""
     band, i, j, side, node, held = (rows.column(c).to_numpy() for c in ("band", "i", "j", "side", "node", "held"))
     table = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
@@ -168,13 +169,13 @@ def compared(rows, first_round):
         widths = ends[part] - low[part]
         a = np.repeat(part, widths)
         b = np.arange(len(a)) - np.repeat(np.cumsum(widths) - widths, widths) + np.repeat(low[part], widths)
-        kept = 100 * np.minimum(sizes[a], sizes[b]) >= SHARE * np.maximum(sizes[a], sizes[b])
+        kept = 100 * np.minimum(sizes[a], sizes[b]) >= share * np.maximum(sizes[a], sizes[b])
         if not first_round:
             kept &= held[a] != held[b]
         a, b = a[kept], b[kept]
         kept = (keys[a] == keys[b]).argmax(1) == place[a]
         a, b = a[kept], b[kept]
-        kept, estimate = surviving(table, sizes, a, b)
+        kept, estimate = surviving(table, sizes, a, b, share)
         a, b, estimate = a[kept], b[kept], estimate[kept]
         if first_round and len(a):
             own, other, score = np.append(a, b), np.append(b, a), np.append(estimate, estimate)
@@ -197,7 +198,7 @@ def group_starts(*columns):
     return np.flatnonzero(changed)
 
 
-def block_pairs(first_round):
+def block_pairs(first_round, share):
     """Compares the blocks of sorted rows group by group; a group is at most two blocks."""
     def compare(batches):
         held = None
@@ -206,11 +207,11 @@ def block_pairs(first_round):
                 [held, pa.Table.from_batches([batch])])
             last = group_starts(*(rows.column(c).to_numpy() for c in ("band", "i", "j")))[-1:]
             if len(last) and last[0]:
-                yield compared(rows.slice(0, last[0]), first_round)
+                yield compared(rows.slice(0, last[0]), first_round, share)
                 rows = rows.slice(last[0])
             held = rows.combine_chunks()
         if held is not None and held.num_rows:
-            yield compared(held, first_round)
+            yield compared(held, first_round, share)
     return compare
 
 
@@ -224,7 +225,7 @@ def blocks_of(members):
         "*", "pair.i", "pair.j", "pair.side").drop("pair", "blocks", "block")
 
 
-def candidates(buckets, classes, held=None):
+def candidates(buckets, classes, share, held=None):
     """Distinct pairs (a, b) of nodes for verification; with ``held`` only across components."""
     members = buckets
     if held is not None:
@@ -237,21 +238,23 @@ def candidates(buckets, classes, held=None):
     rows = blocks_of(members.join(classes, "node"))
     sorted_rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side").select(
         "band", "i", "j", "side", "node", "held", "n_shingles", "registers")
-    pairs = sorted_rows.mapInArrow(block_pairs(held is None), "a bigint, b bigint")
+    pairs = sorted_rows.mapInArrow(block_pairs(held is None, share), "a bigint, b bigint")
     return written(pairs.distinct(), "near-pairs")
 
 
-def linked_rows(batches):
-    for batch in batches:
-        kept = []
-        for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-            x, y = shingles(x), shingles(y)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            kept.append(100 * both >= SHARE * (len(x) + len(y) - both))
-        yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
+def linked_rows(share):
+    def linked(batches):
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
+                x, y = shingles(x), shingles(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(100 * both >= share * (len(x) + len(y) - both))
+            yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
+    return linked
 
 
-def verified(pairs, nodes, texts):
+def verified(pairs, nodes, texts, share):
     """The pairs whose full sets are similar enough; ``nodes`` has each class's doc_id and key."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     keyed = wanted.join(nodes, "node")
@@ -262,7 +265,8 @@ def verified(pairs, nodes, texts):
     own = written(own, "pair-texts")
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(linked_rows, "a bigint, b bigint"), "near-links")
+    links = both.select("a", "b", "text_a", "text_b").mapInArrow(linked_rows(share), "a bigint, b bigint")
+    return written(links, "near-links")
 
 
 def own_text_rows(batches):
@@ -274,8 +278,8 @@ def own_text_rows(batches):
         yield batch.filter(pa.array(same, pa.bool_())).select(["node", "text"])
 
 
-def near_groups(docs):
-    """doc_id, n_shingles, component_id, kept of each document."""
+def near_groups(docs, share=SHARE):
+    """doc_id, n_shingles, component_id, kept of each document; links from ``share`` percent on."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = written(texts.mapInArrow(sketch_rows, SKETCH), "sketches")
@@ -291,12 +295,12 @@ def near_groups(docs):
     nodes = classes.select("node", "doc_id", "set_a", "set_b")
     release_shuffles(spark)
 
-    likely = verified(candidates(buckets, sketches), nodes, texts)
+    likely = verified(candidates(buckets, sketches, share), nodes, texts, share)
     found = written(components(likely), "near-components")
     release_shuffles(spark)
     held = buckets.select("node").distinct().join(found, "node", "left").select(
         "node", F.coalesce("component", "node").alias("held"))
-    rest = verified(candidates(buckets, sketches, written(held, "near-held")), nodes, texts)
+    rest = verified(candidates(buckets, sketches, share, written(held, "near-held")), nodes, texts, share)
     release_shuffles(spark)
     links = likely.unionByName(rest)
     ends = written(components(links), "near-components")
@@ -313,8 +317,8 @@ def near_groups(docs):
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def drop_near_copies(docs):
+def drop_near_copies(docs, share=STAGE_SHARE):
     """The rows of ``docs`` that stay, one for each group, with all their columns."""
-    stay = near_groups(docs).filter("kept").select(F.col("doc_id").alias("__stay")).distinct()
+    stay = near_groups(docs, share).filter("kept").select(F.col("doc_id").alias("__stay")).distinct()
     kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__stay")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])

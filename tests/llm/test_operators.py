@@ -80,6 +80,18 @@ def test_near_groups(docs, none):
     assert near_dedup.near_groups(none).count() == 0
 
 
+def test_near_stage_drops_copies_from_eighty_percent_on(spark):
+    words = [f"s{i}" for i in range(400)]
+    other = [*words]
+    for k in range(8):
+        other[10 + 40 * k] = f"x{k}"
+    pairs = len({*zip(*(words[k:] for k in range(5)))} & {*zip(*(other[k:] for k in range(5)))})
+    assert 0.80 < pairs / (2 * 396 - pairs) < 0.85
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    assert [r.doc_id for r in near_dedup.drop_near_copies(df).collect()] == [1]
+    assert near_dedup.near_groups(df).filter("kept").count() == 2
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
