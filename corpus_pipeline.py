@@ -37,7 +37,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: SQL can express neither a trained classifier nor the packing; tests hold run() against brute force.
+#: SQL can express neither a trained classifier nor the packing. Tests check columns and counts of the stages;
+#: no test compares run() with brute force yet.
 ORACLE_SQL = None
 
 
