@@ -183,7 +183,8 @@ def percentiles_by_key(rows, value, probabilities, method="interpolated", group_
     """
     if method not in ("interpolated", "nearest"):
         raise ValueError("method must be interpolated or nearest")
-    v = F.col(value).cast("double")
+    # one zero: the ways below would give back either sign of it
+    v = F.col(value).cast("double") + F.lit(0.0)
     present = rows.where(v.isNotNull()).select("key", F.coalesce(v, F.lit(math.nan)).alias("v"))
     cap = GROUP_ROWS if group_rows is None else min(group_rows, GROUP_ROWS)
     sizes = group_sizes(present) if sizes is None else sizes

@@ -30,23 +30,23 @@ def device_sketch(column="device_id", log2_buckets=HLL_LOG2_BUCKETS):
     return F.hll_sketch_agg(F.xxhash64(text_or_empty(F.col(column))), F.lit(log2_buckets))
 
 
-def sketch_rows(keyed, keys):
+def sketch_rows(keyed, keys, k=KLL_K, log2_buckets=HLL_LOG2_BUCKETS):
     """Stored form: count, latency sum and the two sketches per key."""
     return keyed.groupBy(*keys).agg(
         F.count("*").alias("count"),
         F.sum("latency_ms").alias("latency_sum"),
-        device_sketch().alias("device_sketch"),
-        latency_sketch().alias("latency_sketch"),
+        device_sketch(log2_buckets=log2_buckets).alias("device_sketch"),
+        latency_sketch(k=k).alias("latency_sketch"),
     )
 
 
-def merge_sketch_rows(stored, keys=()):
+def merge_sketch_rows(stored, keys=(), k=KLL_K):
     """Roll stored windows up to ``keys``: true percentiles and distinct devices of the whole."""
     merged = stored.groupBy(*keys).agg(
         F.sum("count").alias("count"),
         F.sum("latency_sum").alias("latency_sum"),
         F.hll_union_agg("device_sketch").alias("device_sketch"),
-        merged_latency().alias("latency_sketch"),
+        merged_latency(k=k).alias("latency_sketch"),
     )
     return merged.select(
         *keys, "count",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import event_time, number_or_zero, text_or_empty
-from fleetpulse.operators import sketches
+from fleetpulse.operators import cells, sketches
 from fleetpulse.operators.percentiles import percentiles_by_key
 from fleetpulse.session import saved
 
@@ -88,13 +88,36 @@ def _one_pass(windowed, keys, quantiles):
     return _from_points(windowed.groupBy(*keys).agg(*state, _approx_percentiles()))
 
 
-def _streamed(windowed, keys, distinct):
-    """Windows with sketched percentiles; exact distinct holds one state row per device."""
+def _device_and_cell_rows(windowed, keys, distinct):
+    """Two small kinds of rows per key, folded before any shuffle: one per device, one per value cell.
+
+    A hot key is spread over its devices and cells. Approximate distinct folds all devices into one
+    row with a sketch.
+    """
+    device = F.col("device_id") if distinct == "exact" else F.lit(None).cast("string")
+    none = F.lit(None)
+    both = windowed.select(*keys, "device_id", "latency_ms", F.explode(F.array(
+        F.struct(F.lit(False).alias("is_cell"), device.alias("device"), none.cast("double").alias("cell")),
+        F.struct(F.lit(True).alias("is_cell"), none.cast("string").alias("device"),
+                 cells.cell_of(F.col("latency_ms")).alias("cell")))).alias("row"))
+    more = []
     if distinct == "approx":
-        return _one_pass(windowed, keys, "sketch")
-    per_device = _per_device(windowed, keys, sketches.latency_sketch().alias("latency_sketch"))
-    return _from_sketch(_by_key(
-        per_device, keys, sketches.merged_latency().alias("latency_sketch")))
+        hashed = F.when(~F.col("row.is_cell"), F.xxhash64("device_id"))
+        more = [F.hll_sketch_agg(hashed, F.lit(sketches.HLL_LOG2_BUCKETS)).alias("device_sketch")]
+    return both.select(*keys, "row", "device_id", (F.col("latency_ms") + F.lit(0.0)).alias("latency_ms")).groupBy(
+        *keys, "row.is_cell", "row.device", "row.cell").agg(
+        *cells.cell_counts("latency_ms"), F.sum("latency_ms").alias("latency_sum"), *more)
+
+
+def _with_cells(windowed, keys, distinct):
+    """Counts, distinct devices and a value histogram per key: the same in a stream and in a batch."""
+    rows = _device_and_cell_rows(windowed, keys, distinct)
+    device = ~F.col("is_cell")
+    unique = (F.count_if(device) if distinct == "exact"
+              else F.hll_sketch_estimate(F.hll_union_agg("device_sketch")))
+    return rows.groupBy(*keys).agg(
+        F.sum(F.when(device, F.col("n"))).alias("count"), F.sum(F.when(device, F.col("latency_sum"))).alias("latency_sum"),
+        unique.alias("distinct_count"), cells.gathered(F.col("is_cell")))
 
 
 def _batched(windowed, dims, quantiles):
@@ -120,19 +143,19 @@ def window_aggregate(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIME
                      quantiles=None, distinct="exact"):
     """Count, distinct devices, mean and p50/p95/p99 latency per window and dimensions.
 
-    ``quantiles``: ``exact`` (batch default), ``approx`` or ``sketch`` (stream
-    default); ``distinct``: ``exact`` or ``approx``. A batch emits every window;
-    a stream (``with_watermark`` first, append mode) emits each window once, on close.
+    ``quantiles``: ``exact`` (batch default), ``cells`` (the only one of a stream, and the way to write
+    what a stream would have), ``approx`` or ``sketch``; ``distinct``: ``exact`` or ``approx``. A batch emits
+    every window; a stream (``with_watermark`` first, append mode) emits each window once, on close.
     """
     streaming = heartbeats.isStreaming
-    quantiles = quantiles or ("sketch" if streaming else "exact")
-    if quantiles not in ("exact", "approx", "sketch") or distinct not in ("exact", "approx"):
-        raise ValueError("quantiles: exact|approx|sketch, distinct: exact|approx")
-    if streaming and quantiles != "sketch":
-        raise ValueError("a stream keeps bounded percentile state: use quantiles='sketch'")
+    quantiles = quantiles or ("cells" if streaming else "exact")
+    if quantiles not in ("exact", "cells", "approx", "sketch") or distinct not in ("exact", "approx"):
+        raise ValueError("quantiles: exact|cells|approx|sketch, distinct: exact|approx")
+    if streaming and quantiles != "cells":
+        raise ValueError("a stream keeps percentile state that merges by addition: use quantiles='cells'")
     windowed = _windowed(heartbeats, seconds, dims)
-    if streaming:
-        return _flat(_streamed(windowed, ["window", *dims], distinct), seconds, dims)
+    if quantiles == "cells":
+        return _flat(cells.with_percentiles(_with_cells(windowed, ["window", *dims], distinct)), seconds, dims)
     if distinct == "approx" and quantiles != "exact":
         return _flat(_one_pass(windowed, ["window", *dims], quantiles), seconds, dims)
     if distinct == "approx":
@@ -140,9 +163,17 @@ def window_aggregate(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIME
     return _flat(_batched(windowed, dims, quantiles), seconds, dims)
 
 
-def sketch_windows(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIMENSIONS):
-    """Windows stored as mergeable sketches, for ``sketches.merge_sketch_rows``."""
-    stored = sketches.sketch_rows(_windowed(heartbeats, seconds, dims), ["window", *dims])
+def cell_windows(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIMENSIONS):
+    """Windows stored with their value histogram, for ``cells.merge_cell_rows``."""
+    stored = _with_cells(_windowed(heartbeats, seconds, dims), ["window", *dims], "exact")
+    return stored.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        *dims, "count", "distinct_count", "latency_sum", "cells")
+
+
+def sketch_windows(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIMENSIONS, **sizes):
+    """Windows stored as mergeable sketches, for ``sketches.merge_sketch_rows``; ``sizes`` as ``k``."""
+    stored = sketches.sketch_rows(_windowed(heartbeats, seconds, dims), ["window", *dims], **sizes)
     return stored.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
         *dims, "count", "latency_sum", "device_sketch", "latency_sketch")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import epoch_ms, text_or_empty
-from fleetpulse.operators import decode, envelopes, sketches, tables, validate, windows
+from fleetpulse.operators import cells, decode, envelopes, sketches, tables, validate, windows
 from fleetpulse.operators.percentiles import grouped_percentiles, nearest_rank_percentiles
 from fleetpulse.plans import reads
 from fleetpulse.session import pin_utc, saved, scratch_path
@@ -384,46 +384,86 @@ def device_windows(spark, sf):
 
 # --- approximations against exact results
 
-def _near(estimate, exact):
-    return F.abs(estimate - exact) <= F.abs(exact) * 0.02 + 0.5
+# Copies of each event, so that groups leave the range in which the sketches are exact.
+COPIES = 50
+SMALL_KLL, KLL_RANKS_OFF = 100, 0.04
+SMALL_ACCURACY = 50
+SMALL_HLL, HLL_OFF = 10, 0.10
 
 
-def _checked(found, exact, keys, names):
-    """Exact values, and whether all estimates lie within two percent of them."""
-    both = found.join(exact, list(keys))
+def _multiplied(spark, sf):
+    """Each event fifty times, with other devices and latencies up to 4.9 percent higher."""
+    beats = events.heartbeats(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    return beats.withColumns({
+        "device_id": F.concat_ws("-", "device_id", "copy"),
+        "latency_ms": F.col("latency_ms") * (F.lit(1.0) + F.col("copy") / F.lit(1000.0))})
+
+
+def _rank_checked(beats, found, keys, tolerance):
+    """Exact values, and whether all estimates lie within ``tolerance`` of their rank."""
+    met = beats.join(F.broadcast(found), list(keys))
     ok = F.lit(True)
-    for name in names:
-        ok = ok & _near(F.col(f"est_{name}"), F.col(name))
-    return both.select(*keys, *names, ok.alias("within_tol"))
+    for name, p in schema.PERCENTILES.items():
+        below, to_here = (F.avg(side.cast("int")) for side in (
+            F.col("latency_ms") < F.col(f"est_{name}"), F.col("latency_ms") <= F.col(f"est_{name}")))
+        ok = ok & (below <= p + tolerance) & (to_here >= p - tolerance)
+    exact = grouped_percentiles(beats, list(keys), "latency_ms", schema.PERCENTILES, "nearest")
+    return rounded(exact.join(met.groupBy(*keys).agg(ok.alias("within_tol")), list(keys)))
 
 
 def approx_percentile_check(spark, sf):
-    beats = events.heartbeats(spark, sf)
+    beats = _multiplied(spark, sf)
     points = F.percentile_approx("latency_ms", F.array(*[F.lit(p) for p in schema.PERCENTILES.values()]),
-                                 windows.APPROX_ACCURACY)
+                                 SMALL_ACCURACY)
     found = beats.groupBy("region", "status").agg(points.alias("points")).select(
         "region", "status",
         *[F.col("points")[i].alias(f"est_{n}") for i, n in enumerate(schema.PERCENTILES)])
-    exact = grouped_percentiles(beats, ["region", "status"], "latency_ms",
-                                schema.PERCENTILES, "nearest")
-    return _checked(found, exact, ("region", "status"), schema.PERCENTILES)
+    return _rank_checked(beats, found, ("region", "status"), 1 / SMALL_ACCURACY)
 
 
 def kll_percentile_check(spark, sf):
-    beats = events.heartbeats(spark, sf)
-    stored = windows.sketch_windows(beats, DAY)
-    merged = sketches.merge_sketch_rows(stored, ["region"])
+    beats = _multiplied(spark, sf)
+    stored = windows.sketch_windows(beats, DAY, k=SMALL_KLL)
+    merged = sketches.merge_sketch_rows(stored, ["region"], k=SMALL_KLL)
     found = merged.select("region", *[F.col(n).alias(f"est_{n}") for n in schema.PERCENTILES])
-    exact = grouped_percentiles(beats, ["region"], "latency_ms", schema.PERCENTILES, "nearest")
-    return _checked(found, exact, ("region",), schema.PERCENTILES)
+    return _rank_checked(beats, found, ("region",), KLL_RANKS_OFF)
 
 
 def hll_distinct_check(spark, sf):
-    beats = events.heartbeats(spark, sf)
-    merged = sketches.merge_sketch_rows(windows.sketch_windows(beats, DAY), ["region"])
-    found = merged.select("region", F.col("distinct_count").alias("est_distinct_count"))
+    beats = _multiplied(spark, sf)
+    merged = sketches.merge_sketch_rows(windows.sketch_windows(beats, DAY, log2_buckets=SMALL_HLL), ["region"])
     exact = beats.groupBy("region").agg(F.count_distinct("device_id").alias("distinct_count"))
-    return _checked(found, exact, ("region",), ("distinct_count",))
+    near = F.abs(F.col("found") - F.col("distinct_count")) <= F.col("distinct_count") * HLL_OFF
+    found = merged.select("region", F.col("distinct_count").alias("found"))
+    return exact.join(found, "region").select("region", "distinct_count", near.alias("within_tol"))
+
+
+def cell_percentile_check(spark, sf):
+    """Percentiles of merged value cells against exact ones, in groups of some 100,000 rows and more."""
+    beats = _multiplied(spark, sf)
+    merged = cells.merge_cell_rows(windows.cell_windows(beats, DAY), ["region"])
+    points = {f"exact_{n}": p for n, p in schema.PERCENTILES.items()}
+    exact = grouped_percentiles(beats, ["region"], "latency_ms", points, group_rows=0)
+    observed = grouped_percentiles(beats, ["region"], "latency_ms", schema.PERCENTILES, "nearest", group_rows=0)
+    ok = F.lit(True)
+    for name in schema.PERCENTILES:
+        off = F.abs(F.col(f"est_{name}") - F.col(f"exact_{name}"))
+        ok = ok & (off <= F.abs(F.col(f"exact_{name}")) * cells.RELATIVE_ERROR)
+    found = merged.select("region", "count", *[F.col(n).alias(f"est_{n}") for n in schema.PERCENTILES])
+    both = found.join(exact, "region").join(observed, "region")
+    return rounded(both.select("region", "count", *schema.PERCENTILES, ok.alias("within_tol")))
+
+
+def window_1h_cells(spark, sf):
+    """Hourly windows of a batch by the stream's percentile state."""
+    return rounded(with_ms(windows.window_aggregate(events.heartbeats(spark, sf), HOUR, quantiles="cells")))
+
+
+def cells_rolled_up(spark, sf):
+    """Percentiles of the whole per region and status, from the stored histograms of hourly windows."""
+    path = scratch_path(pin_utc(spark), "cell-windows")
+    windows.cell_windows(events.heartbeats(spark, sf), HOUR).write.parquet(path)
+    return rounded(cells.merge_cell_rows(spark.read.parquet(path), ["region", "status"]))
 
 
 QUERIES = {
@@ -476,6 +516,9 @@ QUERIES = {
     "approx_percentile_check": approx_percentile_check,
     "kll_percentile_check": kll_percentile_check,
     "hll_distinct_check": hll_distinct_check,
+    "cell_percentile_check": cell_percentile_check,
+    "window_1h_cells": window_1h_cells,
+    "cells_rolled_up": cells_rolled_up,
 }
 
 

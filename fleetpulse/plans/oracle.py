@@ -1,7 +1,7 @@
 """The same results in DuckDB SQL over the test tables."""
 
 from fleetpulse.plans.catalog import (
-    AS_OF_MS, DASHBOARD_LIMIT, DAY, EMPTY_FROM_MS, EMPTY_TO_MS, HISTORY_DEVICE, HOUR, LIFE_DAYS, MINUTE,
+    AS_OF_MS, COPIES, DASHBOARD_LIMIT, DAY, EMPTY_FROM_MS, EMPTY_TO_MS, HISTORY_DEVICE, HOUR, LIFE_DAYS, MINUTE,
     RETENTION_AS_OF_MS, WEEK_FROM_MS, WEEK_TO_MS,
 )
 
@@ -79,6 +79,47 @@ def window_rows(seconds, where="", dims="region, status", quantile="quantile_con
 SELECT window_start_ms, window_end_ms, {dims}, count, distinct_count, {ROUNDED} FROM win {where}"""
 
 
+CELL_FACTOR = 2.0 ** 43 + 1
+
+
+def cell_points(keys, points, total="total"):
+    """Percentile expressions over ``placed`` cells, grouped by ``keys``."""
+    def at_rank(rank):
+        return f"""max(CASE WHEN {rank} >= before AND {rank} < before + n THEN
+          CASE WHEN {rank} - before = n - 1 THEN hi ELSE lo + ({rank} - before) * ((hi - lo) / greatest(n - 1, 1)) END END)"""
+
+    def point(p):
+        at = f"(CAST({p} AS DOUBLE) * ({total} - 1))"
+        below, above, part = at_rank(f"floor{at}"), at_rank(f"ceil{at}"), f"max({at} - floor{at})"
+        return f"CASE WHEN {below} = {above} THEN {below} ELSE {below} * (1 - {part}) + {above} * {part} END"
+    return ", ".join(f"{point(p)} AS {name}" for name, p in points.items())
+
+
+def placed_cells(rows, keys):
+    """CTEs ``celled`` and ``placed``: value cells of ten leading bits with the rows before them."""
+    return f"""celled AS (
+  SELECT {keys}, latency_ms * {CELL_FACTOR} - (latency_ms * {CELL_FACTOR} - latency_ms) AS cell,
+    count(*) AS n, min(latency_ms) AS lo, max(latency_ms) AS hi FROM {rows} GROUP BY ALL), placed AS (
+  SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY cell) - n AS before,
+    sum(n) OVER (PARTITION BY {keys}) AS total FROM celled)"""
+
+
+POINTS = {"p50_latency": 0.5, "p95_latency": 0.95, "p99_latency": 0.99}
+
+
+def cell_windows(seconds, rows="hb", where="", given=""):
+    """Windows with percentiles of value cells, as streams write them."""
+    width = seconds * 1000
+    keys = "window_start_ms, region, status"
+    return f"""WITH {HB}{given}, timed AS (
+  SELECT *, timestamp_ms - timestamp_ms % {width} AS window_start_ms FROM {rows}), {placed_cells("timed", keys)},
+points AS (SELECT {keys}, {cell_points(keys, POINTS)} FROM placed GROUP BY {keys}), counted AS (
+  SELECT {keys}, window_start_ms + {width} AS window_end_ms, count(*) AS count,
+    count(DISTINCT device_id) AS distinct_count, avg(latency_ms) AS avg_latency FROM timed GROUP BY {keys})
+SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED}
+FROM counted JOIN points USING ({keys}) {where}"""
+
+
 def in_range(column, from_ms, to_ms):
     return f"{column} >= {from_ms} AND {column} < {to_ms}"
 
@@ -132,16 +173,21 @@ def nearest(p):
     return f"max(latency_ms) FILTER (WHERE r = least({rank}, n - 1))"
 
 
-def ranked(keys):
-    return f"""WITH {HB}, ranked AS (
+def ranked(keys, rows="hb", given=""):
+    return f"""WITH {HB}{given}, ranked AS (
   SELECT {keys}, latency_ms, row_number() OVER (PARTITION BY {keys} ORDER BY latency_ms) - 1 AS r,
-    count(*) OVER (PARTITION BY {keys}) AS n FROM hb)"""
+    count(*) OVER (PARTITION BY {keys}) AS n FROM {rows})"""
+
+
+MULTIPLIED = f"""multiplied AS (
+  SELECT region, status, device_id || '-' || copy AS device_id, latency_ms * (1.0 + copy / 1000.0::DOUBLE) AS latency_ms
+  FROM hb, range({COPIES}) AS copies(copy))"""
 
 
 def exact_check(keys):
-    return f"""{ranked(keys)}
-SELECT {keys}, {nearest(0.5)} AS p50_latency, {nearest(0.95)} AS p95_latency,
-  {nearest(0.99)} AS p99_latency, true AS within_tol FROM ranked GROUP BY {keys}"""
+    return f"""{ranked(keys, "multiplied", f", {MULTIPLIED}")}
+SELECT {keys}, round({nearest(0.5)}, 6) AS p50_latency, round({nearest(0.95)}, 6) AS p95_latency,
+  round({nearest(0.99)}, 6) AS p99_latency, true AS within_tol FROM ranked GROUP BY {keys}"""
 
 
 def rollup(rows):
@@ -152,7 +198,7 @@ FROM {rows} GROUP BY region, status"""
 
 
 RAW_ROWS = f"WITH {HB} SELECT {RAW} FROM hb"
-STREAMED = window_rows(HOUR, CLOSED, quantile="quantile_disc")
+STREAMED = cell_windows(HOUR, where=CLOSED)
 
 ORACLES = {
     "decode_heartbeats": f"""WITH {HB}
@@ -214,12 +260,10 @@ FROM hb GROUP BY region, status""",
     "stream_window_1h": STREAMED,
     "stream_raw_copy": RAW_ROWS,
     "stream_restart_no_duplicates": STREAMED,
-    "stream_late_dropped": f"""WITH {HB}, arrived AS (
+    "stream_late_dropped": cell_windows(HOUR, "arrived", given=""", arrived AS (
   SELECT * FROM hb UNION ALL
   SELECT * FROM hb WHERE timestamp_ms - timestamp_ms % 3600000 + 3600000
-    > (SELECT max(timestamp_ms) FROM hb) - 30000),
-{windows(HOUR, "arrived", quantile="quantile_disc")}
-SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED} FROM win""",
+    > (SELECT max(timestamp_ms) FROM hb) - 30000)"""),
     "raw_table_life": f"""WITH {HB}, life AS (
   SELECT * FROM hb WHERE timestamp_ms >= {WEEK_TO_MS - LIFE_DAYS * DAY * 1000}
   UNION ALL SELECT * FROM hb WHERE {in_range("timestamp_ms", WEEK_FROM_MS, WEEK_FROM_MS + 1000 * DAY)})
@@ -278,7 +322,15 @@ FROM win ORDER BY window_start_ms DESC, region, status LIMIT 20""",
 SELECT region, CAST(sum(distinct_count) AS BIGINT) AS device_windows FROM win GROUP BY region""",
     "approx_percentile_check": exact_check("region, status"),
     "kll_percentile_check": exact_check("region"),
-    "hll_distinct_check": f"""WITH {HB}
+    "hll_distinct_check": f"""WITH {HB}, {MULTIPLIED}
 SELECT region, count(DISTINCT device_id) AS distinct_count, true AS within_tol
-FROM hb GROUP BY region""",
+FROM multiplied GROUP BY region""",
+    "cell_percentile_check": f"""SELECT * FROM ({exact_check("region")})
+JOIN (SELECT CASE user_id % 4 WHEN 0 THEN 'us-east' WHEN 1 THEN 'us-west' WHEN 2 THEN 'eu-west' ELSE 'ap-south' END AS region,
+  {COPIES} * count(*) AS count FROM events GROUP BY ALL) USING (region)""",
+    "window_1h_cells": cell_windows(HOUR),
+    "cells_rolled_up": f"""WITH {HB}, {placed_cells("hb", "region, status")}, points AS (
+  SELECT region, status, {cell_points("region, status", POINTS)} FROM placed GROUP BY region, status)
+SELECT region, status, count, {ROUNDED} FROM points JOIN (
+  SELECT region, status, count(*) AS count, avg(latency_ms) AS avg_latency FROM hb GROUP BY ALL) USING (region, status)""",
 }

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
-from fleetpulse.operators import tables, windows
+from fleetpulse.operators import cells, tables, windows
 from fleetpulse.operators.envelopes import classify_requests, observe_counters
 from fleetpulse.plans import reads
 from fleetpulse.sinks import stores
@@ -19,7 +19,10 @@ T0 = 1_700_000_040_000
 
 
 class Stage:
-    """A message folder; each ``arrive`` is one file and one run of the windows query."""
+    """A message folder; each ``arrive`` is one file and one run of the windows query.
+
+    A late event counts twice in ``dropped``: by the row of its device and by that of its value cell.
+    """
 
     def __init__(self, spark, folder, settings=jobs.StreamSettings()):
         self.spark, self.folder, self.settings = spark, folder, settings
@@ -77,7 +80,7 @@ def test_a_late_row_in_the_same_file_counts(stage):
 
 def test_a_row_after_close_is_dropped(stage):
     stage.arrive((1, "a")).arrive((90, "z")).arrive((95, "z")).arrive((10, "late")).arrive((200, "z"))
-    assert stage.emitted() == [(0, 1, 1), (60, 2, 1)] and stage.dropped == 1
+    assert stage.emitted() == [(0, 1, 1), (60, 2, 1)] and stage.dropped == 2
 
 
 @pytest.mark.parametrize("files, expected, dropped", [
@@ -85,7 +88,7 @@ def test_a_row_after_close_is_dropped(stage):
     ([[1], [90]], [(0, 1, 1)], 0),
     ([[1, 300, 2]], [(0, 2, 1)], 0),
     ([[1], [90], [10]], [(0, 2, 1)], 0),
-    ([[1], [90], [95], [10], [200]], [(0, 1, 1), (60, 2, 1)], 1),
+    ([[1], [90], [95], [10], [200]], [(0, 1, 1), (60, 2, 1)], 2),
 ])
 def test_files_as_micro_batches_of_one_run(stage, files, expected, dropped):
     """Within one run a late row still counts in the batch right after the closing one."""
@@ -173,12 +176,19 @@ def test_validation_is_an_option(spark, folder):
 def test_stream_equals_batch(spark, folder):
     stage = Stage(spark, folder)
     plain = [(i * 7 % 170, f"d{i % 6}") for i in range(200)]
-    stage.arrive(*plain).arrive((400, "z"))
-    rows = [beat(d, "us", "ok", int(T0 + sec * 1000), 5.0) for sec, d in plain]
-    batch = windows.window_aggregate(beats(spark, rows))
-    assert stage.emitted() == [((ms - T0) // 1000, n, unique) for ms, n, unique in rows_of(
-        batch.select(F.unix_millis("window_start").alias("ms"), "count", "distinct_count"),
-        "ms", "count", "distinct_count")]
+    latency = lambda sec, d: 3.0 + sec * 1.7 + len(d)
+    stage.put([json.dumps({"device_id": d, "region": "us", "status": "ok", "latency_ms": latency(sec, d),
+                           "timestamp_ms": int(T0 + sec * 1000)}) for sec, d in plain])
+    stage.arrive().arrive((400, "z"))
+    rows = [beat(d, "us", "ok", int(T0 + sec * 1000), latency(sec, d)) for sec, d in plain]
+    columns = (F.unix_millis("window_start").alias("ms"), "count", "distinct_count", *schema.PERCENTILES)
+    stored = rows_of(scans.aggregate_table(spark, f"{folder}/out"), *columns)
+    assert len(stored) == 3
+    assert stored == rows_of(windows.window_aggregate(beats(spark, rows), quantiles="cells"), *columns)
+    exact = rows_of(windows.window_aggregate(beats(spark, rows)), *columns)
+    for mine, other in zip(stored, exact):
+        assert mine[:3] == other[:3]
+        assert all(abs(a - b) <= b * cells.RELATIVE_ERROR for a, b in zip(mine[3:], other[3:]))
 
 
 def test_a_replayed_micro_batch_collapses_on_read(stage):
