@@ -15,6 +15,7 @@ from fleetpulse.plans import catalog, reads
 from fleetpulse.session import build_session, pin_utc, scratch_path
 from fleetpulse.sinks import stores
 from fleetpulse.sources import events, scans
+from fleetpulse.streaming import jobs, state
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -85,6 +86,9 @@ def main():
     for name in STREAMED:
         for _ in range(2):
             results[name] = timed(lambda: drain(queries[name](spark, SF_DIR)))
+    root = scratch_path(spark, "bench-stream")
+    drained = jobs.drain(spark, lambda: events.message_stream(spark, SF_DIR), root,
+                         jobs.StreamSettings(window_seconds=catalog.HOUR))
     rows = events.heartbeats(spark, SF_DIR).count()
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(results.values()), 3), "unit": "sec",
@@ -92,6 +96,7 @@ def main():
         "sf": SF_DIR.rstrip("/").rsplit("/sf", 1)[-1], "events": rows,
         "window_1m_events_per_sec": round(rows / results["window_1m"]),
         "stream_events_per_sec": round(rows / results["stream_window_1h"]),
+        "stream_state": state.state_progress(drained["windows"]),
     }), file=out, flush=True)
     spark.stop()
 

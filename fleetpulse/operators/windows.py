@@ -102,16 +102,19 @@ def _device_and_cell_rows(windowed, keys, distinct):
                  cells.cell_of(F.col("latency_ms")).alias("cell")))).alias("row"))
     more = []
     if distinct == "approx":
-        hashed = F.when(~F.col("row.is_cell"), F.xxhash64("device_id"))
+        hashed = F.when(~F.col("is_cell"), F.xxhash64("device_id"))
         more = [F.hll_sketch_agg(hashed, F.lit(sketches.HLL_LOG2_BUCKETS)).alias("device_sketch")]
-    return both.select(*keys, "row", "device_id", (F.col("latency_ms") + F.lit(0.0)).alias("latency_ms")).groupBy(
-        *keys, "row.is_cell", "row.device", "row.cell").agg(
+    return both.select(*keys, "row.*", "device_id", (F.col("latency_ms") + F.lit(0.0)).alias("latency_ms")).groupBy(
+        *keys, "is_cell", "device", "cell").agg(
         *cells.cell_counts("latency_ms"), F.sum("latency_ms").alias("latency_sum"), *more)
 
 
 def _with_cells(windowed, keys, distinct):
     """Counts, distinct devices and a value histogram per key: the same in a stream and in a batch."""
-    rows = _device_and_cell_rows(windowed, keys, distinct)
+    return _folded_rows(_device_and_cell_rows(windowed, keys, distinct), keys, distinct)
+
+
+def _folded_rows(rows, keys, distinct):
     device = ~F.col("is_cell")
     unique = (F.count_if(device) if distinct == "exact"
               else F.hll_sketch_estimate(F.hll_union_agg("device_sketch")))
@@ -163,6 +166,13 @@ def window_aggregate(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIME
     return _flat(_batched(windowed, dims, quantiles), seconds, dims)
 
 
+def windows_of_state(state, seconds, dims=schema.DIMENSIONS):
+    """Windows as they stand in a stream's state: its (key, value) rows of devices and cells."""
+    rows = state.select("key.*", F.col("value.count").alias("n"), F.col("value.min").alias("lo"),
+                        F.col("value.max").alias("hi"), F.col("value.sum").alias("latency_sum"))
+    return _flat(cells.with_percentiles(_folded_rows(rows, ["window", *dims], "exact")), seconds, dims)
+
+
 def cell_windows(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIMENSIONS):
     """Windows stored with their value histogram, for ``cells.merge_cell_rows``."""
     stored = _with_cells(_windowed(heartbeats, seconds, dims), ["window", *dims], "exact")

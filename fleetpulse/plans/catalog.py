@@ -13,7 +13,7 @@ from fleetpulse.plans import reads
 from fleetpulse.session import pin_utc, saved, scratch_path
 from fleetpulse.sinks import stores
 from fleetpulse.sources import events, scans
-from fleetpulse.streaming import jobs
+from fleetpulse.streaming import jobs, state
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
 AS_OF_MS = events.AS_OF_MS
@@ -186,6 +186,35 @@ def stream_late_dropped(spark, sf):
     return _stored_windows(spark, root)
 
 
+def stream_open_windows(spark, sf):
+    """The windows a drained stream still holds, read from its state."""
+    root, settings = _drained(spark, sf, "stream-open")
+    return rounded(with_ms(state.open_windows(spark, f"{root}/checkpoints/windows", settings.window_seconds)))
+
+
+def stream_two_parts(spark, sf):
+    """Closed windows of a source of two parts: the odd devices' events arrive ten days behind
+    the even ones', yet none is late. The last arrival is one event a day after all others in each part.
+    """
+    root = scratch_path(pin_utc(spark), "stream-parts")
+    beats = events.heartbeats(spark, sf)
+    span = beats.agg(F.min("timestamp_ms").alias("first"), *[F.max_by(c, "timestamp_ms").alias(c) for c in beats.columns])
+    closing = span.select(*beats.columns).withColumn("timestamp_ms", F.col("timestamp_ms") + 1000 * DAY)
+    part = F.substring_index("device_id", "-", -1).cast("long") % 2
+    third = F.least(F.floor((F.col("timestamp_ms") - F.col("first")) / (10_000 * DAY)), F.lit(2))
+    arrivals = saved(beats.join(F.broadcast(span.select("first"))).withColumns(
+        {"part": part, "arrival": third + part}).drop("first"), "arrivals")
+    folders = [f"{root}/part-{number}" for number in range(2)]
+    jobs.use_stream_settings(spark)
+    for arrival in range(5):
+        for number, folder in enumerate(folders):
+            rows = closing if arrival == 4 else arrivals.where((F.col("part") == number) & (F.col("arrival") == arrival))
+            stores.as_messages(rows).select("value").write.mode("append").text(folder)
+        jobs.start_windows(scans.file_parts(spark, folders), f"{root}/heartbeat_aggregates", f"{root}/checkpoints",
+                           jobs.StreamSettings(window_seconds=HOUR), live=False).awaitTermination()
+    return _stored_windows(spark, root)
+
+
 def raw_table_life(spark, sf):
     """A raw table through its life: three arrivals by stream, one day added again by a batch,
     old days expired, loads merged in place, then read."""
@@ -487,6 +516,8 @@ QUERIES = {
     "stream_raw_copy": stream_raw_copy,
     "stream_restart_no_duplicates": stream_restart_no_duplicates,
     "stream_late_dropped": stream_late_dropped,
+    "stream_open_windows": stream_open_windows,
+    "stream_two_parts": stream_two_parts,
     "raw_table_life": raw_table_life,
     "raw_table_rows": raw_table_rows,
     "stored_raw_week": stored_raw_week,

@@ -264,6 +264,8 @@ FROM hb GROUP BY region, status""",
   SELECT * FROM hb UNION ALL
   SELECT * FROM hb WHERE timestamp_ms - timestamp_ms % 3600000 + 3600000
     > (SELECT max(timestamp_ms) FROM hb) - 30000)"""),
+    "stream_open_windows": cell_windows(HOUR, where=CLOSED.replace("<=", ">")),
+    "stream_two_parts": cell_windows(HOUR),
     "raw_table_life": f"""WITH {HB}, life AS (
   SELECT * FROM hb WHERE timestamp_ms >= {WEEK_TO_MS - LIFE_DAYS * DAY * 1000}
   UNION ALL SELECT * FROM hb WHERE {in_range("timestamp_ms", WEEK_FROM_MS, WEEK_FROM_MS + 1000 * DAY)})

@@ -41,6 +41,14 @@ def use_stream_settings(spark):
     return spark
 
 
+def use_parts_policy(spark, policy):
+    """Whether a stream of several watermarks follows the slowest (min) or the newest (max); a
+    query keeps the policy of its first start."""
+    if policy not in ("min", "max"):
+        raise ValueError("parts_policy: min|max")
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+
+
 def scratch_path(spark, label):
     """A fresh folder below the shared ``spark.checkpoint.dir``.
 

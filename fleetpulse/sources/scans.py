@@ -1,5 +1,7 @@
 """Readers: topics, message files and the two stored tables, bounded or as streams."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
@@ -17,6 +19,13 @@ def topic_stream(spark, brokers, topic, start="latest", **more):
             .options(**more).load())
 
 
+def topic_parts(spark, brokers, topic, partitions, start="latest", **more):
+    """A topic as one stream for each of its partitions, so that each gets a watermark of its own."""
+    plain = {k: v for k, v in kafka_options(brokers, topic, start).items() if k != "subscribe"}
+    return [spark.readStream.format("kafka").options(**plain, assign=json.dumps({topic: [number]}))
+            .options(**more).load() for number in range(partitions)]
+
+
 def topic_batch(spark, brokers, topic, **more):
     """All messages a topic holds now, oldest first."""
     return (spark.read.format("kafka").options(**kafka_options(brokers, topic, "earliest"))
@@ -31,6 +40,11 @@ def file_stream(spark, path, max_files=None):
     return reader.load(path)
 
 
+def file_parts(spark, paths, max_files=None):
+    """Message folders as one stream each, such as the partitions of a source copied to files."""
+    return [file_stream(spark, path, max_files) for path in paths]
+
+
 def file_batch(spark, path):
     return spark.read.text(path)
 

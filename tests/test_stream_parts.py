@@ -1,0 +1,97 @@
+import json
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from fleetpulse.session import use_parts_policy, use_stream_settings
+from fleetpulse.sources import scans
+from fleetpulse.streaming import jobs, state
+from tests.helpers import rows_of
+
+T0 = 1_700_000_040_000
+
+
+class Parts:
+    """Two message folders under one windows query."""
+
+    def __init__(self, spark, folder, **settings):
+        self.spark, self.folder, self.settings = spark, folder, jobs.StreamSettings(**settings)
+        self.folders = [f"{folder}/a", f"{folder}/b"]
+        use_stream_settings(spark)
+        for path in self.folders:
+            self.put(path, [])
+
+    def put(self, path, times):
+        rows = [(json.dumps({"device_id": path[-1], "region": path[-1], "status": "ok", "latency_ms": 1.0, "timestamp_ms": t}),)
+                for t in times]
+        self.spark.createDataFrame(rows, "value string").coalesce(1).write.mode("append").text(path)
+
+    def start(self, live=False):
+        return jobs.start_windows(scans.file_parts(self.spark, self.folders), f"{self.folder}/out", f"{self.folder}/cp",
+                                  self.settings, live=live)
+
+    def arrive(self, a=(), b=()):
+        for path, seconds in zip(self.folders, (a, b)):
+            self.put(path, [int(T0 + s * 1000) for s in seconds])
+        self.start().awaitTermination()
+        return self
+
+    def emitted(self):
+        try:
+            found = scans.aggregate_table(self.spark, f"{self.folder}/out")
+            return rows_of(found.select(((F.unix_millis("window_start") - T0) / 1000).cast("int").alias("s"), "region", "count"),
+                           "s", "region", "count")
+        except Exception as problem:  # noqa: BLE001 - no folder before the first window
+            assert "PATH_NOT_FOUND" in str(problem)
+            return []
+
+
+def test_windows_wait_for_the_slowest_part(spark, folder):
+    parts = Parts(spark, folder).arrive([1, 400], [2]).arrive([410], [30, 61])
+    assert parts.emitted() == []
+    # after a start the watermark stays until each part has sent something
+    assert parts.arrive([], [400]).emitted() == []
+    assert parts.arrive([420], [400]).emitted() == [(0, "a", 1), (0, "b", 2), (60, "b", 1)]
+
+
+def test_the_newest_part_may_lead_on_request(spark, folder):
+    parts = Parts(spark, folder, parts_policy="max").arrive([1, 400], [2]).arrive([410], []).arrive([], [30])
+    assert parts.emitted() == [(0, "a", 1), (0, "b", 1)]
+    with pytest.raises(ValueError):
+        use_parts_policy(spark, "mean")
+
+
+def test_an_idle_part_holds_no_window_open(spark, folder):
+    parts = Parts(spark, folder, window_seconds=2, out_of_order_seconds=1, idle_seconds=3, trigger="1 second")
+    now = lambda: int(time.time() * 1000)
+    first, sent = now(), []
+    query = parts.start(live=True)
+    try:
+        # events up to the clock come in all the time on one part: each is in bound
+        while now() < first + 25_000:
+            sent.append(now())
+            parts.put(parts.folders[0], [sent[-1]])
+            time.sleep(0.7)
+        found = {(s, r): n for s, r, n in parts.emitted()}
+        deadline = time.time() + 40
+        while not found and time.time() < deadline:
+            time.sleep(1)
+            found = {(s, r): n for s, r, n in parts.emitted()}
+        assert found and query.exception() is None
+    finally:
+        query.stop()
+    starts = [int((t // 2000 * 2000 - T0) / 1000) for t in sent]
+    for (start, region), n in found.items():
+        assert region == "a" and n == starts.count(start)
+
+
+def test_open_windows_are_read_from_the_state(spark, folder):
+    parts = Parts(spark, folder).arrive([1, 2, 100, 130], [3, 90])
+    opened = state.open_windows(spark, f"{folder}/cp")
+    columns = (((F.unix_millis("window_start") - T0) / 1000).cast("int").alias("s"), "region", "count", "distinct_count")
+    assert rows_of(opened, *columns) == [(60, "a", 1, 1), (60, "b", 1, 1), (120, "a", 1, 1)]
+    parts.arrive([400], [400])
+    assert rows_of(state.open_windows(spark, f"{folder}/cp"), "region", "count") == [("a", 1), ("b", 1)]
+    sizes = state.state_sizes(spark, f"{folder}/cp").collect()
+    assert {r.operator_id for r in sizes} == {0, 1} and all(r.rows >= 0 for r in sizes)
