@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import epoch_ms, text_or_empty
-from fleetpulse.operators import cells, decode, envelopes, sketches, tables, validate, windows
+from fleetpulse.operators import cells, decode, device_sets, envelopes, sketches, tables, validate, windows
 from fleetpulse.operators.percentiles import grouped_percentiles, nearest_rank_percentiles
-from fleetpulse.plans import reads
+from fleetpulse.plans import reads, repair
 from fleetpulse.session import pin_utc, saved, scratch_path
 from fleetpulse.sinks import stores
 from fleetpulse.sources import events, scans
@@ -186,6 +186,29 @@ def stream_late_dropped(spark, sf):
     return _stored_windows(spark, root)
 
 
+def repaired_windows(spark, sf):
+    """Every event arrives a second time after its window has closed; the windows are then repaired
+    from the raw table, in which nothing is late. The last arrival is one event a day after all others."""
+    root = scratch_path(pin_utc(spark), "repair")
+    inbox, settings = f"{root}/inbox", jobs.StreamSettings(window_seconds=HOUR)
+    beats = events.heartbeats(spark, sf)
+    closing = beats.agg(*[F.max_by(c, "timestamp_ms").alias(c) for c in beats.columns]).withColumn(
+        "timestamp_ms", F.col("timestamp_ms") + 1000 * DAY)
+    for arrival in (beats, closing, beats):
+        stores.as_messages(arrival).select("value").write.mode("append").text(inbox)
+        jobs.drain(spark, lambda: scans.file_stream(spark, inbox), root, settings)
+    raw = scans.raw_table(spark, f"{root}/heartbeats")
+    closed_ms = raw.agg(F.unix_millis(F.max("event_time"))).first()[0] // (1000 * HOUR) * (1000 * HOUR)
+    path = f"{root}/heartbeat_aggregates"
+    repair.repair_windows(spark, path, scans.aggregate_table(spark, path), raw, 0, closed_ms, HOUR, batch_id=10**6)
+    return _newest_windows(spark, root)
+
+
+def _newest_windows(spark, root):
+    newest = tables.latest_version(scans.aggregate_table(spark, f"{root}/heartbeat_aggregates"))
+    return rounded(with_ms(newest.drop("ingested_at", "batch_id", "day")))
+
+
 def stream_open_windows(spark, sf):
     """The windows a drained stream still holds, read from its state."""
     root, settings = _drained(spark, sf, "stream-open")
@@ -366,6 +389,27 @@ def distinct_devices(spark, sf):
     return reads.distinct_devices(raw, _week(status="warn"))
 
 
+def _device_sets(spark, sf):
+    """Device sets of hourly windows, stored from two halves of the events, the dictionary extended between."""
+    beats, path = events.heartbeats(spark, sf), scratch_path(pin_utc(spark), "device-sets")
+    dictionary = None
+    for half in (beats.where(F.col("timestamp_ms") < WEEK_FROM_MS), beats.where(F.col("timestamp_ms") >= WEEK_FROM_MS)):
+        dictionary = saved(device_sets.device_dictionary(half, dictionary), "devices")
+        device_sets.device_sets(half, dictionary, HOUR).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def distinct_devices_merged(spark, sf):
+    """The week's distinct devices from stored sets alone."""
+    week = tables.in_time_range(_device_sets(spark, sf), "window_start", WEEK_FROM_MS, WEEK_TO_MS)
+    return device_sets.merged_distinct(week.where(F.col("status") == "warn"))
+
+
+def distinct_devices_by_region_merged(spark, sf):
+    """Distinct devices per region over all time from stored sets alone."""
+    return device_sets.merged_distinct(_device_sets(spark, sf), ["region"])
+
+
 def _dashboard(spark, sf, wanted, **more):
     raw = tables.raw_rows(events.heartbeats(spark, sf, wanted.from_ms, wanted.to_ms))
     summary, _ = reads.dashboard(
@@ -516,6 +560,7 @@ QUERIES = {
     "stream_raw_copy": stream_raw_copy,
     "stream_restart_no_duplicates": stream_restart_no_duplicates,
     "stream_late_dropped": stream_late_dropped,
+    "repaired_windows": repaired_windows,
     "stream_open_windows": stream_open_windows,
     "stream_two_parts": stream_two_parts,
     "raw_table_life": raw_table_life,
@@ -535,6 +580,8 @@ QUERIES = {
     "message_folder_read": message_folder_read,
     "export_roundtrip": export_roundtrip,
     "distinct_devices": distinct_devices,
+    "distinct_devices_merged": distinct_devices_merged,
+    "distinct_devices_by_region_merged": distinct_devices_by_region_merged,
     "dashboard": dashboard,
     "dashboard_week": dashboard_week,
     "dashboard_empty": dashboard_empty,

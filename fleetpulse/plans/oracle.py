@@ -197,6 +197,9 @@ def rollup(rows):
 FROM {rows} GROUP BY region, status"""
 
 
+DISTINCT_DEVICES = f"""WITH {HB}
+SELECT count(DISTINCT device_id) AS distinct_devices FROM hb
+WHERE {RAW_WEEK} AND status = 'warn'"""
 RAW_ROWS = f"WITH {HB} SELECT {RAW} FROM hb"
 STREAMED = cell_windows(HOUR, where=CLOSED)
 
@@ -264,6 +267,7 @@ FROM hb GROUP BY region, status""",
   SELECT * FROM hb UNION ALL
   SELECT * FROM hb WHERE timestamp_ms - timestamp_ms % 3600000 + 3600000
     > (SELECT max(timestamp_ms) FROM hb) - 30000)"""),
+    "repaired_windows": cell_windows(HOUR, "arrived", given=", arrived AS (SELECT * FROM hb UNION ALL SELECT * FROM hb)"),
     "stream_open_windows": cell_windows(HOUR, where=CLOSED.replace("<=", ">")),
     "stream_two_parts": cell_windows(HOUR),
     "raw_table_life": f"""WITH {HB}, life AS (
@@ -288,9 +292,10 @@ FROM series""",
 {series(WEEK + " AND region = 'us-east' AND status = 'ok'")}
 SELECT window_start_ms, window_end_ms, region, status, count, distinct_count, {ROUNDED}
 FROM series""",
-    "distinct_devices": f"""WITH {HB}
-SELECT count(DISTINCT device_id) AS distinct_devices FROM hb
-WHERE {RAW_WEEK} AND status = 'warn'""",
+    "distinct_devices_merged": DISTINCT_DEVICES,
+    "distinct_devices_by_region_merged": f"""WITH {HB}
+SELECT region, count(DISTINCT device_id) AS distinct_devices FROM hb GROUP BY region""",
+    "distinct_devices": DISTINCT_DEVICES,
     "dashboard": dashboard(WEEK_FROM_MS, WEEK_TO_MS, DASHBOARD_LIMIT),
     "dashboard_week": dashboard(WEEK_FROM_MS, WEEK_TO_MS),
     "dashboard_empty": dashboard(EMPTY_FROM_MS, EMPTY_TO_MS),

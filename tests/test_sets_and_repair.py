@@ -1,0 +1,85 @@
+import random
+
+from pyspark.sql import functions as F
+
+from fleetpulse.operators import device_sets, tables, windows
+from fleetpulse.plans import repair
+from fleetpulse.session import saved
+from fleetpulse.sinks import stores
+from fleetpulse.sources import scans
+from tests.helpers import beat, beats, plan_of, rows_of
+
+DAY_MS, HOUR_MS = 86_400_000, 3_600_000
+START = 1_700_006_400_000  # a midnight
+
+
+def some_beats(n, days=3, seed=1, devices=90):
+    rng = random.Random(seed)
+    return [beat(rng.choice([f"d{rng.randrange(devices)}", None, ""]), rng.choice(["a", "b", None]),
+                 at=START + rng.randrange(days * DAY_MS), latency=rng.random()) for _ in range(n)]
+
+
+def test_numbers_are_dense_and_lasting(spark):
+    rows = some_beats(300)
+    known = saved(device_sets.device_dictionary(beats(spark, rows[:100]).repartition(4)), "d")
+    first = dict(rows_of(known, "device_id", "number"))
+    assert sorted(first.values()) == list(range(len(first))) and set(first) == {r[0] or "" for r in rows[:100]}
+    more = dict(rows_of(device_sets.device_dictionary(beats(spark, rows).repartition(5), known), "device_id", "number"))
+    assert sorted(more.values()) == list(range(len(more))) and first.items() <= more.items()
+    assert set(more) == {r[0] or "" for r in rows}
+    assert device_sets.device_dictionary(beats(spark, [])).count() == 0
+
+
+def test_sets_merge_to_exact_counts(spark, folder):
+    rows = some_beats(2000)
+    df = beats(spark, rows)
+    numbers = device_sets.device_dictionary(df).withColumn("number", F.col("number") * 5000)  # many blocks
+    device_sets.device_sets(df, numbers, 3600).write.parquet(f"{folder}/sets")
+    sets = spark.read.parquet(f"{folder}/sets")
+    expected = {}
+    for device, region, _, at, *_ in rows:
+        if at < START + DAY_MS:
+            expected.setdefault(region or "", set()).add(device or "")
+    day = tables.in_time_range(sets, "window_start", START, START + DAY_MS)
+    found = device_sets.merged_distinct(day, ["region"])
+    assert rows_of(found, "region", "distinct_devices") == sorted((r, len(s)) for r, s in expected.items())
+    whole = device_sets.merged_distinct(sets)
+    assert whole.first()[0] == len({r[0] or "" for r in rows}) and f"{folder}/sets" in plan_of(whole)
+    assert device_sets.merged_distinct(sets.limit(0)).first()[0] == 0
+
+
+def test_repair_rewrites_only_what_differs(spark, folder):
+    rows = some_beats(600)
+    late = [beat("late", "a", at=START + DAY_MS + 5 * HOUR_MS + k, latency=2.0) for k in range(3)]
+    other = [beat("late", "new", at=START + DAY_MS + 23 * HOUR_MS + 59 * 60_000, latency=2.0)]
+    raw_path, path = f"{folder}/raw", f"{folder}/windows"
+    stores.append_raw(beats(spark, rows), raw_path)
+    stores.append_aggregates(windows.window_aggregate(beats(spark, rows), 3600, quantiles="cells"), path)
+    stores.append_raw(beats(spark, late + other), raw_path)
+    stored, raw = lambda: scans.aggregate_table(spark, path), scans.raw_table(spark, raw_path)
+    before = stored().count()
+    differing = repair.repair_windows(spark, path, stored(), raw, START, START + 3 * DAY_MS, 3600, batch_id=9)
+    assert {(r.day, r.region, r.raw_count - (r.stored_count or 0)) for r in differing.collect()} == {
+        ("20231116", "a", 3), ("20231116", "new", 1)}
+    assert stored().count() == before + 2
+    again = repair.repair_windows(spark, path, stored(), raw, START, START + 3 * DAY_MS, 3600, batch_id=10)
+    assert again.count() == 0 and stored().count() == before + 2
+    columns = ("window_start", "region", "status", "count", "distinct_count", "p50_latency", "p99_latency")
+    whole = windows.window_aggregate(beats(spark, rows + late + other), 3600, quantiles="cells")
+    assert rows_of(tables.latest_version(stored()), *columns) == rows_of(whole, *columns)
+    plan = plan_of(repair.repaired(raw, differing, 3600))
+    assert "day#" in plan and "20231116" in plan and "20231115" not in plan and "20231117" not in plan
+
+
+def test_repair_reads_every_day_of_a_window_and_leaves_expired_ones(spark, folder):
+    rows = [beat("a", "r", at=START + DAY_MS - 1000), beat("b", "r", at=START + DAY_MS + 1000)]
+    raw_path, path = f"{folder}/raw", f"{folder}/windows"
+    stores.append_raw(beats(spark, rows), raw_path)
+    old = [beat("x", "r", at=START - 40 * DAY_MS)]
+    stores.append_aggregates(windows.window_aggregate(beats(spark, old + rows[:1]), 5 * 3600, quantiles="cells"), path)
+    raw = scans.raw_table(spark, raw_path)
+    found = repair.repair_windows(spark, path, scans.aggregate_table(spark, path), raw, START - 50 * DAY_MS, START + DAY_MS,
+                                  5 * 3600, batch_id=1)
+    assert rows_of(found.select(F.coalesce("raw_count", F.lit(0)).alias("n")), "n") == [(0,), (2,)]
+    newest = tables.latest_version(scans.aggregate_table(spark, path))
+    assert rows_of(newest, "count", "distinct_count") == [(1, 1), (2, 2)]
