@@ -16,20 +16,6 @@ def typed_json(text, shape):
     return F.from_json(text, with_broken, JSON_OPTIONS)
 
 
-def only_document(text, shape):
-    """Parse text that holds one document of ``shape`` and nothing else; ``_broken`` is set otherwise.
-
-    The text becomes a field of a larger document whose last field is the text's own hash. Text
-    after the document breaks the larger one, or closes it before that field. The literal ``null``
-    is an absent ``doc``.
-    """
-    end = F.xxhash64(text)
-    wrapped = F.concat(F.lit('{"doc":'), text, F.lit(',"end":'), end.cast("string"), F.lit("}"))
-    found = typed_json(wrapped, T.StructType([T.StructField("doc", shape), T.StructField("end", T.LongType())]))
-    return found.withField(BROKEN, F.when(~F.coalesce(found["end"] == end, F.lit(False)), wrapped)
-                           .otherwise(found[BROKEN]))
-
-
 def parsed_ok(doc):
     return doc.isNotNull() & doc[BROKEN].isNull()
 

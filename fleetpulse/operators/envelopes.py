@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from fleetpulse import schema
-from fleetpulse.functions import number_or_zero, text_or_empty
-from fleetpulse.operators.decode import only_document, parsed_ok
+from fleetpulse.operators import strict
 from fleetpulse.operators.validate import reject_reason
 
 # Outcome, answer code, and whether the events of it are counted.
@@ -19,35 +18,25 @@ OUTCOME_CODES = {
 }
 
 
-def _filled(event):
-    """Absent text is '' and an absent number is 0, also in a null list element."""
-    return F.struct(
-        *[text_or_empty(event[name]).alias(name) for name in schema.TEXT_FIELDS],
-        *[number_or_zero(event[name]).cast(schema.HEARTBEAT[name].dataType).alias(name)
-          for name in schema.NUMBER_FIELDS],
-    )
-
-
 def classify_requests(requests, now_ms, skew_ms=schema.CLOCK_SKEW_MS,
                       max_body_bytes=schema.MAX_BODY_BYTES, max_batch=schema.MAX_BATCH_EVENTS):
     """One row per request with ``outcome``, ``code``, ``reason``, ``n_events`` and ``events``.
 
     Everything is decided inside the row: no shuffle, no state. A body over the
-    size cap is never parsed. A body holds one document and no more; ``null`` is one
-    with nothing in it.
+    size cap is never parsed, any other one once. A body holds one document and no more, typed
+    as ``operators.strict`` says; ``null`` is one with nothing in it, also as a list element.
     """
     body = F.col("body")
     fits = F.octet_length(body) <= max_body_bytes
-    single = only_document(F.when((F.col("kind") == "single") & fits, body), schema.HEARTBEAT)
-    batch = only_document(F.when((F.col("kind") == "batch") & fits, body), schema.ENVELOPE)
-
-    docs = requests.withColumn("docs", F.explode(F.array(F.struct(
-        single.alias("single"), batch.alias("batch")))))
-    one, many = F.col("docs.single"), F.col("docs.batch")
-    listed = F.when(parsed_ok(one), F.array(F.struct(
-        *[one["doc"][name].alias(name) for name in schema.HEARTBEAT.fieldNames()])))
-    listed = listed.when(parsed_ok(many), F.coalesce(many["doc"]["heartbeats"], F.array()))
-    filled = docs.withColumn("events", F.explode(F.array(F.transform(listed, _filled)))).drop("docs")
+    known = F.col("kind").isin("single", "batch")
+    # one-element explodes hold the parse and the events, so that nothing below is evaluated again
+    parsed = requests.withColumn("parsed", F.explode(F.array(strict.enclosed(F.when(known & fits, body)))))
+    doc = F.try_variant_get("parsed", "$.doc", "variant")
+    given = F.when(F.col("kind") == "single", F.array(doc)).otherwise(strict.listed(doc))
+    given = F.when(strict.holds(F.col("parsed"), body), given)
+    typed = strict.bound(F.transform(given, lambda value: strict.typed(value)), lambda all_of: F.when(
+        ~F.exists(all_of, lambda event: event.isNull()), all_of))
+    filled = parsed.withColumn("events", F.explode(F.array(typed))).drop("parsed")
 
     reasons = F.transform("events", lambda event, at: F.struct(
         at.alias("at"), reject_reason(now_ms, skew_ms, event.__getitem__).alias("reason")))

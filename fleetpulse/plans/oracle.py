@@ -25,10 +25,10 @@ FAULTY = HB + """, faulty AS (
     CASE event_id % 20 WHEN 0 THEN '  ' WHEN 1 THEN repeat('x', 129) WHEN 7 THEN repeat('x', 128)
       WHEN 9 THEN '' WHEN 10 THEN repeat('é', 65) ELSE device_id END AS device_id,
     CASE event_id % 20 WHEN 2 THEN '' ELSE region END AS region,
-    CASE event_id % 20 WHEN 3 THEN 'on-fire' ELSE status END AS status,
+    CASE event_id % 20 WHEN 3 THEN 'asleep' ELSE status END AS status,
     CASE event_id % 20 WHEN 4 THEN 0 WHEN 5 THEN 1706745720001 WHEN 8 THEN 1706745720000
       ELSE timestamp_ms END AS timestamp_ms,
-    CASE WHEN event_id % 20 IN (6, 9) THEN -1.0 ELSE latency_ms END AS latency_ms
+    CASE WHEN event_id % 20 IN (6, 9) THEN -0.25 ELSE latency_ms END AS latency_ms
   FROM hb), checked AS (
   SELECT *, CASE
     WHEN regexp_full_match(device_id, '[\\s\\p{Z}]*') THEN 'device_id is required'
@@ -42,19 +42,19 @@ FAULTY = HB + """, faulty AS (
   FROM faulty)"""
 
 REQUESTS = HB + f""", sized AS (
-  SELECT *, event_id % 10 AS c, event_id // 10 % 6 AS odd,
-    CASE WHEN event_id % 60 = 25 THEN 1 WHEN event_id % 10 <= 2 THEN event_id % 5 + 1 WHEN event_id % 10 = 3 THEN 4
+  SELECT *, event_id % 10 AS c, event_id // 10 % 8 AS odd,
+    CASE WHEN event_id % 80 IN (25, 75) THEN 1 WHEN event_id % 10 <= 2 THEN event_id % 5 + 1 WHEN event_id % 10 = 3 THEN 4
       WHEN event_id % 10 = 7 THEN 6 WHEN event_id % 10 IN (4, 5, 8) THEN 0 ELSE 1 END AS n
   FROM hb), outcomes AS (
   SELECT 'req-' || event_id AS request_id,
-    CASE WHEN c IN (6, 8, 9) OR (c = 5 AND odd IN (1, 2, 4)) THEN 'single' ELSE 'batch' END AS kind,
+    CASE WHEN c IN (6, 8, 9) OR (c = 5 AND odd IN (1, 2, 4, 6, 7)) THEN 'single' ELSE 'batch' END AS kind,
     CAST(n AS INTEGER) AS n_events,
     CASE WHEN c = 8 THEN 'too_large' WHEN c = 5 AND odd = 2 THEN 'invalid'
-      WHEN c = 5 AND odd = 3 THEN 'empty' WHEN c = 5 THEN 'bad_json' WHEN c = 4 THEN 'empty'
+      WHEN c = 5 AND odd = 3 THEN 'empty' WHEN c = 5 AND odd = 7 THEN 'accepted' WHEN c = 5 THEN 'bad_json' WHEN c = 4 THEN 'empty'
       WHEN c = 7 THEN 'batch_too_large' WHEN c IN (3, 9) THEN 'invalid' ELSE 'accepted' END AS outcome,
     CAST(CASE WHEN c = 3 THEN 2 WHEN c = 9 OR (c = 5 AND odd = 2) THEN 0 END AS INTEGER) AS first_bad_index,
     CASE WHEN c IN (3, 9) OR (c = 5 AND odd = 2) THEN 'device_id is required' END AS reason,
-    CAST(CASE WHEN c = 5 AND odd = 2 THEN 422 WHEN c IN (7, 8) THEN 413 WHEN c IN (4, 5) THEN 400 WHEN c IN (3, 9) THEN 422
+    CAST(CASE WHEN c = 5 AND odd = 2 THEN 422 WHEN c IN (7, 8) THEN 413 WHEN c = 5 AND odd = 7 THEN 202 WHEN c IN (4, 5) THEN 400 WHEN c IN (3, 9) THEN 422
       ELSE 202 END AS INTEGER) AS code, event_id
   FROM sized)"""
 
@@ -225,7 +225,7 @@ SELECT request_id, kind, n_events, outcome, first_bad_index, reason, code FROM o
     "envelope_accepted_events": f"""WITH {REQUESTS}
 SELECT 'req-' || event_id AS request_id, CAST(i AS INTEGER) AS position, device_id, region, status,
   timestamp_ms + i AS timestamp_ms, latency_ms, cpu_usage, mem_usage
-FROM (SELECT *, unnest(range(n)) AS i FROM sized WHERE c IN (0, 1, 2, 6)) AS listed""",
+FROM (SELECT *, unnest(range(n)) AS i FROM sized WHERE c IN (0, 1, 2, 6) OR (c = 5 AND odd = 7)) AS listed""",
     "ingest_counters": f"""WITH {REQUESTS}
 SELECT count(*) AS requests_total,
   CAST(sum(CASE WHEN outcome = 'accepted' THEN n_events ELSE 0 END) AS BIGINT) AS accepted_total,

@@ -9,11 +9,27 @@ from fleetpulse.functions import clock_text, epoch_ms, round_half_up
 from fleetpulse.operators.tables import in_time_range, latest_version
 
 
+# The answers to wrong arguments.
+RANGE_REQUIRED = "from and to (unix ms) are required"
+RANGE_BACKWARDS = "to must be greater than from"
+FROM_NOT_POSITIVE = "from must be positive"
+RANGE_TOO_LONG = "query window exceeds max of %g days"
+DEVICE_UNSUPPORTED = "device_id filter is not supported; use device_history"
+LIMIT_NOT_POSITIVE = "invalid limit: must be positive"
+STATUS_UNKNOWN = "status must be one of ok|warn|error"
+NOT_A_NUMBER = "invalid %s: %r"
+
+
 def _whole_number(name, value):
     try:
         return int(value)
     except (TypeError, ValueError):
-        raise ValueError(f"invalid {name}: {value!r}") from None
+        raise ValueError(NOT_A_NUMBER % (name, value)) from None
+
+
+def _demand(holds, message):
+    if not holds:
+        raise ValueError(message)
 
 
 @dataclass(frozen=True)
@@ -28,25 +44,18 @@ class ReadFilter:
     tags: tuple = ()
 
     @classmethod
-    def of(cls, from_ms=None, to_ms=None, region="", status="", limit=None, device_id=None, **tags):
-        if from_ms in (None, "") or to_ms in (None, ""):
-            raise ValueError("from and to (unix ms) are required")
+    def of(cls, from_ms=None, to_ms=None, region="", status="", limit=None, device_id=None,
+           max_span_ms=schema.MAX_QUERY_SPAN_MS, **tags):
+        """Checked arguments; a range longer than ``max_span_ms`` is refused, never cut."""
+        _demand(from_ms not in (None, "") and to_ms not in (None, ""), RANGE_REQUIRED)
         start, end = _whole_number("from", from_ms), _whole_number("to", to_ms)
-        if end <= start:
-            raise ValueError("to must be greater than from")
-        if start <= 0:
-            raise ValueError("from must be positive")
-        if end - start > schema.MAX_QUERY_SPAN_MS:
-            raise ValueError("query window exceeds max of 7 days")
-        if device_id:
-            raise ValueError("device_id filter is not supported; use device_history")
-        rows = None
-        if limit not in (None, ""):
-            rows = _whole_number("limit", limit)
-            if rows <= 0:
-                raise ValueError("invalid limit: must be positive")
-        if status and status not in schema.STATUSES:
-            raise ValueError("status must be one of ok|warn|error")
+        _demand(end > start, RANGE_BACKWARDS)
+        _demand(start > 0, FROM_NOT_POSITIVE)
+        _demand(end - start <= max_span_ms, RANGE_TOO_LONG % (max_span_ms / 86_400_000))
+        _demand(not device_id, DEVICE_UNSUPPORTED)
+        rows = None if limit in (None, "") else _whole_number("limit", limit)
+        _demand(rows is None or rows > 0, LIMIT_NOT_POSITIVE)
+        _demand(not status or status in schema.STATUSES, STATUS_UNKNOWN)
         return cls(start, end, region or "", status or "", rows, tuple(tags.items()))
 
 

@@ -70,11 +70,11 @@ def faulty_heartbeats(beats):
         .when(case == 9, "").when(case == 10, "é" * 65)
         .otherwise(F.col("device_id")).alias("device_id"),
         F.when(case == 2, "").otherwise(F.col("region")).alias("region"),
-        F.when(case == 3, "on-fire").otherwise(F.col("status")).alias("status"),
+        F.when(case == 3, "asleep").otherwise(F.col("status")).alias("status"),
         F.when(case == 4, 0).when(case == 5, AS_OF_MS + 120_001)
         .when(case == 8, AS_OF_MS + 120_000)
         .otherwise(F.col("timestamp_ms")).alias("timestamp_ms"),
-        F.when(case.isin(6, 9), -1.0).otherwise(F.col("latency_ms")).alias("latency_ms"),
+        F.when(case.isin(6, 9), -0.25).otherwise(F.col("latency_ms")).alias("latency_ms"),
     )
 
 
@@ -99,10 +99,11 @@ def requests(beats):
     index 2; 4 empty list; 5 not one document; 6 single; 7 six events, over the small
     batch cap; 8 body over the small size cap; 9 single without a device.
 
-    Those of 5 by the next digit modulo 6: 0 unreadable; 1 two events, 2 null and 4 an event with
-    text after it as single; 3 null and 5 two lists as batch.
+    Those of 5 by the next digits modulo 8: 0 unreadable; 1 two events, 2 null, 4 an event with
+    text after it, 6 one with a number as device and 7 one with keys in capitals as single; 3 null and
+    5 two lists as batch.
     """
-    case, odd = F.col("event_id") % 10, F.floor(F.col("event_id") / 10) % 6
+    case, odd = F.col("event_id") % 10, F.floor(F.col("event_id") / 10) % 8
     fields = schema.HEARTBEAT.fieldNames()
     size = (F.when(case <= 2, F.col("event_id") % 5 + 1).when(case == 3, 4)
             .when(case == 7, 6).otherwise(1)).cast("int")
@@ -122,13 +123,16 @@ def requests(beats):
         .when((case == 5) & odd.isin(2, 3), "null")
         .when((case == 5) & (odd == 4), F.concat(F.to_json(copies[0]), F.lit(" {")))
         .when((case == 5) & (odd == 5), F.concat(listed, F.lit("\n"), listed))
+        .when((case == 5) & (odd == 6), F.regexp_replace(F.to_json(copies[0]), '"dev-([0-9]+)"', "$1"))
+        .when((case == 5) & (odd == 7), F.regexp_replace(
+            F.regexp_replace(F.to_json(copies[0]), "device_id", "DEVICE_ID"), "timestamp_ms", "Timestamp_MS"))
         .when(case.isin(6, 9), F.to_json(copies[0]))
         .when(case == 8, F.concat(F.to_json(copies[0]), F.lit(" " * SMALL_BODY)))
         .otherwise(listed)
     )
     return beats.select(
         F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias("request_id"),
-        F.when(case.isin(6, 8, 9) | ((case == 5) & odd.isin(1, 2, 4)), "single").otherwise("batch").alias("kind"),
+        F.when(case.isin(6, 8, 9) | ((case == 5) & odd.isin(1, 2, 4, 6, 7)), "single").otherwise("batch").alias("kind"),
         body.alias("body"))
 
 

@@ -1,10 +1,9 @@
 from fleetpulse import schema
 
-NOW_MS = 1_700_000_000_000
+NOW_MS = 1_712_345_678_901
 
 
-def beat(device="dev-1", region="us-east", status="ok", at=NOW_MS - 10_000, latency=42.0,
-         cpu=None, mem=None):
+def beat(device="pump-7", region="north", status="ok", at=NOW_MS - 1, latency=6.25, cpu=None, mem=None):
     return (device, region, status, at, latency, cpu, mem)
 
 
