@@ -40,6 +40,8 @@ READ_ROWS = 512
 PIVOTS, PIVOT_SHARE = 1024, 32  # at most so many, and one in so many fragments
 DENSE = 16  # an id in more than one in so many fragments of an index has a row of weights there
 K1, B = 1.2, 0.75
+ASKED_AT_ONCE = 256
+FIRST_NEIGHBOURS = 32
 
 PARTS = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
          "sequence_id bigint, ids binary, terms array<int>, term_docs array<int>")
@@ -61,7 +63,16 @@ def encoding(vocabulary):
 
 
 def token_ids(encoder, text):
-    return [*encoder.encode(text, allowed_special="all"), TEXT_END]
+    return np.append(encoder.encode_to_numpy(text, allowed_special="all").astype(KIND), KIND.type(TEXT_END))
+
+
+def distinct(ids):
+    """The distinct ids in order; 16-bit numbers are sorted by radix."""
+    ordered = np.sort(ids, kind="stable")
+    first = np.empty(len(ordered), bool)
+    first[:1] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
 
 
 def checksum(ids):
@@ -77,8 +88,8 @@ def tokenizer(vocabulary):
         for rows in in_blocks(batches, READ_ROWS):
             out = []
             for doc_id, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
-                ids = np.array(token_ids(encoder, text), KIND)
-                docs_with[np.unique(ids)] += 1
+                ids = token_ids(encoder, text)
+                docs_with[distinct(ids)] += 1
                 full = len(ids) // WINDOW * WINDOW
                 for start in range(0, full, WINDOW):
                     out.append((doc_id, start, WINDOW, checksum(ids[start:start + WINDOW]), len(ids),
@@ -132,7 +143,7 @@ class Shard:
         self.rows = np.zeros((len(common), count), np.float32)
         where = self.row[term] >= 0
         self.rows[self.row[term[where]], owner[where]] = weight[where]
-        self.queries = [np.unique(f.ids) for f in fragments]
+        self.queries = [distinct(f.ids) for f in fragments]
         self.unused = np.ones(count, bool)
 
     def scores(self, terms):
@@ -145,12 +156,29 @@ class Shard:
         found = np.bincount(self.owner[at], self.weight[at], len(self.unused))
         return found + self.rows[row[row >= 0]].sum(0)
 
+    def scores_of(self, queries):
+        """A row of scores over all fragments for each query: the common ids by one product of matrices."""
+        sizes = np.array([len(q) for q in queries])
+        terms, asker = np.concatenate(queries).astype(np.int64), np.repeat(np.arange(len(queries)), sizes)
+        row = self.row[terms]
+        asked = np.zeros((len(queries), len(self.rows)), np.float32)
+        asked[asker[row >= 0], row[row >= 0]] = 1
+        rare, by = terms[row < 0], asker[row < 0]
+        starts = self.start[rare]
+        held = self.start[rare + 1] - starts
+        at = np.arange(held.sum()) + np.repeat(starts - np.cumsum(held) + held, held)
+        count = len(self.unused)
+        found = np.bincount(self.owner[at] + np.repeat(by * count, held), self.weight[at], count * len(queries))
+        return found.reshape(len(queries), count) + asked @ self.rows
+
     def neighbours(self, seed):
         """Numbers of the unused fragments that share an id with ``seed``, best first."""
         scores = self.scores(self.queries[seed].astype(np.int64))
         scores[~self.unused] = 0
-        found = np.flatnonzero(scores)
-        return found[np.argsort(-scores[found], kind="stable")]
+        # most windows are full after a few neighbours: the best come first, the others only when asked for
+        least = np.partition(scores, -FIRST_NEIGHBOURS)[-FIRST_NEIGHBOURS] if len(scores) > FIRST_NEIGHBOURS else -1.0
+        for found in (np.flatnonzero((scores > 0) & (scores >= least)), np.flatnonzero((scores > 0) & (scores < least))):
+            yield from found[np.argsort(-scores[found], kind="stable")]
 
 
 def nearest_pivots(pivots, idf, mean):
@@ -160,14 +188,16 @@ def nearest_pivots(pivots, idf, mean):
         for batch in batches:
             near = np.full((2, batch.num_rows), -1, np.int32)
             top = np.zeros(batch.num_rows, np.float32)
-            for k, ids in enumerate(batch.column("ids").to_pylist()):
-                scores = index.scores(np.unique(np.frombuffer(ids, KIND)).astype(np.int64))
+            queries = [distinct(np.frombuffer(ids, KIND)) for ids in batch.column("ids").to_pylist()]
+            for first in range(0, len(queries), ASKED_AT_ONCE):
+                scores = index.scores_of(queries[first:first + ASKED_AT_ONCE])
+                asker = np.arange(len(scores))
                 for place in range(2):
-                    best = scores.argmax()
-                    if scores[best] > 0:
-                        near[place, k] = best
-                        top[k] = max(top[k], scores[best])
-                        scores[best] = 0
+                    best = scores.argmax(1)
+                    score = scores[asker, best]
+                    near[place, first + asker[score > 0]] = best[score > 0]
+                    top[first + asker] = np.maximum(top[first + asker], score)
+                    scores[asker, best] = 0
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(near[0]), pa.array(near[1]), pa.array(top)],
                 [*batch.schema.names, "near", "second", "score"])
