@@ -137,7 +137,9 @@ def exact_groups(docs, *, sender_rows=SENDER_ROWS, owner_rows=OWNER_ROWS):
 
 
 def drop_exact_copies(docs):
-    """The rows of ``docs`` that stay, with all their columns, one for each doc_id and text."""
-    stay = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__stay"))
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__stay")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """The rows of ``docs`` that stay, one for each group of equal texts, with all their columns."""
+    stay = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__stay"), F.unhex("text_sha256").alias("__text"))
+    keyed = docs.withColumn("__digest", F.unhex(F.sha2(normalised(text_or_empty()), 256)))
+    kept = keyed.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__stay")) & (F.col("__digest") == F.col("__text")),
+                      "left_semi")
+    return kept.dropDuplicates(["doc_id", "__digest"]).drop("__digest")

@@ -53,7 +53,7 @@ FACTORS = _seeds.integers(0, 1 << 32, (2, REGISTERS), dtype=np.uint32) | np.uint
 PLACES = _seeds.integers(0, 1 << 63, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 GRID = np.linspace(0.0, 1.0, 101)
 
-SKETCH = "row bigint, doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, registers binary"
+SKETCH = "row bigint, doc_id bigint, text_key bigint, n_shingles bigint, set_a bigint, set_b bigint, registers binary"
 
 
 def shingles(text):
@@ -96,15 +96,15 @@ def sketch_rows(batches):
     number = TaskContext.get().partitionId() << 40
     for batch in batches:
         out = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
             items = shingles(text)
             a, b = set_key(items).tolist()
-            out.append((number, doc_id, len(items), a, b, registers_of(items).tobytes() if len(items) else None))
+            out.append((number, doc_id, key, len(items), a, b, registers_of(items).tobytes() if len(items) else None))
             number += 1
-        columns = list(zip(*out)) or [[]] * 6
+        columns = list(zip(*out)) or [[]] * 7
         yield pa.RecordBatch.from_arrays(
-            [*[pa.array(c, pa.int64()) for c in columns[:5]], binaries(columns[5])],
-            ["row", "doc_id", "n_shingles", "set_a", "set_b", "registers"])
+            [*[pa.array(c, pa.int64()) for c in columns[:6]], binaries(columns[6])],
+            ["row", "doc_id", "text_key", "n_shingles", "set_a", "set_b", "registers"])
 
 
 def band_rows(batches):
@@ -278,11 +278,12 @@ def own_text_rows(batches):
         yield batch.filter(pa.array(same, pa.bool_())).select(["node", "text"])
 
 
-def near_groups(docs, share=SHARE):
-    """doc_id, n_shingles, component_id, kept of each document; links from ``share`` percent on."""
+def grouped_rows(docs, share):
+    """doc_id, text_key, n_shingles and group of each document, as a written table."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = written(texts.mapInArrow(sketch_rows, SKETCH), "sketches")
+    keyed = texts.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    rows = written(keyed.mapInArrow(sketch_rows, SKETCH), "sketches")
     firsts = rows.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("row").alias("node"))
     classes = written(rows.join(firsts.select(F.col("node").alias("row")), "row").select(
         F.col("row").alias("node"), "doc_id", "n_shingles", "set_a", "set_b", "registers"), "set-classes")
@@ -306,11 +307,16 @@ def near_groups(docs, share=SHARE):
     ends = written(components(links), "near-components")
 
     # a class's component is named by its smallest node; documents want the smallest doc_id
-    keyed = rows.select("doc_id", "n_shingles", "set_a", "set_b", "row").join(firsts, ["set_a", "set_b"], "left")
-    member = keyed.join(ends, "node", "left").select(
-        "doc_id", "n_shingles",
+    classed = rows.select("doc_id", "text_key", "n_shingles", "set_a", "set_b", "row").join(firsts, ["set_a", "set_b"], "left")
+    member = classed.join(ends, "node", "left").select(
+        "doc_id", "text_key", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("row")).alias("group"))
-    member = written(member, "near-members")
+    return written(member, "near-members")
+
+
+def near_groups(docs, share=SHARE):
+    """doc_id, n_shingles, component_id, kept of each document; links from ``share`` percent on."""
+    member = grouped_rows(docs, share)
     smallest = member.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     return member.join(smallest, "group").select(
         "doc_id", "n_shingles", "component_id",
@@ -318,7 +324,13 @@ def near_groups(docs, share=SHARE):
 
 
 def drop_near_copies(docs, share=STAGE_SHARE):
-    """The rows of ``docs`` that stay, one for each group, with all their columns."""
-    stay = near_groups(docs, share).filter("kept").select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__stay")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """The rows of ``docs`` that stay, one for each group, with all their columns.
+
+    The smallest doc_id stays, one without an id only where no row has any.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    stay = grouped_rows(docs, share).groupBy("group").agg(first).select(
+        F.col("first.doc_id").alias("__stay"), F.col("first.text_key").alias("__key"))
+    kept = docs.withColumn("__own", F.xxhash64(text_or_empty())).join(
+        stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__stay")) & (F.col("__own") == F.col("__key")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__own"]).drop("__own")

@@ -6,8 +6,8 @@ interact through low-rank factors; by the sum-of-squares identity a score takes
 pass over the document's own inputs. Label, lang, source and doc_id are never inputs.
 
 The model is trained on the driver from at most ``TRAIN_ROWS`` labelled documents, those with
-the smallest hash of their doc_id, so that its size has a bound; every document is
-scored in full. Without any usable label nothing is known against a document, and all
+the smallest hash of their doc_id, so that its size has a bound, in an order that does not depend on
+the files; every document is scored in full. Without any usable label nothing is known against a document, and all
 score 1.
 
 Null text is scored as empty text. Labels other than 0 and 1 are ignored; several labels
@@ -133,9 +133,9 @@ def input_rows(batches):
     for batch in batches:
         found = [inputs(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in found], pa.list_(pa.int32())),
-             pa.array([v for _, v in found], pa.list_(pa.float32())),
-             batch.column("quality").cast(pa.int32())], ["index", "value", "quality"])
+            [batch.column("place"), batch.column("quality"),
+             pa.array([i for i, _ in found], pa.list_(pa.int32())),
+             pa.array([v for _, v in found], pa.list_(pa.float32()))], ["place", "quality", "index", "value"])
 
 
 def held_out():
@@ -144,15 +144,28 @@ def held_out():
 
 
 def train(docs, labels, train_rows=TRAIN_ROWS):
-    """The model, or None without labels."""
-    chosen = labels.filter("quality in (0, 1) AND doc_id IS NOT NULL").filter(~held_out()).select(
-        F.col("doc_id").alias("__labelled"), "quality").orderBy(F.xxhash64("__labelled"), "__labelled").limit(train_rows)
-    texts = docs.select("doc_id", text_or_empty().alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("__labelled")).select("text", "quality")
-    found = texts.mapInArrow(input_rows, "index array<int>, value array<float>, quality int").toArrow()
-    rows = [(np.array(i), np.array(v, np.float64), q) for i, v, q in zip(
-        *(found.column(c).to_pylist() for c in ("index", "value", "quality")))]
-    return fit(rows) if rows else None
+    """The model, or None without labels.
+
+    Training rows are chosen by keys alone and put in one order, so that the model is a function of the
+    tables and not of their files; equal rows train once.
+    """
+    labelled = labels.filter("quality in (0, 1) AND doc_id IS NOT NULL").filter(~held_out()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
+    order = [F.xxhash64("doc_id"), "doc_id", "quality"]
+    first = labelled.orderBy(*order).limit(train_rows)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn(
+        "text_key", F.xxhash64("text"))
+    found = texts.select("doc_id", "text_key").join(F.broadcast(first), "doc_id").distinct().orderBy(
+        *order, "text_key").limit(train_rows).collect()
+    if not found:
+        return None
+    places = docs.sparkSession.createDataFrame(
+        [(n, *row) for n, row in enumerate(found)], "place int, doc_id long, text_key long, quality int")
+    rows = texts.join(F.broadcast(places), ["doc_id", "text_key"]).mapInArrow(
+        input_rows, "place int, quality int, index array<int>, value array<float>")
+    held = rows.dropDuplicates(["place"]).toArrow().sort_by("place")
+    return fit([(np.array(i), np.array(v, np.float64), q) for i, v, q in zip(
+        *(held.column(c).to_pylist() for c in ("index", "value", "quality")))])
 
 
 def scorer(model):
