@@ -37,8 +37,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: SQL can express neither a trained classifier nor the packing. Tests check columns and counts of the stages;
-#: no test compares run() with brute force yet.
+#: SQL can express neither a trained classifier nor the packing; tests/llm/test_pipeline.py compares run()
+#: with plain Python, given the trained model.
 ORACLE_SQL = None
 
 
