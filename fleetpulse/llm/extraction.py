@@ -8,8 +8,9 @@ above one half. Elements that can't hold article text (scripts, forms, menus, ..
 below them are fixed as no content.
 
 Weights start from a prior and are trained by the likelihood of labelled pages: pages that
-mark their article themselves, at most ``TRAIN_PAGES`` of those with the smallest
-hash of their url and id. Pages without marks are judged by the same model.
+mark their article themselves, at most ``TRAIN_PAGES`` different ones with the smallest hash, none of more
+than ``TRAIN_CHARS`` characters. Pages without marks are judged by the same model. A page that ends
+inside a tag ends before that.
 
 Null and empty html give an empty text. Rows that repeat a page_id are pages of their own. An
 empty table gives an empty result. Other columns are ignored.
@@ -18,12 +19,14 @@ empty table gives an empty result. Other columns are ignored.
 import html
 import math
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 TRAIN_PAGES = 400
+TRAIN_CHARS = 1 << 20
 STEPS = 40
 
 # Names of HTML elements, and words in class names.
@@ -52,11 +55,19 @@ HOLDER = frozenset("wrap wrapper container outer inner".split())
 PLURAL = frozenset("list area section block box".split())
 STRONG = re.compile(r"(article|post|entry|story|main|page)[-_]*(content|body|text)|main|article", re.I)
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+# Words that name no content of their own: beside a boilerplate word they leave a name boilerplate.
+FURNITURE = frozenset("""posts articles stories links link buttons button bar bars icons items item list lists section block
+    box area slot unit form wrap wrapper container outer inner title heading count top bottom left right inline post
+    article story page site main content entry text body media news""".split())
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
+# A quote opens a value only after the equals sign. All repeats are possessive, so a tag is read once.
+ATTRIBUTES = re.compile(
+    r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+)*+>""")
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+)))?+""")
+NAMING = frozenset(["class", "id", "role"])
 
 TAG = {name: i for i, name in enumerate([*KNOWN, "other"])}
-CUES = ("against", "for", "under_against", "under_article", "no_text", "short", "middle", "long",
+CUES = ("against", "for", "under_against", "under_article", "under_for", "no_text", "short", "middle", "long",
         "linked", "sentences", "bias")
 CUE = {name: len(TAG) + i for i, name in enumerate(CUES)}
 FEATURES = len(TAG) + len(CUES)
@@ -68,23 +79,26 @@ def prior():
     for name, value in {"article": 4, "main": 3, "p": 1, "blockquote": 1, "pre": 1, "body": -1, "html": -3,
                         "li": -0.5, "td": -0.2, "address": -1}.items():
         weights[TAG[name]] = value
-    for name, value in {"against": -6, "for": 1.5, "under_against": -6, "under_article": 3, "short": -0.3,
+    for name, value in {"against": -6, "for": 1.5, "under_against": -6, "under_article": 3, "under_for": 1.5, "short": -0.3,
                         "middle": 0.5, "long": 1.5, "linked": -2.5, "sentences": 0.7, "bias": -0.3}.items():
         weights[CUE[name]] = value
     return weights, np.array([[0.8, -0.4], [-0.6, 1.2]])
 
 
 class Node:
-    __slots__ = ("tag", "parent", "barred", "against", "article", "text", "linked", "features")
+    __slots__ = ("tag", "parent", "barred", "against", "article", "strong", "text", "linked", "features")
 
-    def __init__(self, tag, parent, barred, against, article, features):
+    def __init__(self, tag, parent, barred, against, article, strong, features):
         self.tag, self.parent, self.barred = tag, parent, barred
-        self.against, self.article, self.features = against, article, features
+        self.against, self.article, self.strong, self.features = against, article, strong, features
         self.text = self.linked = 0
 
 
-def boilerplate(name):
-    """Whether a class, id or role names its own block as no content: by its first or its head word."""
+def boilerplate(name, in_article=False):
+    """Whether a class, id or role names its own block as no content: by its first or its head word.
+
+    Inside an article all other words must be furniture: "related-posts" is no content, "related-work" is.
+    """
     words = re.split("[-_]+", re.sub("(side|sign)[-_](?=bar|up)", r"\1", name.lower()).strip("-_"))
     if len(words) > 1 and (words[0] in BESIDE or words[-1] in STATE):
         return False
@@ -93,27 +107,51 @@ def boilerplate(name):
         around |= words.pop() in HOLDER
     if around and any(FOR.fullmatch(w) for w in words):
         return False
+    if in_article and not all(AGAINST.fullmatch(w) or w in FURNITURE for w in words):
+        return False
     return bool(AGAINST.fullmatch(words[0]) or AGAINST.fullmatch(words[-1]))
 
 
+def attributes(text):
+    """(values of class, id and role, whether a slash closes the tag) of what follows a tag's name."""
+    names, last = [], 0
+    for found in ATTRIBUTE.finditer(text):
+        last = found.end()
+        if found[1].lower() in NAMING:
+            names += (found[2] or found[3] or found[4] or "").split()
+    return names, "/" in text[last:]
+
+
 def parse(page):
-    """(nodes in page order, pieces of text as (node number, text)); None marks a block's bound."""
-    nodes = [Node("html", -1, False, False, False, [TAG["html"], CUE["bias"]])]
-    stack = [("html", 0)]
+    """(nodes in page order, pieces of text as (node number, text)); None marks a block's bound.
+
+    Time grows with the page's length, whatever it holds: open elements are found by their tag.
+    """
+    nodes = [Node("html", -1, False, False, False, False, [TAG["html"], CUE["bias"]])]
+    stack, places = [("html", 0)], defaultdict(list)
     pieces, links, at, end = [], 0, 0, len(page)
 
+    def nearest(tags):
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
+    def push(tag, node):
+        places[tag].append(len(stack))
+        stack.append((tag, node))
+
     def close(tags, walls=WALLS):
         """Close the nearest open element among ``tags``, unless a wall stands before it."""
         nonlocal links
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                links -= sum(t == "a" for t, _ in stack[k:])
-                if any(t not in INLINE for t, _ in stack[k:]):
-                    pieces.append(None)
-                del stack[k:]
-                return
-            if stack[k][0] in walls:
-                return
+        k = nearest(tags)
+        if not k or k < nearest(walls):
+            return
+        block = False
+        for t, _ in stack[k:]:
+            places[t].pop()
+            links -= t == "a"
+            block |= t not in INLINE
+        if block:
+            pieces.append(None)
+        del stack[k:]
 
     def say(raw):
         node = stack[-1][1]
@@ -137,6 +175,10 @@ def parse(page):
         if tag is None:
             continue
         tag = tag.lower()
+        rest = ATTRIBUTES.match(page, at)
+        if not rest:  # the page ends inside a tag
+            break
+        given, at = page[at:rest.end() - 1], rest.end()
         if found[1]:
             if tag == "br":
                 pieces.append(None)
@@ -154,7 +196,7 @@ def parse(page):
             continue
         if tag in INLINE:
             links += tag == "a"
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             continue
         if tag in ("html",):
             continue
@@ -164,26 +206,29 @@ def parse(page):
             close(CLOSES[tag], WALLS - {"table"} if tag in ("tr", "td", "th") else WALLS)
         pieces.append(None)
         up = stack[-1][1]
-        names = " ".join(a or b or c for a, b, c in NAMES.findall(found[3]))
+        names, closed = attributes(given)
         above = nodes[up]
         features = [TAG.get(tag, TAG["other"]), CUE["bias"]]
-        marked = any(map(boilerplate, names.split()))
+        marked = any(boilerplate(name, above.article) for name in names)
+        strong = any(map(STRONG.fullmatch, names))
         root = tag in ("article", "main")
         # an article in a marked block is free of the mark, unless it is marked itself or part of an article
-        inherited = above.against and (marked or above.article or not (root or any(map(STRONG.fullmatch, names.split()))))
+        inherited = above.against and (marked or above.article or not (root or strong))
         against = marked and tag != "body" and (above.against or not root)
         if against:
             features.append(CUE["against"])
-        elif names and FOR.search(names.replace("_", " ")):
+        elif names and FOR.search(" ".join(names).replace("_", " ")):
             features.append(CUE["for"])
         if inherited:
             features.append(CUE["under_against"])
         if above.article:
             features.append(CUE["under_article"])
+        elif above.strong and not (inherited or against):
+            features.append(CUE["under_for"])
         nodes.append(Node(tag, up, above.barred or tag in NEVER, inherited or against,
-                          above.article or root, features))
-        if not found[3].endswith("/"):
-            stack.append((tag, len(nodes) - 1))
+                          above.article or root, (above.strong or strong) and not against, features))
+        if not closed:
+            push(tag, len(nodes) - 1)
     for node in nodes:
         size = node.text
         node.features.append(CUE["no_text" if not size else "short" if size < 40 else "middle" if size < 160 else "long"])
@@ -243,25 +288,28 @@ def labelled_rows(batches):
     """Of pages that mark their article: parents, features, barred nodes and labels."""
     for batch in batches:
         rows = []
-        for page in batch.column("html").to_pylist():
-            nodes, _ = parse(page or "")
+        for key, page in zip(batch.column("key").to_pylist(), batch.column("html").to_pylist()):
+            nodes, _ = parse(page)
             if any(n.article for n in nodes):
-                rows.append({"parents": [n.parent for n in nodes], "features": [n.features for n in nodes],
+                rows.append({"key": key, "parents": [n.parent for n in nodes], "features": [n.features for n in nodes],
                              "barred": [n.barred for n in nodes],
                              "labels": [int(n.article and not n.barred and not n.against) for n in nodes]})
-        kinds = {"parents": pa.list_(pa.int32()), "features": pa.list_(pa.list_(pa.int32())),
+        kinds = {"key": pa.int64(), "parents": pa.list_(pa.int32()), "features": pa.list_(pa.list_(pa.int32())),
                  "barred": pa.list_(pa.bool_()), "labels": pa.list_(pa.int32())}
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in kinds.items()],
                                          list(kinds))
 
 
 def train(pages, train_pages=TRAIN_PAGES):
-    """Weights and edge table by gradient steps on the labelled pages' likelihood."""
-    key = F.xxhash64("page_id", "url")
-    chosen = pages.filter("html IS NOT NULL").select("html", key.alias("key")).orderBy("key").limit(train_pages)
-    rows = chosen.select("html").mapInArrow(
-        labelled_rows, "parents array<int>, features array<array<int>>, barred array<boolean>, labels array<int>"
-    ).toArrow().to_pylist()
+    """Weights and edge table by gradient steps on the labelled pages' likelihood.
+
+    Pages are chosen by their keys alone; equal pages train once, in an order that the files do not change.
+    """
+    keyed = pages.filter(F.length("html") <= TRAIN_CHARS).select("html", F.xxhash64("page_id", "url", "html").alias("key"))
+    chosen = keyed.select("key").distinct().orderBy("key").limit(train_pages)
+    rows = keyed.join(F.broadcast(chosen), "key").mapInArrow(
+        labelled_rows, "key long, parents array<int>, features array<array<int>>, barred array<boolean>, labels array<int>"
+    ).dropDuplicates(["key"]).toArrow().sort_by("key").to_pylist()
     weights, table = prior()
     start, first = weights.copy(), table.copy()
     for _ in range(STEPS if rows else 0):
