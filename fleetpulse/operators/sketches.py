@@ -11,6 +11,7 @@ from fleetpulse.functions import text_or_empty
 
 KLL_K = 4096
 HLL_LOG2_BUCKETS = 14
+THETA_LOG2_ENTRIES = 12
 
 
 def latency_sketch(column="latency_ms", k=KLL_K):
@@ -30,6 +31,18 @@ def device_sketch(column="device_id", log2_buckets=HLL_LOG2_BUCKETS):
     return F.hll_sketch_agg(F.xxhash64(text_or_empty(F.col(column))), F.lit(log2_buckets))
 
 
+def devices_missing(rows, keys, before, after, log2_entries=THETA_LOG2_ENTRIES):
+    """Per ``keys``, estimates of the devices where ``before`` holds, of those missing where ``after``
+    holds, and of all of both: one pass and one shuffle of sketches."""
+    held = rows.groupBy(*keys).agg(*[
+        F.theta_sketch_agg(F.when(condition, F.xxhash64(text_or_empty(F.col("device_id")))), F.lit(log2_entries)).alias(name)
+        for name, condition in (("first", before), ("second", after))])
+    return held.select(
+        *keys, F.theta_sketch_estimate("first").alias("devices_before"),
+        F.theta_sketch_estimate(F.theta_difference("first", "second")).alias("devices_missing"),
+        F.theta_sketch_estimate(F.theta_union("first", "second", F.lit(log2_entries))).alias("devices_of_both"))
+
+
 def sketch_rows(keyed, keys, k=KLL_K, log2_buckets=HLL_LOG2_BUCKETS):
     """Stored form: count, latency sum and the two sketches per key."""
     return keyed.groupBy(*keys).agg(

@@ -309,6 +309,29 @@ def compacted_days(spark, sf):
                                      F.sum("batch_id").alias("batches"))
 
 
+def compacted_incremental(spark, sf):
+    """All versions arrive in two parts; each is followed by a compaction of the days it touched."""
+    root = scratch_path(pin_utc(spark), "incremental")
+    versions, days = saved(_versions(spark, sf), "versions"), []
+    for part in (F.col("batch_id") == 0, F.col("batch_id") > 0):
+        rows = tables.lay_out_by_day(versions.where(part), schema.AGGREGATE_KEY)
+        rows.write.mode("append").partitionBy("day").parquet(f"{root}/versions")
+        days.append(stores.compact_new_days(spark, f"{root}/versions", f"{root}/compacted", f"{root}/mark"))
+    return rounded(with_ms(scans.aggregate_table(spark, f"{root}/compacted")))
+
+
+def tags_added_later(spark, sf):
+    """Daily windows by a tag that the raw table's first days do not have."""
+    path = scratch_path(pin_utc(spark), "later-tags")
+    beats = events.heartbeats(spark, sf, keep=("event_id", "user_id")).withColumn(
+        "device_model", F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")))
+    stores.append_raw(beats.where(F.col("timestamp_ms") < WEEK_FROM_MS), path)
+    stores.append_raw(beats.where(F.col("timestamp_ms") >= WEEK_FROM_MS), path, ("device_model",))
+    tags = scans.stored_tags(spark, path)
+    raw = scans.raw_table(spark, path, tags)
+    return rounded(with_ms(windows.window_aggregate(raw, DAY, (*schema.DIMENSIONS, *tags))))
+
+
 def retention_raw(spark, sf):
     raw = tables.raw_rows(events.heartbeats(spark, sf))
     return with_ms(tables.unexpired_raw(raw, AS_OF_MS))
@@ -462,6 +485,7 @@ COPIES = 50
 SMALL_KLL, KLL_RANKS_OFF = 100, 0.04
 SMALL_ACCURACY = 50
 SMALL_HLL, HLL_OFF = 10, 0.10
+DEVICE_COPIES, SMALL_THETA, THETA_OFF = 197, 8, 0.25
 
 
 def _multiplied(spark, sf):
@@ -511,6 +535,20 @@ def hll_distinct_check(spark, sf):
     return exact.join(found, "region").select("region", "distinct_count", near.alias("within_tol"))
 
 
+def devices_missing_check(spark, sf):
+    """Devices of the time before the week that are missing in it, exactly and by sketches of a few entries."""
+    beats = events.heartbeats(spark, sf).withColumn(
+        "device_id", F.concat_ws("-", "device_id", F.col("event_id") % DEVICE_COPIES))
+    early = F.col("timestamp_ms") < WEEK_FROM_MS
+    week = F.col("timestamp_ms").between(WEEK_FROM_MS, WEEK_TO_MS - 1)
+    found = sketches.devices_missing(beats, ["region"], early, week, SMALL_THETA)
+    seen = beats.groupBy("region", "device_id").agg(F.bool_or(early).alias("early"), F.bool_or(week).alias("week"))
+    exact = seen.groupBy("region").agg(F.count_if(F.col("early") & ~F.col("week")).alias("missing"),
+                                       F.count_if(F.col("early") | F.col("week")).alias("both"))
+    near = F.abs(F.col("devices_missing") - F.col("missing")) <= F.col("both") * THETA_OFF
+    return exact.join(found, "region").select("region", "missing", "both", near.alias("within_tol"))
+
+
 def cell_percentile_check(spark, sf):
     """Percentiles of merged value cells against exact ones, in groups of some 100,000 rows and more."""
     beats = _multiplied(spark, sf)
@@ -569,6 +607,8 @@ QUERIES = {
     "latest_versions": latest_versions,
     "compacted_days": compacted_days,
     "compacted_rows": compacted_rows,
+    "compacted_incremental": compacted_incremental,
+    "tags_added_later": tags_added_later,
     "retention_raw": retention_raw,
     "retention_aggregates": retention_aggregates,
     "metrics_series": metrics_series,
@@ -595,6 +635,7 @@ QUERIES = {
     "kll_percentile_check": kll_percentile_check,
     "hll_distinct_check": hll_distinct_check,
     "cell_percentile_check": cell_percentile_check,
+    "devices_missing_check": devices_missing_check,
     "window_1h_cells": window_1h_cells,
     "cells_rolled_up": cells_rolled_up,
 }

@@ -1,7 +1,7 @@
 """The same results in DuckDB SQL over the test tables."""
 
 from fleetpulse.plans.catalog import (
-    AS_OF_MS, COPIES, DASHBOARD_LIMIT, DAY, EMPTY_FROM_MS, EMPTY_TO_MS, HISTORY_DEVICE, HOUR, LIFE_DAYS, MINUTE,
+    AS_OF_MS, COPIES, DASHBOARD_LIMIT, DAY, DEVICE_COPIES, EMPTY_FROM_MS, EMPTY_TO_MS, HISTORY_DEVICE, HOUR, LIFE_DAYS, MINUTE,
     RETENTION_AS_OF_MS, WEEK_FROM_MS, WEEK_TO_MS,
 )
 
@@ -278,6 +278,17 @@ SELECT {RAW} FROM life""",
     "stored_raw_week": f"{RAW_ROWS} WHERE {RAW_WEEK}",
     "latest_versions": NEWEST,
     "compacted_rows": NEWEST,
+    "compacted_incremental": NEWEST,
+    "tags_added_later": f"""WITH {HB}, tagged AS (
+  SELECT *, CASE WHEN timestamp_ms < {WEEK_FROM_MS} THEN '' ELSE 'm' || CAST(user_id % 3 AS VARCHAR) END AS device_model FROM hb),
+{windows(DAY, "tagged", "region, status, device_model")}
+SELECT window_start_ms, window_end_ms, region, status, device_model, count, distinct_count, {ROUNDED}
+FROM win""",
+    "devices_missing_check": f"""WITH {HB}, seen AS (
+  SELECT region, device_id || '-' || event_id % {DEVICE_COPIES} AS device, bool_or(timestamp_ms < {WEEK_FROM_MS}) AS early,
+    bool_or({RAW_WEEK}) AS week FROM hb GROUP BY ALL)
+SELECT region, count(*) FILTER (early AND NOT week) AS missing, count(*) FILTER (early OR week) AS both,
+  true AS within_tol FROM seen GROUP BY region""",
     "compacted_days": f"""{VERSIONS}
 SELECT day, count(*) AS rows, CAST(sum(count) AS BIGINT) AS events,
   CAST(sum(batch_id) AS BIGINT) AS batches FROM newest GROUP BY day""",

@@ -12,6 +12,7 @@ from fleetpulse.operators.tables import (
     aggregate_rows, latest_version, lay_out_by_day, lay_out_closed_windows, raw_rows,
 )
 from fleetpulse.session import hadoop_path, saved
+from fleetpulse.sources.scans import aggregate_table
 
 # Rows per insert statement of the two tables.
 RAW_JDBC_BATCH = 1000
@@ -117,6 +118,37 @@ def compact_days(aggregates, target, first_day=None, last_day=None, key=schema.A
     _replace_days(lay_out_by_day(collapsed, key), target)
 
 
+def _data_files(spark, path):
+    """path, length, modificationTime and day of each file of a table, from the listing: none is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "length", "modificationTime",
+                        F.regexp_extract("path", "/day=([^/]+)/", 1).alias("day"))
+
+
+def compact_new_days(spark, source, target, mark, key=schema.AGGREGATE_KEY, tags=()):
+    """Compact the days of ``source`` with files that no earlier run has seen; gives those days.
+
+    ``mark`` is a folder that lists the files compacted so far. A day with a new file is read in full, as any
+    of its windows may have a newer version; other days are not read. A run that fails before its
+    mark is written is done again as a whole.
+    """
+    files = saved(_data_files(spark, source), "files")
+    fresh = files
+    if _exists(spark, mark):
+        fresh = files.join(spark.read.schema(files.schema).parquet(mark), files.columns, "left_anti")
+    days = sorted(r.day for r in fresh.select("day").distinct().collect())
+    if days:
+        table = aggregate_table(spark, source, tags).where(F.col("day").isin(days))
+        compact_days(table, target, key=key)
+        files.where(F.col("day").isin(days)).write.mode("append").parquet(mark)
+    return days
+
+
+def _exists(spark, path):
+    fs, target = hadoop_path(spark, path)
+    return fs.exists(target)
+
+
 def sort_raw_days(raw, target, first_day=None, last_day=None):
     """Merge the small unsorted files a stream leaves into sorted ones below ``target``."""
     days = _days(raw, first_day, last_day)

@@ -54,14 +54,26 @@ def peek(messages, n=5):
     return messages.limit(n)
 
 
+def _filled_tags(rows, tags):
+    """A tag that a file does not have yet is the empty text."""
+    return rows.withColumns({tag: F.coalesce(tag, F.lit("")) for tag in tags}) if tags else rows
+
+
 def raw_table(spark, path, tags=()):
     """Heartbeats of all loads; a load is one batch's or micro-batch's folder of a day."""
     shape = schema.with_tags(schema.RAW_TABLE, tags).add("load", "string")
-    return spark.read.schema(shape).parquet(path).drop("load")
+    return _filled_tags(spark.read.schema(shape).parquet(path).drop("load"), tags)
 
 
 def aggregate_table(spark, path, tags=()):
-    return spark.read.schema(schema.with_tags(schema.AGGREGATE_TABLE, tags)).parquet(path)
+    return _filled_tags(spark.read.schema(schema.with_tags(schema.AGGREGATE_TABLE, tags)).parquet(path), tags)
+
+
+def stored_tags(spark, path, shape=schema.RAW_TABLE):
+    """The tags that any file of a table has, by name: reads the files' footers, not their rows."""
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    return tuple(sorted(f.name for f in found.fields
+                        if f.name not in (*shape.fieldNames(), "load") and f.dataType.simpleString() == "string"))
 
 
 def exported_rows(spark, path, shape, form="json"):

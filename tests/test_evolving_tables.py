@@ -1,0 +1,64 @@
+import random
+
+from pyspark.sql import functions as F
+
+from fleetpulse import schema
+from fleetpulse.operators import sketches, tables, windows
+from fleetpulse.sinks import stores
+from fleetpulse.sources import scans
+from tests.helpers import beat, beats, rows_of
+
+DAY_MS = 86_400_000
+START = 1_700_006_400_000  # a midnight
+
+
+def written(spark, path, rows, batch):
+    stores.append_aggregates(windows.window_aggregate(beats(spark, rows), 3600, quantiles="cells"), path, batch)
+
+
+def test_only_days_with_new_files_are_compacted(spark, folder, monkeypatch):
+    source, target, mark = (f"{folder}/{name}" for name in ("versions", "compacted", "mark"))
+    rows = [beat(at=START + day * DAY_MS + k, latency=float(k)) for day in range(3) for k in range(4)]
+    written(spark, source, rows, 1)
+    first = stores.compact_new_days(spark, source, target, mark)
+    assert first == ["20231115", "20231116", "20231117"]
+    read = []
+    real = stores.aggregate_table
+    monkeypatch.setattr(stores, "aggregate_table", lambda *a: read.append(a) or real(*a))
+    assert stores.compact_new_days(spark, source, target, mark) == [] and not read
+    written(spark, source, rows[4:8] + [beat(at=START + DAY_MS, latency=9.0)], 2)
+    assert stores.compact_new_days(spark, source, target, mark) == ["20231116"]
+    found = scans.aggregate_table(spark, target)
+    assert rows_of(found, "day", "count", "batch_id") == [("20231115", 4, 1), ("20231116", 5, 2), ("20231117", 4, 1)]
+    newest = tables.latest_version(scans.aggregate_table(spark, source))
+    assert rows_of(newest, *schema.AGGREGATE_KEY, "count") == rows_of(found, *schema.AGGREGATE_KEY, "count")
+
+
+def test_tags_of_later_files(spark, folder):
+    early = beats(spark, [beat("a", at=START + k) for k in range(3)])
+    late = beats(spark, [beat("b", at=START + DAY_MS + k) for k in range(2)])
+    stores.append_raw(early, folder)
+    assert scans.stored_tags(spark, folder) == ()
+    stores.append_raw(late.withColumn("site", F.lit("x")).withColumn("model", F.lit(None).cast("string")), folder, ("site", "model"))
+    tags = scans.stored_tags(spark, folder)
+    assert tags == ("model", "site")
+    raw = scans.raw_table(spark, folder, tags)
+    found = windows.window_aggregate(raw, 86_400, (*schema.DIMENSIONS, *tags))
+    assert rows_of(found, "site", "model", "count") == [("", "", 3), ("x", "", 2)]
+    assert scans.raw_table(spark, folder).columns == [c for c in schema.RAW_TABLE.fieldNames()]
+
+
+def test_missing_devices_by_sketches(spark):
+    rng = random.Random(2)
+    rows = [beat(f"d{rng.randrange(6000)}", "r", at=t) for t in (1, 2) for _ in range(9000)]
+    first, second = ({r[0] for r in rows if r[3] == t} for t in (1, 2))
+    df = beats(spark, rows)
+    before, after = F.col("timestamp_ms") == 1, F.col("timestamp_ms") == 2
+    exact = sketches.devices_missing(df, ["region"], before, after, 16).first()
+    assert (exact.devices_before, exact.devices_missing, exact.devices_of_both) == (
+        len(first), len(first - second), len(first | second))
+    near = sketches.devices_missing(df, ["region"], before, after, 10).first()
+    assert near.devices_missing != len(first - second)
+    assert abs(near.devices_missing - len(first - second)) < 0.12 * len(first | second)
+    none = sketches.devices_missing(df, ["region"], before & F.lit(False), after).first()
+    assert (none.devices_before, none.devices_missing) == (0, 0)
