@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from fleetpulse import schema
 from fleetpulse.functions import epoch_ms, text_or_empty
-from fleetpulse.operators import cells, decode, device_sets, envelopes, sketches, tables, validate, windows
+from fleetpulse.operators import (
+    cells, decode, device_layout, device_sets, envelopes, sketches, tables, validate, windows,
+)
 from fleetpulse.operators.percentiles import grouped_percentiles, nearest_rank_percentiles
 from fleetpulse.plans import reads, repair
 from fleetpulse.session import pin_utc, saved, scratch_path
@@ -473,6 +475,13 @@ def device_history(spark, sf):
     return with_ms(reads.device_history(raw, HISTORY_DEVICE, 1, AS_OF_MS))
 
 
+def device_history_by_curve(spark, sf):
+    """The same rows from a copy of the raw table that is laid out by device and time."""
+    path = scratch_path(pin_utc(spark), "by-device")
+    device_layout.store_by_device(tables.raw_rows(events.heartbeats(spark, sf)), path)
+    return with_ms(device_layout.device_rows(spark, path, HISTORY_DEVICE, 1, AS_OF_MS))
+
+
 def device_windows(spark, sf):
     hourly = windows.window_aggregate(events.heartbeats(spark, sf), HOUR)
     return reads.device_windows(hourly, 1, AS_OF_MS, by=("region",))
@@ -630,6 +639,7 @@ QUERIES = {
     "latest_windows_top20": latest_windows_top20,
     "agg_row_count": agg_row_count,
     "device_history": device_history,
+    "device_history_by_curve": device_history_by_curve,
     "device_windows": device_windows,
     "approx_percentile_check": approx_percentile_check,
     "kll_percentile_check": kll_percentile_check,

@@ -336,6 +336,7 @@ SELECT strftime(make_timestamp(window_start_ms * 1000), '%H:%M:%S') AS win, regi
 FROM win ORDER BY window_start_ms DESC, region, status LIMIT 20""",
     "agg_row_count": f"{VERSIONS} SELECT count(*) AS stored_rows FROM versions",
     "device_history": f"{RAW_ROWS} WHERE device_id = '{HISTORY_DEVICE}'",
+    "device_history_by_curve": f"{RAW_ROWS} WHERE device_id = '{HISTORY_DEVICE}'",
     "device_windows": f"""WITH {HB}, {windows(HOUR)}
 SELECT region, CAST(sum(distinct_count) AS BIGINT) AS device_windows FROM win GROUP BY region""",
     "approx_percentile_check": exact_check("region, status"),
