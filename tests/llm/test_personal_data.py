@@ -1,0 +1,120 @@
+"""Base spans against plain patterns over a whole table, and spans that only the field finds."""
+
+import random
+import re
+from hashlib import sha256
+
+import duckdb
+import numpy as np
+import pytest
+
+from fleetpulse.llm import pii
+from fleetpulse.llm.queries import QUERIES
+
+PLAIN = [re.compile(p) for p in (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def plain_spans(text):
+    spans = []
+    for kind, pattern in enumerate(PLAIN):
+        for m in pattern.finditer(text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (kind == 0 or kind == 1 and all(int(n) <= 255 for n in m[0].split("."))
+                    or kind == 2 and 16 <= len(digits) <= 19 and luhn(digits) or kind == 3 and 8 <= len(digits) <= 15):
+                spans.append((kind, *m.span()))
+    return spans
+
+
+def test_base_columns_of_the_whole_table(spark, sf_dir):
+    found = QUERIES["op1_skip_chain_pii"](spark, sf_dir).collect()
+    texts = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{sf_dir}/documents.parquet'").fetchall()
+    expected = []
+    for doc_id, text in texts:
+        spans = plain_spans(text)
+        told = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+        expected.append((doc_id, *[sum(k == kind for k, _, _ in spans) for kind in range(4)],
+                         sha256(told.encode()).hexdigest()))
+    assert sorted(tuple(r)[:6] for r in found) == sorted(expected)
+    marked = {i for i, t in texts if re.search(r"AKIA[0-9A-Z]{16}|password=|token = \"", t)}
+    secrets = {r.doc_id for r in found if r.n_secret}
+    assert secrets <= marked and len(secrets) >= 0.9 * len(marked)
+    based = {r.doc_id for r in found if r.n_email + r.n_ip + r.n_card + r.n_phone}
+    assert {r.doc_id for r in found if r.n_found} == based | secrets | {r.doc_id for r in found if r.n_added}
+
+
+def training_texts(n=600):
+    """Texts with numbers of many kinds; repeats lack their mark in one of five."""
+    rng = random.Random(5)
+    texts = []
+    for k in range(n):
+        phone = f"{rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)}"
+        ip = ".".join(str(rng.randint(1, 255)) for _ in range(4))
+        code = "".join(rng.choice("0123456789abcdef") for _ in range(18))
+        texts.append([f"reach them on +1 {phone} any day", f"from host {ip} at noon", f"password={code} was set",
+                      f"room {rng.randint(1, 99)} of {rng.randint(100, 999)} on page {rng.randint(1000, 9999)}",
+                      f"year {rng.randint(1900, 2030)} with mail bo{k}@example.org sent"][k % 5])
+    return texts
+
+
+CASES = [
+    ("call 555 123 4567 or +1 555 123 4567 today.", "phone:5:17,phone:21:36", ""),
+    ("+1 555 123 4567. Later on, once more: 555 123 4567.", "phone:0:15,phone:38:51", ""),
+    ("rooms 555 and 123, then +1 555 123 4567", "phone:24:39", ""),
+    ("password=a1b2c3d4e5f6a7b8c9 and far from it a1b2c3d4e5f6a7b8c9 again", "", "secret:9:27,secret:44:62"),
+    ("change a1b2c3d4e5f6a7b8c9 and a1b2c3d4e5f6a7b8c9 of the log", "", ""),
+    ("in 1999 and 2001, 12 of 300 on page 4567", "", ""),
+    ("", "", ""), (None, "", ""),
+]
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    rows = list(enumerate(training_texts() + [text for text, _, _ in CASES]))
+    rows += [(len(rows), "password=a1b2c3d4e5f6a7b8c9 " + "555 123 4567 and " * 20_000 + "+1 555 123 4567"), (None, "a 12"),
+             (3, "a 12"), (3, "a 12")]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows],
+                                 "doc_id long, text string, n_found long, spans string").repartition(5)
+    return [r.asDict() for r in pii.personal_data(docs).collect()], rows
+
+
+@pytest.mark.parametrize("k", range(len(CASES)))
+def test_field_adds_whole_spans(trained, k):
+    found = {r["doc_id"]: r for r in trained[0]}[600 + k]
+    assert (found["spans"], found["secret_spans"]) == CASES[k][1:]
+
+
+def test_long_repeated_and_null_rows(trained):
+    found, rows = trained
+    assert sorted(str(r["doc_id"]) for r in found) == sorted(str(i) for i, _ in rows)
+    long = next(r for r in found if r["doc_id"] == 600 + len(CASES))
+    assert (long["n_added"], long["n_secret"]) == (20_000, 1)
+    plain = [r for r in found if r["doc_id"] is not None and r["doc_id"] < 600 and r["doc_id"] % 5 == 3]
+    assert not sum(r["n_found"] for r in plain)
+
+
+def test_messages_are_exact_on_a_tree():
+    """Without cycles the damped messages must end at the true marginals."""
+    rng = np.random.default_rng(4)
+    own = rng.normal(size=(4, pii.LABELS))
+    tables = rng.normal(size=(2, pii.LABELS, pii.LABELS)) * 0.3
+    tables += tables.transpose(0, 2, 1)
+    links, sorts = np.array([(0, 1), (1, 2), (1, 3)]), np.array([0, 1, 0])
+    joint = np.zeros((pii.LABELS,) * 4)
+    for labels in np.ndindex(joint.shape):
+        joint[labels] = np.exp(sum(own[k, y] for k, y in enumerate(labels)) + sum(
+            tables[s, labels[a], labels[b]] for (a, b), s in zip(links, sorts)))
+    exact = [joint.sum(tuple(j for j in range(4) if j != k)) / joint.sum() for k in range(4)]
+    assert np.allclose(pii.beliefs(own, links, sorts, tables), exact, atol=0.02)
+
+
+def test_a_graph_ends_at_its_tokens(monkeypatch):
+    monkeypatch.setattr(pii, "GRAPH_TOKENS", 5)
+    texts = ["1 2 3", "4 5", "", "6 7 8 9 10 11 12", "13"]
+    groups = list(pii.in_graphs(texts))
+    assert [t for held, _ in groups for t in held] == texts and [len(held) for held, _ in groups] == [2, 2, 1]
