@@ -32,6 +32,23 @@ def written(df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def joined_evenly(rows, folded, key, each=4):
+    """``rows`` joined with ``folded``, which has one row for each ``key`` and its number of rows as ``n``.
+
+    Keys with more than an even share of the rows, of which there are at most ``each`` for each shuffle partition,
+    are joined by broadcast where their rows are, the others by shuffle. Both tables are read twice and
+    should be written ones. The columns are those of ``rows``, then of ``folded`` without key and ``n``.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    total = folded.agg(F.sum("n")).first()[0] or 0
+    bar = max(1, total // (each * shuffle_width(rows.sparkSession)))
+    heavy, told = folded.filter(F.col("n") > bar), [c for c in folded.columns if c != "n"]
+    light = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(
+        folded.filter(F.col("n") <= bar).select(*told), keys)
+    columns = [*rows.columns, *[c for c in told if c not in keys]]
+    return light.select(*columns).unionByName(rows.join(F.broadcast(heavy.select(*told)), keys).select(*columns))
+
+
 def shuffle_width(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

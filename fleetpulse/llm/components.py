@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import written
+from fleetpulse.llm.common import joined_evenly, written
 
 
 def components(links, left="a", right="b"):
@@ -10,19 +10,20 @@ def components(links, left="a", right="b"):
 
     Each round points a node's larger neighbours to its smallest neighbour, then its
     smaller ones, until every link points to its component's smallest node. A round
-    folds before it shuffles and no node's neighbours are ever gathered; chains shrink
-    by a constant factor a round.
+    folds before it shuffles and no node's neighbours are ever gathered, as a node with many meets
+    its smallest one by broadcast; chains shrink by a constant factor a round.
     """
     edges = written(links.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        larger = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(
+            "u", F.least("u", "m").alias("m"), "n"), "star-centres")
+        larger = joined_evenly(both, least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         held = written(larger.distinct(), "large-star")
-        small = held.groupBy("u").agg(F.min("v").alias("m"))
-        smaller = held.join(small, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = written(held.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "star-centres")
+        smaller = joined_evenly(held, small, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(smaller.unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "small-star")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:

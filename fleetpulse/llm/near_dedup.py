@@ -11,10 +11,11 @@
    exp(-DOUBT) of the best one's or less, and only from its first common band.
 4. Survivors are verified on full sets, made anew from the whole texts.
 
-Pairs are verified in two rounds. The first takes each member's likeliest partner in
-each bucket, and links its findings to components. The second takes every surviving pair
-that is not yet in one component. So a large group of near copies costs a few pairs a
-member, and no link between different components is left out.
+Pairs are verified in two rounds. The first compares the members of each block among themselves
+and with the bucket's first block, takes each one's likeliest partner, and links its findings to
+components. The second takes every surviving pair that is not yet in one component, and deals
+members by component, so that blocks of one component never meet. So a large group of near copies costs
+comparisons and pairs in proportion to its members, and no link between different components is left out.
 
 A link of similarity 0.85 misses all bands with a chance of about 2e-9 (0.8: 3e-6) and falls to
 the likelihood with one of about 1e-6; everything after that is exact.
@@ -31,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import binaries, mixed, release_shuffles, text_or_empty, written
+from fleetpulse.llm.common import binaries, joined_evenly, mixed, release_shuffles, text_or_empty, written
 from fleetpulse.llm.components import components
 
 WORDS = 5
@@ -215,28 +217,53 @@ def block_pairs(first_round, share):
     return compare
 
 
-def blocks_of(members):
-    """Members (band, node, n, ...) of buckets dealt into blocks; each pair of blocks is a group."""
-    counted = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    return counted.withColumn("pair", F.explode(F.expr(
-        "transform(sequence(0, blocks - 1), o -> named_struct("
-        "'i', least(o, block), 'j', greatest(o, block), 'side', if(block > o, 1, 0)))"))).select(
-        "*", "pair.i", "pair.j", "pair.side").drop("pair", "blocks", "block")
+def paired(members, partners):
+    """Members once for each pair of blocks (i, j) that they are to be compared in; ``partners`` gives the others' blocks."""
+    return members.withColumn("other", F.explode(partners)).select(
+        "*", F.least("other", "block").alias("i"), F.greatest("other", "block").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"))
+
+
+def first_blocks(buckets):
+    """Each block meets itself and the bucket's first block.
+
+    The number of blocks is a power of two, so that members of one block of a bucket share one in every smaller
+    bucket, too.
+    """
+    dealt = buckets.withColumn("blocks", F.expr(f"shiftleft(1, greatest(0, cast(ceil(log2(size / {BLOCK})) as int)))")
+                               ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return paired(dealt.withColumn("held", F.lit(0).cast("long")),
+                  F.expr("if(block = 0, sequence(0, blocks - 1), array(0, block))"))
+
+
+def cross_blocks(buckets, held):
+    """Blocks of the buckets that hold several components; two blocks of one large component do not meet.
+
+    A component with more than a block's members in a bucket has blocks of its own, the other members share some.
+    """
+    members = written(buckets.select("node", "band").join(held, "node"), "held-members")
+    cells = written(members.groupBy("band", "held").agg(F.count("*").alias("m")), "held-cells").withColumn(
+        "own", F.when(F.col("m") > BLOCK, F.ceil(F.col("m") / BLOCK)).otherwise(0).cast("int"))
+    bands = written(cells.groupBy("band").agg(
+        F.ceil(F.sum(F.when(F.col("own") == 0, F.col("m")).otherwise(0)) / BLOCK).cast("int").alias("shared"),
+        F.sum("own").cast("int").alias("owned"), F.sum("m").alias("n"), F.min("held").alias("lo"),
+        F.max("held").alias("hi")).filter("lo <> hi").drop("lo", "hi"), "held-bands")
+    before = Window.partitionBy("band").orderBy("held").rowsBetween(Window.unboundedPreceding, -1)
+    large = cells.filter("own > 0").select(
+        "band", "held", "own", F.coalesce(F.sum("own").over(before), F.lit(0)).cast("int").alias("before"))
+    dealt = joined_evenly(members, bands, "band").join(large, ["band", "held"], "left").withColumns({
+        "start": F.col("shared") + F.col("before"), "blocks": F.col("shared") + F.col("owned")})
+    placed = dealt.withColumn("block", F.coalesce(
+        F.col("start") + F.pmod(F.xxhash64("node"), F.col("own")), F.pmod(F.xxhash64("node"), F.col("shared"))).cast("int"))
+    return paired(placed, F.expr(
+        "filter(sequence(0, blocks - 1), o -> own is null or o < start or o >= start + own)"))
 
 
 def candidates(buckets, classes, share, held=None):
     """Distinct pairs (a, b) of nodes for verification; with ``held`` only across components."""
-    members = buckets
-    if held is not None:
-        members = members.join(held, "node")
-        mixed_up = members.groupBy("band").agg(F.min("held").alias("lo"), F.max("held").alias("hi")).filter(
-            "lo <> hi").select("band")
-        members = members.join(mixed_up, "band", "left_semi")
-    else:
-        members = members.withColumn("held", F.lit(0).cast("long"))
-    rows = blocks_of(members.join(classes, "node"))
-    sorted_rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side").select(
+    rows = first_blocks(buckets) if held is None else cross_blocks(buckets, held)
+    sorted_rows = rows.select("band", "i", "j", "side", "node", "held").join(classes, "node").repartition(
+        "band", "i", "j").sortWithinPartitions("band", "i", "j", "side").select(
         "band", "i", "j", "side", "node", "held", "n_shingles", "registers")
     pairs = sorted_rows.mapInArrow(block_pairs(held is None, share), "a bigint, b bigint")
     return written(pairs.distinct(), "near-pairs")
@@ -284,14 +311,16 @@ def grouped_rows(docs, share):
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     keyed = texts.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     rows = written(keyed.mapInArrow(sketch_rows, SKETCH), "sketches")
-    firsts = rows.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("row").alias("node"))
+    firsts = written(rows.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(
+        F.min("row").alias("node"), F.count("*").alias("n")), "set-firsts")
     classes = written(rows.join(firsts.select(F.col("node").alias("row")), "row").select(
         F.col("row").alias("node"), "doc_id", "n_shingles", "set_a", "set_b", "registers"), "set-classes")
     release_shuffles(spark)
 
     bands = written(classes.select("node", "registers").mapInArrow(band_rows, "node bigint, band bigint"), "bands")
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = written(bands.join(shared, "band"), "buckets")
+    shared = written(bands.groupBy("band").agg(F.count("*").alias("n"), F.count("*").alias("size")).filter("n > 1"),
+                     "shared-bands")
+    buckets = written(joined_evenly(bands, shared, "band"), "buckets")
     sketches = classes.select("node", "n_shingles", "registers")
     nodes = classes.select("node", "doc_id", "set_a", "set_b")
     release_shuffles(spark)
@@ -307,18 +336,20 @@ def grouped_rows(docs, share):
     ends = written(components(links), "near-components")
 
     # a class's component is named by its smallest node; documents want the smallest doc_id
-    classed = rows.select("doc_id", "text_key", "n_shingles", "set_a", "set_b", "row").join(firsts, ["set_a", "set_b"], "left")
-    member = classed.join(ends, "node", "left").select(
-        "doc_id", "text_key", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("row")).alias("group"))
-    return written(member, "near-members")
+    named = written(firsts.join(ends, "node", "left").select(
+        "set_a", "set_b", "n", F.coalesce("component", "node").alias("group")), "near-names")
+    own = ("doc_id", "text_key", "n_shingles")
+    filled = rows.filter("n_shingles > 0").select(*own, "set_a", "set_b")
+    return written(joined_evenly(filled, named, ("set_a", "set_b")).select(*own, "group").unionByName(
+        rows.filter("n_shingles = 0").select(*own, F.col("row").alias("group"))), "near-members")
 
 
 def near_groups(docs, share=SHARE):
     """doc_id, n_shingles, component_id, kept of each document; links from ``share`` percent on."""
     member = grouped_rows(docs, share)
-    smallest = member.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    return member.join(smallest, "group").select(
+    smallest = written(member.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")),
+                       "near-smallest")
+    return joined_evenly(member, smallest, "group").select(
         "doc_id", "n_shingles", "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
