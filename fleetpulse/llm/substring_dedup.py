@@ -16,9 +16,10 @@ Repeats within one block of documents are folded before the sort, so a string th
 of all documents hold is sent once per block. Tuples carry 64-bit hashes.
 
 Order is by doc_id, then start; the same place of rows that repeat a doc_id is no earlier
-one. A null doc_id comes after all others. Null text counts as empty; texts under 100 bytes
-lose nothing. An empty table gives an empty result. Columns other than doc_id and text are
-ignored.
+one. Rows that repeat a doc_id are told apart by 32 bits of their texts. A row without doc_id
+counts as a document of its own behind all ids below 2^62, in the order of a 62-bit hash of its text. Null
+text counts as empty; texts under 100 bytes lose nothing. An empty table gives an empty
+result. Columns other than doc_id and text are ignored.
 """
 
 from hashlib import sha256
@@ -31,10 +32,11 @@ from fleetpulse.llm.anchors import WINDOW, anchors, window_hashes
 from fleetpulse.llm.common import in_blocks, mixed, release_shuffles, text_or_empty, written
 
 BLOCK_DOCS = 2000
-TAG_BITS = 16
+TAG_BITS = 32
 LAST_ID = (1 << 63) - 1
+HASHED_IDS = 1 << 62
 
-#: route: sort key; at: start * 2^16 + tag of the text; span: windows after the first; kind: see below
+#: route: sort key; at: start * 2^32 + tag of the text; span: windows after the first; kind: see below
 TUPLE = "route bigint, context bigint, id bigint, at bigint, span int, kind int"
 FOUND = "id bigint, at bigint, span int, kind int"
 OPEN, REPEAT, UNDECIDED = 0, 1, 2
@@ -141,7 +143,7 @@ def found(tuples, label):
 
 def by_document(rows):
     """id, tag, spans: what was found, gathered by document."""
-    return rows.groupBy("id", F.col("at").bitwiseAND((1 << TAG_BITS) - 1).cast("int").alias("tag")).agg(
+    return rows.groupBy("id", F.col("at").bitwiseAND((1 << TAG_BITS) - 1).alias("tag")).agg(
         F.collect_list(F.struct("at", "span")).alias("spans"))
 
 
@@ -169,11 +171,21 @@ def removed_rows(batches):
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def ids_repeat(docs):
+    """Whether any doc_id stands on several rows."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("id")).filter("id is not null")
+    return not ids.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+
+
 def keyed(docs):
-    text = text_or_empty()
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        (F.crc32(F.encode(text, "utf-8")) % (1 << TAG_BITS)).cast("int").alias("tag"), text.alias("text"))
+    """doc_id, id, tag, text; the tag is 0 where the id alone tells a row apart, as tuples are smaller then."""
+    doc_id, text = F.col("doc_id").cast("long"), text_or_empty()
+    hashed = F.lit(LAST_ID) - F.xxhash64(text).bitwiseAND(HASHED_IDS - 1)
+    tag = F.crc32(F.encode(text, "utf-8"))
+    if not ids_repeat(docs):
+        tag = F.when(doc_id.isNull(), tag).otherwise(0)
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, hashed).alias("id"),
+                       tag.cast("long").alias("tag"), text.alias("text"))
 
 
 def without_repeats(docs):

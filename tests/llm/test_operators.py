@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -129,6 +130,31 @@ def test_repeated_substrings(docs, none):
     assert substring_dedup.without_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("others", [None, 7])
+def test_repeats_of_rows_without_an_id_of_their_own(spark, others):
+    rng = np.random.default_rng(11)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    shared = letters(130)
+    rows = [(1, shared)] + [(others, letters(60 + k % 90) + (shared if k % 2 else letters(130)) + letters(k % 50))
+                            for k in range(6000)]
+    ids = [substring_dedup.LAST_ID - (xxhash.xxh64_intdigest(t, 42) & substring_dedup.HASHED_IDS - 1)
+           if i is None else i for i, t in rows]
+    first, expected = {}, []
+    for i, (_, t) in zip(ids, rows):
+        for p in range(len(t) - 99):
+            first[t[p:p + 100]] = min(first.get(t[p:p + 100], (i, p)), (i, p))
+    for i, (own, t) in zip(ids, rows):
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - 99):
+            if first[t[p:p + 100]] != (i, p):
+                gone[p:p + 100] = True
+        kept = np.frombuffer(t.encode(), np.uint8)[~gone].tobytes()
+        expected.append((own, len(t), int(gone.sum()), hashlib.sha256(kept).hexdigest()))
+    found = substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    held = [(r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in found.collect()]
+    assert sorted(held, key=str) == sorted(expected, key=str)
+
+
 def test_packing(docs, none):
     found = packing.packed(docs).toPandas()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
