@@ -240,6 +240,21 @@ def test_best_fit_takes_the_tightest_room():
     assert loads[0] == 1000 and max(loads[s] for s in (1, 2, 3)) == -(-211 // 3)
 
 
+def test_ties_and_a_group_above_an_even_share(spark):
+    """Equal sizes in one class, a class of several groups, and one text with over half of all bytes."""
+    rows = [(k, "h" * 500) for k in range(400)] + [(1000 + k, f"{k:09d}") for k in range(900)] + [(None, "t" * 9)] * 3
+    found = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 8).toPandas()
+    heavy = found[found["size"] == 516]
+    assert len(found) == len(rows) and heavy.shard.nunique() == 1 and len(heavy) == 400
+    home, loads = heavy.shard.iloc[0], found.groupby("shard")["size"].sum()
+    assert loads[home] == 400 * 516  # it has the shard to itself
+    others = loads.drop(home)
+    assert len(others) == 7 and others.max() - others.min() <= 75  # the largest of the other groups
+    assert found[found.doc_id.isna()].shard.nunique() == 1
+    for _, s in found.groupby("shard"):
+        assert sorted(s.slot) == list(range(len(s)))
+
+
 def test_mixing(docs, none):
     found = mixing.mixed(docs.drop("copy"), {"a": 1, "b": 3}).collect()
     assert {r.source for r in found} <= {"a", "b"}
