@@ -70,11 +70,12 @@ def with_percentiles(rows, probabilities=None, cells="cells", total="count"):
 
 def merge_cell_rows(stored, keys=()):
     """Roll stored windows with ``cells`` up to ``keys``: percentiles of the whole, as if made at once."""
-    part = stored.select(*keys, "count", "latency_sum").groupBy(*keys).agg(
-        F.sum("count").alias("count"), F.sum("latency_sum").alias("latency_sum"))
-    merged = (stored.select(*keys, F.inline("cells")).groupBy(*keys, "cell").agg(*merged_counts())
-              .groupBy(*keys).agg(gathered()))
-    # without keys each side is one row
-    joined = part.join(merged, list(keys)) if keys else part.crossJoin(merged)
-    rolled = joined.withColumn("avg_latency", F.col("latency_sum") / F.col("count")).drop("latency_sum")
+    # a window's numbers go with its first cell, so that the windows are read, or made, once
+    listed = stored.select(*keys, "count", "latency_sum", F.posexplode_outer("cells").alias("place", "entry"))
+    first = F.coalesce("place", F.lit(0)) == 0
+    folded = listed.select(*keys, "entry.*", *[F.when(first, F.col(c)).alias(c) for c in ("count", "latency_sum")])
+    sums = F.sum("count").alias("count"), F.sum("latency_sum").alias("latency_sum")
+    merged = (folded.groupBy(*keys, "cell").agg(*sums, *merged_counts())
+              .groupBy(*keys).agg(*sums, gathered(F.col("n").isNotNull())))
+    rolled = merged.withColumn("avg_latency", F.col("latency_sum") / F.col("count")).drop("latency_sum")
     return with_percentiles(rolled)

@@ -9,9 +9,12 @@ rounded to its leading bits, so cells keep the order of values:
 1. count rows per (group, cell), combined before the shuffle, so that only
    counts travel; keep the cells in which a wanted rank falls and write them
    to the shared scratch folder;
-2. while a kept cell holds more rows than one task should sort, count again
-   with finer cells inside the kept ones;
-3. fetch the rows of the kept cells, fold equal values and rank what is left.
+2. fetch the rows of the kept cells and fold equal values;
+3. while a kept cell holds more rows than one task should sort, count again
+   with finer cells inside the kept ones, over a written copy of what was fetched;
+4. rank what is left.
+
+So the rows themselves are read twice, whatever their number.
 
 All groups go by cells where that moves far fewer rows, which holds from some
 thousand rows per group on. Kept cells and the keys of large groups are
@@ -93,13 +96,13 @@ def _first_cells(rows):
 
 
 def _in_cells(rows, bits, cells, small):
-    """(key, cell, before, total, v, n): the rows of the kept cells, equal values folded."""
+    """(key, cell, before, total, v, n): the rows (key, v, n) of the kept cells, equal values folded."""
     celled = rows.withColumn("cell", leading_bits(F.col("v"), bits))
     kept = cells.drop("n")
     if small:
         near = celled.join(F.broadcast(kept), ["key", "cell"])
-        return near.groupBy("key", "cell", "before", "total", "v").agg(F.count("*").alias("n"))
-    folded = celled.groupBy("key", "cell", "v").agg(F.count("*").alias("n"))
+        return near.groupBy("key", "cell", "before", "total", "v").agg(F.sum("n").alias("n"))
+    folded = celled.groupBy("key", "cell", "v").agg(F.sum("n").alias("n"))
     return folded.join(kept, ["key", "cell"])
 
 
@@ -120,15 +123,16 @@ def _kept(cells, wanted):
 
 def _ranked(rows, probabilities, method):
     """(key, v, n, before, total) of the values at the wanted ranks."""
-    bits, wanted = CELL_BITS[0], _holds_a_rank(probabilities, method)
+    wanted = _holds_a_rank(probabilities, method)
     cells, small, largest = _kept(_first_cells(rows), wanted)
+    near = _in_cells(rows.withColumn("n", F.lit(1).cast("long")), CELL_BITS[0], cells, small)
+    if largest > CELL_ROWS:
+        near = saved(near, "rank-rows")
     for finer in CELL_BITS[1:]:
         if largest <= CELL_ROWS:
             break
-        near = _in_cells(rows, bits, cells, small)
         cells, small, largest = _kept(_finer_cells(near, finer), wanted)
-        bits = finer
-    near = _in_cells(rows, bits, cells, small)
+        near = _in_cells(near.select("key", "v", "n"), finer, cells, small)
     return near.withColumn(
         "before", F.col("before") + _running_before(["key", "cell"], "v")).where(wanted)
 
@@ -187,6 +191,9 @@ def percentiles_by_key(rows, value, probabilities, method="interpolated", group_
     v = F.col(value).cast("double") + F.lit(0.0)
     present = rows.where(v.isNotNull()).select("key", F.coalesce(v, F.lit(math.nan)).alias("v"))
     cap = GROUP_ROWS if group_rows is None else min(group_rows, GROUP_ROWS)
+    if cap <= 0:
+        # every group goes by cells, whose counts hold the sizes
+        return _by_cells(present, probabilities, method)
     sizes = group_sizes(present) if sizes is None else sizes
     large = F.col("count") > cap
     groups, many, total = sizes.agg(

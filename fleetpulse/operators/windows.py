@@ -110,8 +110,16 @@ def _device_and_cell_rows(windowed, keys, distinct):
 
 
 def _with_cells(windowed, keys, distinct):
-    """Counts, distinct devices and a value histogram per key: the same in a stream and in a batch."""
-    return _folded_rows(_device_and_cell_rows(windowed, keys, distinct), keys, distinct)
+    """Counts, distinct devices and a value histogram per key: the same in a stream and in a batch.
+
+    A batch groups by the start of the window, which costs far less than both its ends; a stream keeps the
+    whole window as its watermark and the keys of its stored state need it.
+    """
+    if windowed.isStreaming:
+        return _folded_rows(_device_and_cell_rows(windowed, keys, distinct), keys, distinct)
+    started = windowed.withColumn("window", F.col("window.start"))
+    found = _folded_rows(_device_and_cell_rows(started, keys, distinct), keys, distinct)
+    return found.withColumn("window", F.struct(F.col("window").alias("start")))
 
 
 def _folded_rows(rows, keys, distinct):
@@ -176,8 +184,9 @@ def windows_of_state(state, seconds, dims=schema.DIMENSIONS):
 def cell_windows(heartbeats, seconds=schema.WINDOW_SECONDS, dims=schema.DIMENSIONS):
     """Windows stored with their value histogram, for ``cells.merge_cell_rows``."""
     stored = _with_cells(_windowed(heartbeats, seconds, dims), ["window", *dims], "exact")
+    start = F.col("window.start")
     return stored.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        start.alias("window_start"), (start + F.make_dt_interval(secs=F.lit(seconds))).alias("window_end"),
         *dims, "count", "distinct_count", "latency_sum", "cells")
 
 

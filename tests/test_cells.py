@@ -71,3 +71,26 @@ def test_nothing_and_null_latencies(spark):
 def test_one_shuffle_of_folded_rows_before_the_windows(spark):
     plan = plan_of(windows.window_aggregate(beats(spark, [beat()]), quantiles="cells"))
     assert plan.count("Exchange") == 2 and "Scan" in plan and "Join" not in plan
+
+
+def test_merging_makes_the_windows_once(spark):
+    df = beats(spark, [beat(latency=float(i), at=START + i) for i in range(5)])
+    plan = plan_of(cells.merge_cell_rows(windows.cell_windows(df, 60), ["region"]))
+    assert plan.count("Scan") == 1 and "Join" not in plan
+
+
+def test_merged_sums_do_not_depend_on_the_number_of_cells(spark):
+    shape = "region string, count bigint, latency_sum double, cells array<struct<cell double, n bigint, lo double, hi double>>"
+    two, one = [(1.0, 2, 1.0, 1.0), (8.0, 1, 8.0, 8.0)], [(4.0, 1, 4.0, 4.0)]
+    stored = spark.createDataFrame([("a", 3, 10.0, two), ("a", 1, 4.0, one), ("b", 1, 4.0, one)], shape)
+    columns = ("count", "avg_latency", "p50_latency")
+    assert rows_of(cells.merge_cell_rows(stored, ["region"]), "region", *columns) == [("a", 4, 3.5, 2.5), ("b", 1, 4.0, 4.0)]
+    assert rows_of(cells.merge_cell_rows(stored), *columns) == [(5, 3.6, 4.0)]
+    assert rows_of(cells.merge_cell_rows(stored.limit(0)), *columns) == [(None, None, None)]
+
+
+def test_a_batch_groups_by_the_start_of_a_window_alone(spark):
+    stored = windows.cell_windows(beats(spark, [beat(at=START + 1)]), 60)
+    assert ", end, " not in plan_of(stored)
+    row = stored.first()
+    assert (row.window_end - row.window_start).total_seconds() == 60

@@ -112,3 +112,19 @@ def test_cells_keep_order(spark, values):
 def test_method_is_checked(spark):
     with pytest.raises(ValueError):
         grouped_percentiles(frame(spark, {"a": [1.0]}), ["k"], "v", POINTS, "linear")
+
+
+def test_rows_are_read_twice_however_fine_the_cells(spark, monkeypatch):
+    monkeypatch.setattr(percentiles, "CELL_ROWS", 3)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    values = [100.0 + i * 1e-9 for i in range(400)]
+    rows = spark.sparkContext.parallelize([("a", v) for v in values], 2).map(seen)
+    df = spark.createDataFrame(rows, "k string, v double")
+    found = grouped_percentiles(df, ["k"], "v", POINTS, "nearest", group_rows=0).first()
+    assert [found[n] for n in POINTS] == [nearest(values, p) for p in POINTS.values()]
+    assert read.value == 2 * len(values)
