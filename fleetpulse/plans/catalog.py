@@ -182,7 +182,7 @@ def stream_late_dropped(spark, sf):
         "timestamp_ms", F.col("timestamp_ms") + 1000 * DAY)
     for arrival in (beats, beats, closing):
         stores.as_messages(arrival).select("value").write.mode("append").text(inbox)
-        jobs.use_stream_settings(spark)
+        jobs.use_stream_settings(spark, live=False)
         jobs.start_windows(scans.file_stream(spark, inbox), f"{root}/heartbeat_aggregates",
                            f"{root}/checkpoints", settings, live=False).awaitTermination()
     return _stored_windows(spark, root)
@@ -230,7 +230,7 @@ def stream_two_parts(spark, sf):
     arrivals = saved(beats.join(F.broadcast(span.select("first"))).withColumns(
         {"part": part, "arrival": third + part}).drop("first"), "arrivals")
     folders = [f"{root}/part-{number}" for number in range(2)]
-    jobs.use_stream_settings(spark)
+    jobs.use_stream_settings(spark, live=False)
     for arrival in range(5):
         for number, folder in enumerate(folders):
             rows = closing if arrival == 4 else arrivals.where((F.col("part") == number) & (F.col("arrival") == arrival))
@@ -246,7 +246,7 @@ def raw_table_life(spark, sf):
     root = scratch_path(pin_utc(spark), "raw-life")
     inbox, path = f"{root}/inbox", f"{root}/heartbeats"
     beats = events.heartbeats(spark, sf)
-    jobs.use_stream_settings(spark)
+    jobs.use_stream_settings(spark, live=False)
     for arrival in range(3):
         part = beats.where(F.pmod("event_id", F.lit(3)) == arrival)
         stores.as_messages(part).select("value").write.mode("append").text(inbox)

@@ -12,11 +12,12 @@ BATCH_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 STREAM_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    CHANGELOG: "true",
 }
 
 
@@ -35,8 +36,14 @@ def pin_utc(spark):
     return spark
 
 
-def use_stream_settings(spark):
-    for key, value in STREAM_CONF.items():
+def use_stream_settings(spark, live=True):
+    """Settings of the streams started next.
+
+    A live stream commits its many small micro-batches as changes. A run that drains its source (``live``
+    off) has a few large ones and leaves its state as files: the next start fetches what is still held,
+    where changes are applied again one by one, those of closed windows included. Each kind reads the other's.
+    """
+    for key, value in {**STREAM_CONF, CHANGELOG: str(live).lower()}.items():
         spark.conf.set(key, value)
     return spark
 

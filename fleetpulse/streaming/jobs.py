@@ -139,7 +139,7 @@ def start_pipeline(spark, open_source, root, settings=StreamSettings(), live=Tru
 
     ``open_source`` gives a fresh streaming DataFrame of messages for each.
     """
-    use_stream_settings(spark)
+    use_stream_settings(spark, live)
     return {
         "raw": start_raw_copy(open_source(), f"{root}/heartbeats",
                               f"{root}/checkpoints/raw", settings, live),

@@ -252,3 +252,33 @@ def test_ingest_stream_publishes_accepted_and_reports_counters(spark, folder):
     assert (seen["accepted_total"], seen["rejected_total"]) == (2, 3)
     batch = observe_counters(classify_requests(scans.request_rows(spark, f"{folder}/requests"), NOW_MS))
     assert batch.count() == 3
+
+
+def test_a_drained_run_leaves_its_state_as_files(spark, stage, folder):
+    """Windows of a day close in one run; the next starts from the state still held, of runs of either kind."""
+    def run(live, *events):
+        use_stream_settings(spark, live=live)
+        return stage.arrive(*events)
+
+    def kinds():
+        names = [name for _, _, found in os.walk(f"{folder}/checkpoints/state") for name in found]
+        return {end for end in ("zip", "changelog") if any(n.endswith(end) and not n.startswith(".") for n in names)}
+
+    run(False, (1, "a"), (70, "a"), (71, "b"))
+    assert kinds() == {"zip"}
+    run(False, (130, "c"), (86_400, "z"))
+    assert stage.emitted() == [(0, 1, 1), (60, 2, 2), (120, 1, 1)]
+    run(True, (86_401, "y"))
+    run(False, (86_402, "z"), (86_500, "x"), (5, "late"))
+    assert stage.dropped == 2 and stage.emitted()[3:] == [(86_400, 3, 2)] and kinds() == {"zip", "changelog"}
+
+
+def test_drain_starts_from_files_of_state(spark, stage, folder):
+    for sec in (1, 4000, 8000):
+        stage.put([json.dumps({"device_id": "d", "region": "us", "status": "ok", "latency_ms": 5.0,
+                               "timestamp_ms": T0 + sec * 1000})])
+        jobs.drain(spark, lambda: scans.file_stream(spark, f"{folder}/inbox"), folder)
+    names = [name for _, _, found in os.walk(f"{folder}/checkpoints/windows/state") for name in found]
+    assert any(n.endswith(".zip") for n in names) and not any(n.endswith(".changelog") for n in names)
+    stored = scans.aggregate_table(spark, f"{folder}/heartbeat_aggregates")
+    assert rows_of(stored, "count") == [(1,), (1,)]
