@@ -14,7 +14,7 @@ rounded to its leading bits, so cells keep the order of values:
    with finer cells inside the kept ones, over a written copy of what was fetched;
 4. rank what is left.
 
-So the rows themselves are read twice, whatever their number.
+After the count of the groups, which is left out where all go by cells anyway, the rows are read twice.
 
 All groups go by cells where that moves far fewer rows, which holds from some
 thousand rows per group on. Kept cells and the keys of large groups are
